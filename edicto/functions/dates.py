@@ -11,8 +11,11 @@ from edicto.functions.text import RX_EDGE_WS, ColumnOrName, col
 RX_DAY = "([0-9]{1,2})" + WS + "de"
 RX_YEAR = "([0-9]{4})"
 RX_MONTH = "(?d)(de.*)[0-9]{4}"
-RX_DAY_CODE = "(?d)'([0-9].*)'"
-RX_MONTH_CODE = "(?d)'(V[0-9].*)'"
+# Source patterns '([0-9].*)' / '(V[0-9].*)', extended with an optional
+# minus sign so that days before the calendar epoch decode too (the source
+# fails on them).
+RX_DAY_CODE = "(?d)'(-?[0-9].*)'"
+RX_MONTH_CODE = "(?d)'(V-?[0-9].*)'"
 
 
 def _months_map() -> Column:
@@ -73,7 +76,7 @@ def month_code(href: ColumnOrName) -> Column:
 
 def code_to_date(code: ColumnOrName) -> Column:
     """Calendar code (days since the epoch, optional 'V' prefix) -> date."""
-    n = F.regexp_extract(col(code), "^V?([0-9]+)$", 1)
+    n = F.regexp_extract(col(code), "^V?(-?[0-9]+)$", 1)
     return F.when(
         n != F.lit(""),
         F.date_add(F.lit(CALENDAR_EPOCH).cast("date"), n.cast("int")),

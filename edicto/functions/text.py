@@ -31,6 +31,7 @@ RX_MASKED_EMAIL = r"\*.*@.*\.[a-zA-Z]{2,4}"
 RX_STAR_Y_STAR = r"[*]{5}" + WS + "Y" + WS + r"[*]{5}"
 RX_EDGE_WS = "^" + WS + "+|" + WS + r"+\z"
 RX_NON_ASCII = r"[^\x00-\x7F" + TRANSLIT_KEEP + "]"
+RX_MULTI = "[" + "".join(ch for ch, _ in TRANSLIT_MULTI) + "]"
 
 
 def col(c: ColumnOrName) -> Column:
@@ -72,8 +73,11 @@ def t7_ascii_upper(c: ColumnOrName) -> Column:
     """Transliterate to ASCII (Latin-1 + Latin Extended-A + common
     punctuation), keep Ñ, drop other non-ASCII, upper-case."""
     s = col(c)
+    multi = s
     for ch, rep in TRANSLIT_MULTI:
-        s = F.replace(s, F.lit(ch), F.lit(rep))
+        multi = F.replace(multi, F.lit(ch), F.lit(rep))
+    # The 1:n replacements are one pass each: run them only when needed.
+    s = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
     s = F.translate(s, TRANSLIT_FROM, TRANSLIT_TO)
     s = F.regexp_replace(s, RX_NON_ASCII, "")
     return F.upper(s)

@@ -36,12 +36,10 @@ REJECT_COLUMN = "reject_reason"
 def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> DataFrame:
     """Court attributes (name, subject, municipality) onto each row.
     The dimension is broadcast only under its size bound."""
+    attrs = [c for c in ("court_no", "juzgado", "court_url", "juz_id", "entidad_code") if c != on]
     dim = courts.select(
         on,
-        "juzgado",
-        "court_url",
-        "juz_id",
-        "entidad_code",
+        *attrs,
         classify_subject("juzgado").alias("materia"),
         map_code("entidad_code").alias("entidad_name"),
     )
@@ -112,6 +110,16 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give CPU-heavy row work at least one partition per core.  A cluster
+    scan of large inputs already has far more partitions, so this is a
+    no-op there; it only splits small single-file inputs (round-robin)."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def extract_records(
     rows: DataFrame,
     courts: DataFrame,
@@ -121,7 +129,7 @@ def extract_records(
 ) -> DataFrame:
     """Rows with node lists (`numero_nodes`, `n2`, `n3`) and a court
     key -> records with `reject_reason` (null for valid rows)."""
-    joined = with_court(rows, courts, on=on)
+    joined = with_court(spread(rows), courts, on=on)
     return to_records(extract_fields(joined, en_contra_de=en_contra_de), keep=keep)
 
 

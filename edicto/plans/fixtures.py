@@ -117,13 +117,15 @@ def with_nodes(fx: DataFrame) -> DataFrame:
 
 
 def fixture_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every tenth row captured twice; `seq_no` is the capture order."""
+    """Every tenth row captured twice; `seq_no` is the capture order.
+    One scan: the second capture is generated, not re-read."""
     fx = fixture_rows(spark, sf_dir)
-    once = fx.withColumn("seq_no", F.col("row_id") * 10)
-    again = fx.filter(F.col("row_id") % 10 == 0).withColumn(
-        "seq_no", F.col("row_id") * 10 + 1
+    dup = F.explode(
+        F.when(F.col("row_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    )
+    return fx.withColumn("_dup", dup).select(
+        (F.col("row_id") * 10 + F.col("_dup")).alias("seq_no"), *fx.columns
     )
-    return once.unionByName(again)
 
 
 # SQL text of the same fixtures for the DuckDB oracle.
