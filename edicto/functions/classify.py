@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from edicto.constants import MUNICIPALITIES, SUBJECT_EXACT, SUBJECT_RULES
-from edicto.functions.text import ColumnOrName, col
+from edicto.functions.text import ColumnOrName, col, memo
 
 
 def contains_any(c: ColumnOrName, words: Sequence[str]) -> Column:
@@ -38,6 +38,7 @@ def classify_subject(
     return expr
 
 
+@memo
 def map_code(
     c: ColumnOrName, mapping: Mapping[str, str] = MUNICIPALITIES
 ) -> Column:

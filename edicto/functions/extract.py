@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from edicto.constants import WS
 from edicto.functions.text import (
     ColumnOrName,
+    memo,
     after_last,
     before_first,
     col,
@@ -66,6 +67,7 @@ def _upline(c: Column) -> Column:
     return F.translate(F.upper(c), "\n", " ")
 
 
+@memo
 def case_number(numero: ColumnOrName) -> Column:
     """E7.  Null means the source would have raised (AMPARO only before
     EXPEDIENTE): such rows go to quarantine."""
@@ -82,6 +84,7 @@ def case_number(numero: ColumnOrName) -> Column:
     )
 
 
+@memo
 def case_type(n2: ColumnOrName, n3: ColumnOrName) -> Column:
     """E8 over cell 2 + cell 3 nodes."""
     p = concat_nodes(n2, n3)
@@ -99,6 +102,7 @@ def case_type(n2: ColumnOrName, n3: ColumnOrName) -> Column:
     )
 
 
+@memo
 def claimant_parts(n2: ColumnOrName, materia: ColumnOrName) -> tuple[Column, Column]:
     """Returns (actor, demandado_hint).  The hint is filled only by the
     'PROMOVIDO POR ... ANTE EL' rule of criminal courts."""
@@ -143,10 +147,12 @@ def claimant_parts(n2: ColumnOrName, materia: ColumnOrName) -> tuple[Column, Col
     return actor, hint
 
 
+@memo
 def claimant(n2: ColumnOrName, materia: ColumnOrName) -> Column:
     return claimant_parts(n2, materia)[0]
 
 
+@memo
 def defendant_parts(
     n2: ColumnOrName, demandado_hint: ColumnOrName, en_contra_de: bool = False
 ) -> tuple[Column, Column]:
@@ -178,6 +184,7 @@ def defendant_parts(
     return demandado, acuerdos_part
 
 
+@memo
 def rulings(
     n2: ColumnOrName,
     n3: ColumnOrName,
@@ -206,6 +213,7 @@ def rulings(
     )
 
 
+@memo
 def origin_court(n2: ColumnOrName) -> Column:
     """Middle + terminator of the origin-court phrase of node 0."""
     n2 = col(n2)
@@ -216,6 +224,7 @@ def origin_court(n2: ColumnOrName) -> Column:
     ).otherwise(F.lit(""))
 
 
+@memo
 def origin_case(n2: ColumnOrName) -> Column:
     """First 'n/n' case number after one of four prefixes (not
     cleaned afterwards)."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Callable, Union
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edicto.constants import (
@@ -38,6 +38,28 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def memo(fn):
+    """Cache a Column builder called with plain (str/int/bool/None)
+    arguments.  Unresolved Columns are immutable and session-free, so a
+    built expression tree can be reused; this saves the many Python-to-JVM
+    calls of rebuilding the same rule cascade for every query."""
+    cache: dict = {}
+
+    def wrapper(*args, **kwargs):
+        plain = all(isinstance(a, (str, int, bool, type(None))) for a in (*args, *kwargs.values()))
+        if not plain:
+            return fn(*args, **kwargs)
+        key = (args, tuple(sorted(kwargs.items())))
+        if key not in cache:
+            cache[key] = fn(*args, **kwargs)
+        return cache[key]
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    wrapper.__wrapped__ = fn
+    return wrapper
+
+
 # --- clean steps -------------------------------------------------------------
 
 
@@ -73,11 +95,8 @@ def t7_ascii_upper(c: ColumnOrName) -> Column:
     """Transliterate to ASCII (Latin-1 + Latin Extended-A + common
     punctuation), keep Ñ, drop other non-ASCII, upper-case."""
     s = col(c)
-    multi = s
     for ch, rep in TRANSLIT_MULTI:
-        multi = F.replace(multi, F.lit(ch), F.lit(rep))
-    # The 1:n replacements are one pass each: run them only when needed.
-    s = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
+        s = F.replace(s, F.lit(ch), F.lit(rep))
     s = F.translate(s, TRANSLIT_FROM, TRANSLIT_TO)
     s = F.regexp_replace(s, RX_NON_ASCII, "")
     return F.upper(s)
@@ -93,24 +112,49 @@ def t9_quotes_newlines(c: ColumnOrName) -> Column:
     return F.translate(col(c), '"\n', "' ")
 
 
-def clean(c: ColumnOrName, null_as_empty: bool = True) -> Column:
-    """Full normalisation T1..T9; T0: null -> '' (or null), '' -> ''."""
+_PRE_STEPS = (
+    t1_leading_dot,
+    t2_collapse_ws,
+    t3_masked_email,
+    t4_star_y_star,
+    t5_drop_stars,
+    t6_strip,
+    t7_ascii_upper,
+)
+
+
+@memo
+def clean_pre(c: ColumnOrName) -> Column:
+    """T1..T7: each step reads its input once, so the tree stays linear."""
     s = col(c)
-    for step in (
-        t1_leading_dot,
-        t2_collapse_ws,
-        t3_masked_email,
-        t4_star_y_star,
-        t5_drop_stars,
-        t6_strip,
-        t7_ascii_upper,
-        t8_trailing_comma,
-        t9_quotes_newlines,
-    ):
+    for step in _PRE_STEPS:
         s = step(s)
+    return s
+
+
+@memo
+def clean_post(pre: ColumnOrName, null_as_empty: bool = True) -> Column:
+    """T8, T9 and T0 on the output of `clean_pre`."""
+    s = t9_quotes_newlines(t8_trailing_comma(pre))
     return F.coalesce(s, F.lit("")) if null_as_empty else s
 
 
+@memo
+def clean(c: ColumnOrName, null_as_empty: bool = True) -> Column:
+    """Full normalisation T1..T9; T0: null -> '' (or null), '' -> ''."""
+    return clean_post(clean_pre(c), null_as_empty)
+
+
+def with_clean(df: DataFrame, columns: dict[str, str], null_as_empty: bool = True) -> DataFrame:
+    """Add cleaned columns {out: in} in two projections, so T8's triple
+    use of its input reads a column instead of repeating the T1..T7 chain
+    (keeps analysis fast and evaluation single)."""
+    tmp = {f"_pre_{out}": clean_pre(src) for out, src in columns.items()}
+    df = df.withColumns(tmp)
+    df = df.withColumns({out: clean_post(f"_pre_{out}", null_as_empty) for out in columns})
+    return df.drop(*tmp)
+
+
 CLEAN_STEPS: dict[str, Callable[[ColumnOrName], Column]] = {
     "t1_leading_dot": t1_leading_dot,
     "t2_collapse_ws": t2_collapse_ws,

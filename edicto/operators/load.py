@@ -18,11 +18,10 @@ from edicto.functions.text import ColumnOrName, col
 
 
 def _pick_by_key(df: DataFrame, keys: Sequence[str], order: str, fn) -> DataFrame:
-    rest = [c for c in df.columns if c not in keys]
+    cols = df.columns
+    rest = [c for c in cols if c not in keys]
     picked = df.groupBy(*keys).agg(fn(F.struct(*rest), F.col(order)).alias("_row"))
-    return picked.select(*keys, *[F.col("_row")[c].alias(c) for c in rest]).select(
-        *df.columns
-    )
+    return picked.select(*[F.col(c) if c in keys else F.col("_row")[c].alias(c) for c in cols])
 
 
 def first_by_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:

@@ -25,7 +25,7 @@ from edicto.functions.extract import (
     origin_court,
     rulings,
 )
-from edicto.functions.text import clean
+from edicto.functions.text import with_clean
 from edicto.operators.joins import broadcast_checked
 
 # Output columns of `extract_records` (fecha_insercion is set at load time).
@@ -83,28 +83,38 @@ def reject_reason() -> F.Column:
     )
 
 
+CLEANED = {
+    "actor": "_actor",
+    "demandado": "_demandado",
+    "entidad": "entidad_name",
+    "expediente": "_expediente",
+    "fecha": "fecha",
+    "juzgado": "juzgado",
+    "tipo": "_tipo",
+    "acuerdos": "_acuerdos",
+    "Organo_jurisdiccional_origen": "_origin_court",
+}
+
+
 def to_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Clean the raw fields and lay out the record in stored order, plus
     `keep` pass-through columns and the reject reason."""
-    cols = {
-        "actor": clean("_actor"),
-        "demandado": clean("_demandado"),
-        "entidad": clean("entidad_name"),
-        "expediente": clean("_expediente"),
-        "fecha": clean("fecha"),
-        "fuero": F.lit(FUERO),
-        "juzgado": clean("juzgado"),
-        "tipo": clean("_tipo"),
-        "acuerdos": clean("_acuerdos"),
-        "Organo_jurisdiccional_origen": clean("_origin_court"),
-        "expediente_origen": F.col("expediente_origen"),
-        "materia": F.col("materia"),
-        "origen": F.lit(ORIGEN),
-        "fecha_tecnica": technical_ts("fecha"),
-    }
+    staged = df.withColumn(REJECT_COLUMN, reject_reason()).withColumn(
+        "fecha_tecnica", technical_ts("fecha")
+    )
+    staged = with_clean(staged, {f"_clean_{k}": v for k, v in CLEANED.items()})
+    cols = {k: F.col(f"_clean_{k}") for k in CLEANED}
+    cols.update(
+        {
+            "fuero": F.lit(FUERO),
+            "expediente_origen": F.col("expediente_origen"),
+            "materia": F.col("materia"),
+            "origen": F.lit(ORIGEN),
+            "fecha_tecnica": F.col("fecha_tecnica"),
+        }
+    )
     for f in EMPTY_FIELDS:
         cols[f] = F.lit("")
-    staged = df.withColumn(REJECT_COLUMN, reject_reason())
     return staged.select(
         *keep, *[cols[f].alias(f) for f in RECORD_COLUMNS], REJECT_COLUMN
     )
