@@ -61,7 +61,9 @@ def section_links(df: DataFrame, html: str = "html",
     chunks = F.split(body, r"(?i)(?=<(?:" + alt + r")\b)")
     out = df.select(*keep, F.posexplode(chunks).alias("chunk_no", "chunk"))
     section = F.lower(F.regexp_extract("chunk", r"(?i)^<(" + alt + r")\b", 1))
-    out = out.withColumn("section", F.nullif(section, F.lit("")))
+    out = out.withColumn("section", F.nullif(section, F.lit(""))).withColumn(
+        "section_id", F.when(F.col("section").isNotNull(), H.tag_attr("chunk", "id"))
+    )
     # inside = the chunk up to the section's own closing tag
     inside = F.when(
         F.col("section").isNotNull(),
@@ -73,24 +75,64 @@ def section_links(df: DataFrame, html: str = "html",
         F.when(F.col("section").isNotNull(), F.substring(F.col("chunk"), F.length("inside") + 1, 1 << 30))
         .otherwise(F.col("chunk")),
     )
+    none = F.lit(None).cast("string")
     parts = F.array(
-        F.struct(F.col("section").alias("section"), F.col("inside").alias("frag")),
-        F.struct(F.lit(None).cast("string").alias("section"), F.col("outside").alias("frag")),
+        F.struct(F.col("section").alias("section"), F.col("section_id").alias("section_id"),
+                 F.col("inside").alias("frag")),
+        F.struct(none.alias("section"), none.alias("section_id"), F.col("outside").alias("frag")),
     )
     out = out.select(*keep, "chunk_no", F.posexplode(parts).alias("part", "p")).select(
-        *keep, "chunk_no", "part", "p.section", "p.frag"
+        *keep, "chunk_no", "part", "p.section", "p.section_id", "p.frag"
     )
     out = out.select(
-        *keep, "chunk_no", "part", "section",
+        *keep, "chunk_no", "part", "section", "section_id",
         F.posexplode(F.regexp_extract_all(F.coalesce("frag", F.lit("")), F.lit(H.RX_A), F.lit(0))).alias("i", "a"),
     )
     return out.select(
         *keep,
         (F.col("chunk_no") * 1_000_000 + F.col("part") * 500_000 + F.col("i")).alias("order_key"),
         "section",
+        "section_id",
         H.tag_attr("a", "href").alias("href"),
         H.link_text("a").alias("text"),
+        H.tag_attr("a", "class").alias("css_class"),
+    )
+
+
+def build_courts(listing: DataFrame, html: str = "html", url: str = "url",
+                 css_class: str = "a", href_contains: str = "LiAcuerdos", skip: int = 3,
+                 calendar_url: str | None = None) -> DataFrame:
+    """Court dimension from listing pages: links of class `css_class`
+    whose href contains `href_contains`, minus the first `skip` of each
+    page; municipality = enclosing table id lower-cased without 'tbl';
+    absolute URL, JuzId query parameter and subject from the name; one row
+    per URL, the later link winning (U3).  A listing page holds a bounded
+    number of links, so numbering them per page is a small window."""
+    from pyspark.sql import Window
+
+    from edicto.functions.classify import classify_subject
+    from edicto.functions.urls import query_param, url_join
+    from edicto.operators.load import last_by_key
+
+    ln = section_links(listing, html, tags=("table",), keep=(url,))
+    ln = ln.filter(
+        (F.coalesce(F.col("css_class"), F.lit("")) == F.lit(css_class))
+        & F.coalesce(F.col("href").contains(href_contains), F.lit(False))
+    )
+    ln = ln.withColumn("pos", F.row_number().over(Window.partitionBy(url).orderBy("order_key")) - 1)
+    ln = ln.filter(F.col("pos") >= skip)
+    court_url = url_join(F.col(url), F.col("href"))
+    courts = ln.select(
+        court_url.alias("court_url"),
+        F.col("text").alias("juzgado"),
+        F.replace(F.lower("section_id"), F.lit("tbl"), F.lit("")).alias("entidad_code"),
+        query_param(court_url, "JuzId").alias("juz_id"),
+        classify_subject("text").alias("materia"),
+        F.col(url).alias("listing_url"),
+        F.col("order_key"),
     )
+    courts = last_by_key(courts, ["court_url"], "order_key").drop("order_key")
+    return courts.withColumn("calendar_url", F.lit(calendar_url).cast("string"))
 
 
 def table_rows(df: DataFrame, html: str = "html", table_id: str = RESULTS_TABLE_ID,

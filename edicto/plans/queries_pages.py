@@ -151,7 +151,7 @@ def _sections_sql() -> str:
 def html_sections(spark, sf_dir):
     """H3: links with their enclosing section (nav / article / footer)."""
     df = HO.section_links(read_table(spark, sf_dir, "pages"), "html", keep=("page_id",))
-    return df.withColumn("order_key", F.col("order_key").cast("long"))
+    return df.select("page_id", F.col("order_key").cast("long").alias("order_key"), "section", "href", "text")
 
 
 ARTICLE_RX = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
