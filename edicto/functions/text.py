@@ -145,14 +145,37 @@ def clean(c: ColumnOrName, null_as_empty: bool = True) -> Column:
     return clean_post(clean_pre(c), null_as_empty)
 
 
+@memo
+def _steps_1_to_6(c: ColumnOrName) -> Column:
+    s = col(c)
+    for step in _PRE_STEPS[:-1]:
+        s = step(s)
+    return s
+
+
+def t7_guarded(c: ColumnOrName) -> Column:
+    """T7 with its 1:n replacements (one pass each) run only for values
+    holding such a character; meant for a column input (two references)."""
+    s = col(c)
+    multi = s
+    for ch, rep in TRANSLIT_MULTI:
+        multi = F.replace(multi, F.lit(ch), F.lit(rep))
+    s = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
+    s = F.translate(s, TRANSLIT_FROM, TRANSLIT_TO)
+    s = F.regexp_replace(s, RX_NON_ASCII, "")
+    return F.upper(s)
+
+
 def with_clean(df: DataFrame, columns: dict[str, str], null_as_empty: bool = True) -> DataFrame:
-    """Add cleaned columns {out: in} in two projections, so T8's triple
-    use of its input reads a column instead of repeating the T1..T7 chain
-    (keeps analysis fast and evaluation single)."""
-    tmp = {f"_pre_{out}": clean_pre(src) for out, src in columns.items()}
-    df = df.withColumns(tmp)
-    df = df.withColumns({out: clean_post(f"_pre_{out}", null_as_empty) for out in columns})
-    return df.drop(*tmp)
+    """Add cleaned columns {out: in} in three projections (T1..T6, T7,
+    T8..T9): steps that read their input more than once read a column
+    instead of repeating the chain, which keeps the plan small and every
+    step evaluated once per row."""
+    a = {f"_pa_{out}": src for out, src in columns.items()}
+    df = df.withColumns({k: _steps_1_to_6(v) for k, v in a.items()})
+    df = df.withColumns({k: t7_guarded(k) for k in a})
+    df = df.withColumns({out: clean_post(f"_pa_{out}", null_as_empty) for out in columns})
+    return df.drop(*a)
 
 
 CLEAN_STEPS: dict[str, Callable[[ColumnOrName], Column]] = {

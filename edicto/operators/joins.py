@@ -35,17 +35,45 @@ def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     )
 
 
-def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+# Rows of distinct keys a batch may have for the key-broadcast path of the
+# existence test (5 short strings per key: well under 100 MB at the bound).
+KEY_BROADCAST_MAX_ROWS = 500_000
+
+
+def _present_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str],
+                  max_rows: int) -> DataFrame | None:
+    """Distinct keys of `new` that `existing` holds, computed without
+    shuffling `existing`: when the batch's distinct keys are provably few,
+    they are broadcast and the stored side is streamed through a semi join.
+    Returns None when the batch is too large for that."""
+    new_keys = new.select(*keys).dropDuplicates(list(keys))
+    if not fits_broadcast(new_keys, max_rows):
+        return None
+    ex = existing.select(*keys)
+    nk = F.broadcast(new_keys)
+    hit = ex.join(nk, null_safe_condition(ex, nk, keys), "left_semi")
+    return hit.dropDuplicates(list(keys))
+
+
+def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str],
+                key_broadcast_max_rows: int = KEY_BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of `new` with no null-safe key match in `existing`.
 
-    The existing side is reduced to its distinct keys first (partial
-    aggregation before the shuffle), so a hot key costs one row per map
-    task instead of all its copies."""
-    ex = existing.select(*keys).dropDuplicates(list(keys))
-    return new.join(ex, null_safe_condition(new, ex, keys), "left_anti")
+    A new batch is small next to the stored records: its distinct keys are
+    broadcast and the stored side is only scanned (no shuffle of it), then
+    the few matching keys are removed from the batch.  For a batch beyond
+    the bound, the stored side is reduced to distinct keys (partial
+    aggregation before the shuffle) and joined with a shuffle anti join."""
+    present = _present_keys(new, existing, keys, key_broadcast_max_rows)
+    if present is None:
+        present = existing.select(*keys).dropDuplicates(list(keys))
+    return new.join(present, null_safe_condition(new, present, keys), "left_anti")
 
 
-def present_in(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def present_in(new: DataFrame, existing: DataFrame, keys: Sequence[str],
+               key_broadcast_max_rows: int = KEY_BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows of `new` that already exist (the duplicates report)."""
-    ex = existing.select(*keys).dropDuplicates(list(keys))
-    return new.join(ex, null_safe_condition(new, ex, keys), "left_semi")
+    present = _present_keys(new, existing, keys, key_broadcast_max_rows)
+    if present is None:
+        present = existing.select(*keys).dropDuplicates(list(keys))
+    return new.join(present, null_safe_condition(new, present, keys), "left_semi")

@@ -43,6 +43,8 @@ def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> Data
         classify_subject("juzgado").alias("materia"),
         map_code("entidad_code").alias("entidad_name"),
     )
+    # Court-level fields are cleaned once per court, not once per row.
+    dim = with_clean(dim, {"_clean_juzgado": "juzgado", "_clean_entidad": "entidad_name"})
     return rows.join(broadcast_checked(dim), on, "inner")
 
 
@@ -86,10 +88,8 @@ def reject_reason() -> F.Column:
 CLEANED = {
     "actor": "_actor",
     "demandado": "_demandado",
-    "entidad": "entidad_name",
     "expediente": "_expediente",
     "fecha": "fecha",
-    "juzgado": "juzgado",
     "tipo": "_tipo",
     "acuerdos": "_acuerdos",
     "Organo_jurisdiccional_origen": "_origin_court",
@@ -106,6 +106,8 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     cols = {k: F.col(f"_clean_{k}") for k in CLEANED}
     cols.update(
         {
+            "juzgado": F.col("_clean_juzgado"),
+            "entidad": F.col("_clean_entidad"),
             "fuero": F.lit(FUERO),
             "expediente_origen": F.col("expediente_origen"),
             "materia": F.col("materia"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edicto.functions.classify import classify_subject
-from edicto.operators.joins import broadcast_checked
+from edicto.operators.joins import absent_from, broadcast_checked
 from edicto.operators.load import work_key
 
 
@@ -36,7 +36,7 @@ def plan_units(days: DataFrame, courts: DataFrame) -> DataFrame:
 
 
 def pending(units: DataFrame, ledger: DataFrame, key: str = "work_key") -> DataFrame:
-    """Units whose key is not in the ledger (anti join; the ledger is
-    reduced to distinct keys first)."""
-    seen = ledger.select(F.col(key)).dropDuplicates([key])
-    return units.join(seen, key, "left_anti")
+    """Units whose key is not in the ledger.  The ledger only grows;
+    a run's units are few, so their keys are broadcast against the ledger
+    (no shuffle of the ledger) before the anti join."""
+    return absent_from(units, ledger.select(F.col(key)), [key])

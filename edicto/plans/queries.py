@@ -247,7 +247,7 @@ def technical_ts_q(spark, sf_dir):
     f"SELECT doc_id, {O.clean_sql('text')} AS text_clean FROM documents",
 )
 def clean_text_q(spark, sf_dir):
-    return read_table(spark, sf_dir, "documents").select(
+    return R.spread(read_table(spark, sf_dir, "documents")).select(
         "doc_id", clean("text").alias("text_clean")
     )
 
@@ -268,7 +268,7 @@ def _step_query(step: str) -> Query:
     fn = CLEAN_STEPS[step]
 
     def q(spark, sf_dir):
-        return read_table(spark, sf_dir, "documents").select("doc_id", fn("text").alias("value"))
+        return R.spread(read_table(spark, sf_dir, "documents")).select("doc_id", fn("text").alias("value"))
 
     return q
 

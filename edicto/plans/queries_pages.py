@@ -628,4 +628,4 @@ def split_two_q(spark, sf_dir):
 )
 def classify_keywords_q(spark, sf_dir):
     """L1 + L4 over the documents table."""
-    return read_table(spark, sf_dir, "documents").select("doc_id", classify_subject("text").alias("materia"))
+    return R.spread(read_table(spark, sf_dir, "documents")).select("doc_id", classify_subject("text").alias("materia"))
