@@ -123,11 +123,19 @@ def has_nested(fragment: ColumnOrName, tag: str) -> Column:
     return col(fragment).rlike(r"(?is)<" + re.escape(tag) + r"\b")
 
 
+# Joins the text nodes of one fragment while entities are decoded (a NUL
+# cannot occur in HTML text).
+_NODE_SEP = "\u0000"
+
+
 def text_nodes(fragment: ColumnOrName) -> Column:
     """`//text()`: descendant text nodes in order, whitespace-only nodes
-    kept, entities decoded."""
-    parts = F.split(col(fragment), RX_TAG)
-    return F.transform(F.filter(parts, lambda x: x != F.lit("")), lambda x: unescape(x))
+    kept, entities decoded.  Built from non-lambda functions (split,
+    array_remove, array_join), so it runs inside whole-stage codegen;
+    entities are decoded once per fragment, after tags are split off."""
+    parts = F.array_remove(F.split(col(fragment), RX_TAG), "")
+    decoded = F.split(unescape(F.array_join(parts, _NODE_SEP)), _NODE_SEP)
+    return F.when(F.size(parts) == 0, F.array().cast("array<string>")).otherwise(decoded)
 
 
 def link_text(a: ColumnOrName) -> Column:

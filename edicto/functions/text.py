@@ -145,34 +145,36 @@ def clean(c: ColumnOrName, null_as_empty: bool = True) -> Column:
     return clean_post(clean_pre(c), null_as_empty)
 
 
-@memo
-def _steps_1_to_6(c: ColumnOrName) -> Column:
+RX_ANY_NON_ASCII = r"[^\x00-\x7F]"
+
+
+def _stars_and_strip(c: ColumnOrName) -> Column:
+    """T3..T6 on a column: the star rules run only when a '*' is present."""
     s = col(c)
-    for step in _PRE_STEPS[:-1]:
-        s = step(s)
-    return s
+    starred = t5_drop_stars(t4_star_y_star(t3_masked_email(s)))
+    return t6_strip(F.when(s.contains("*"), starred).otherwise(s))
 
 
 def t7_guarded(c: ColumnOrName) -> Column:
-    """T7 with its 1:n replacements (one pass each) run only for values
-    holding such a character; meant for a column input (two references)."""
+    """T7 on a column: ASCII-only values are just upper-cased; the 1:n
+    replacements (one pass each) run only for values holding such a
+    character."""
     s = col(c)
     multi = s
     for ch, rep in TRANSLIT_MULTI:
         multi = F.replace(multi, F.lit(ch), F.lit(rep))
-    s = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
-    s = F.translate(s, TRANSLIT_FROM, TRANSLIT_TO)
-    s = F.regexp_replace(s, RX_NON_ASCII, "")
-    return F.upper(s)
+    t = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
+    t = F.regexp_replace(F.translate(t, TRANSLIT_FROM, TRANSLIT_TO), RX_NON_ASCII, "")
+    return F.upper(F.when(s.rlike(RX_ANY_NON_ASCII), t).otherwise(s))
 
 
 def with_clean(df: DataFrame, columns: dict[str, str], null_as_empty: bool = True) -> DataFrame:
-    """Add cleaned columns {out: in} in three projections (T1..T6, T7,
-    T8..T9): steps that read their input more than once read a column
-    instead of repeating the chain, which keeps the plan small and every
-    step evaluated once per row."""
+    """Add cleaned columns {out: in} in four projections (T1-T2, T3-T6,
+    T7, T8-T9).  Guarded steps read a column, so a guard costs one cheap
+    test instead of repeating the chain, and every step runs once per row."""
     a = {f"_pa_{out}": src for out, src in columns.items()}
-    df = df.withColumns({k: _steps_1_to_6(v) for k, v in a.items()})
+    df = df.withColumns({k: t2_collapse_ws(t1_leading_dot(v)) for k, v in a.items()})
+    df = df.withColumns({k: _stars_and_strip(k) for k in a})
     df = df.withColumns({k: t7_guarded(k) for k in a})
     df = df.withColumns({out: clean_post(f"_pa_{out}", null_as_empty) for out in columns})
     return df.drop(*a)

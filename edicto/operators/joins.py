@@ -63,7 +63,9 @@ def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str],
     broadcast and the stored side is only scanned (no shuffle of it), then
     the few matching keys are removed from the batch.  For a batch beyond
     the bound, the stored side is reduced to distinct keys (partial
-    aggregation before the shuffle) and joined with a shuffle anti join."""
+    aggregation before the shuffle) and joined with a shuffle anti join.
+    The size check reads the batch's keys once, so persist `new` when it
+    is expensive to compute (a micro-batch usually is persisted already)."""
     present = _present_keys(new, existing, keys, key_broadcast_max_rows)
     if present is None:
         present = existing.select(*keys).dropDuplicates(list(keys))

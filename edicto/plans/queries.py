@@ -355,7 +355,7 @@ _NULL_SAFE = " AND ".join(f"e.{k} IS NOT DISTINCT FROM n.{k}" for k in DEDUP_KEY
 def append_if_absent_q(spark, sf_dir):
     """J4 + G4: first capture per key, minus keys already stored by an
     earlier run (the valid records dated before STORED_BEFORE)."""
-    new = first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no")
+    new = first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no").persist()
     return absent_from(new, _existing(spark, sf_dir), DEDUP_KEYS)
 
 
@@ -366,5 +366,5 @@ def append_if_absent_q(spark, sf_dir):
 )
 def duplicate_report_q(spark, sf_dir):
     """First capture per key that is already stored."""
-    new = first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no")
+    new = first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no").persist()
     return present_in(new, _existing(spark, sf_dir), DEDUP_KEYS)

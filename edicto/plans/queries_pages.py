@@ -382,7 +382,7 @@ _FX_KEY_SQL = (
 def pending_units_q(spark, sf_dir):
     """Planned units whose day page was not captured yet (ledger =
     work keys of the captured rows)."""
-    units = _units(spark, sf_dir).select("work_key", "court_url", "fecha", "day_arg", "materia")
+    units = _units(spark, sf_dir).select("work_key", "court_url", "fecha", "day_arg", "materia").persist()
     return pending(units, _fx_work_keys(spark, sf_dir))
 
 
