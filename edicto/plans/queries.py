@@ -339,9 +339,14 @@ def _existing_sql() -> str:
 STORED_BEFORE = "1998/01/01"
 
 
-def _existing(spark, sf_dir) -> DataFrame:
-    recs = R.valid(R.extract_records(_fx(spark, sf_dir), fixture_courts(spark), keep=("row_id",)))
-    return recs.filter(F.col("fecha") < F.lit(STORED_BEFORE))
+def _new_and_existing(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """The run's batch (first capture per key) and the records an earlier
+    run stored (valid records dated before STORED_BEFORE).  Both come from
+    one extraction of the captured rows: a record's key does not depend on
+    which capture produced it, and the existence test reads only keys."""
+    recs = _dup_records(spark, sf_dir).persist()
+    new = first_by_key(recs, DEDUP_KEYS, "seq_no")
+    return new, recs.filter(F.col("fecha") < F.lit(STORED_BEFORE))
 
 
 _NULL_SAFE = " AND ".join(f"e.{k} IS NOT DISTINCT FROM n.{k}" for k in DEDUP_KEYS)
@@ -355,8 +360,8 @@ _NULL_SAFE = " AND ".join(f"e.{k} IS NOT DISTINCT FROM n.{k}" for k in DEDUP_KEY
 def append_if_absent_q(spark, sf_dir):
     """J4 + G4: first capture per key, minus keys already stored by an
     earlier run (the valid records dated before STORED_BEFORE)."""
-    new = first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no").persist()
-    return absent_from(new, _existing(spark, sf_dir), DEDUP_KEYS)
+    new, existing = _new_and_existing(spark, sf_dir)
+    return absent_from(new, existing, DEDUP_KEYS)
 
 
 @register(
@@ -366,5 +371,5 @@ def append_if_absent_q(spark, sf_dir):
 )
 def duplicate_report_q(spark, sf_dir):
     """First capture per key that is already stored."""
-    new = first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no").persist()
-    return present_in(new, _existing(spark, sf_dir), DEDUP_KEYS)
+    new, existing = _new_and_existing(spark, sf_dir)
+    return present_in(new, existing, DEDUP_KEYS)
