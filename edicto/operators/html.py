@@ -174,18 +174,34 @@ def cell_nodes(cells: str | Column, i: int) -> Column:
     return F.coalesce(H.text_nodes(H.inner(cell)), F.array().cast("array<string>"))
 
 
-def day_page_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
+def day_page_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = (),
+                  fallback: bool = False) -> DataFrame:
     """H4-H6 for a day page: one row per result row with the node lists
-    `numero_nodes`, `n2`, `n3` the extraction operators read."""
-    rows = table_rows(df, html, RESULTS_TABLE_ID, True, keep)
+    `numero_nodes`, `n2`, `n3` the extraction operators read.
+
+    The native path pairs tables nested one level deep inside a cell.  With
+    `fallback=True`, pages whose result table nests deeper go to the stdlib
+    parser (`html_fallback`) and all others stay native; the routing reads
+    the page table in two branches, so it is opt-in for sites that nest
+    result tables that deeply."""
+    native = df
+    routed = None
+    if fallback:
+        from edicto.operators import html_fallback as FB
+
+        flagged = df.withColumn("_deep", FB.needs_parser(html))
+        native = flagged.filter(~F.col("_deep")).drop("_deep")
+        routed = FB.parse_rows(flagged.filter(F.col("_deep")).drop("_deep"), html, keep)
+    rows = table_rows(native, html, RESULTS_TABLE_ID, True, keep)
     cells = row_cells("row_html", "valign")
-    return rows.select(
+    out = rows.select(
         *keep,
         "row_pos",
         cell_nodes(cells, 0).alias("numero_nodes"),
         cell_nodes(cells, 1).alias("n2"),
         cell_nodes(cells, 2).alias("n3"),
     )
+    return out if routed is None else out.unionByName(routed)
 
 
 # --- calendar pages (H8-H10) -------------------------------------------------------

@@ -1,0 +1,106 @@
+"""Parser fallback for result tables the regex path cannot pair.
+
+The native path handles tables nested one level deep inside a cell.  A
+page whose result table nests deeper is routed here: `mapInPandas` runs a
+small stdlib `html.parser` walk per page over Arrow batches.  Only routed
+pages pay for Python, and each page is handled inside one task.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from edicto.constants import RESULTS_TABLE_ID
+from edicto.functions import html as H
+
+
+class _ResultRows(HTMLParser):
+    """Text nodes of the `having`-attribute cells of each row of the table
+    with id `table_id` (rows of nested tables belong to their cell)."""
+
+    def __init__(self, table_id: str, having: str):
+        super().__init__(convert_charrefs=True)
+        self.table_id, self.having = table_id, having
+        self.depth = 0          # table depth inside the target table (1 = target)
+        self.in_body = False
+        self.rows: list[list[list[str]]] = []
+        self.cell: list[str] | None = None
+        self.cell_depth = 0
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "table":
+            if self.depth == 0 and dict(attrs).get("id") == self.table_id:
+                self.depth = 1
+            elif self.depth:
+                self.depth += 1
+        elif self.depth == 1 and tag == "tbody":
+            self.in_body = True
+        elif self.depth == 1 and self.in_body and tag == "tr":
+            self.rows.append([])
+        elif self.depth == 1 and self.in_body and tag == "td" and self.rows:
+            self.cell = [] if any(k == self.having for k, _ in attrs) else None
+            if self.cell is not None:
+                self.rows[-1].append(self.cell)
+
+    def handle_endtag(self, tag):
+        if tag == "table" and self.depth:
+            self.depth -= 1
+        elif tag == "tbody" and self.depth == 1:
+            self.in_body = False
+        elif tag == "td" and self.depth == 1:
+            self.cell = None
+
+    def handle_data(self, data):
+        if self.cell is not None and data:
+            self.cell.append(data)
+
+
+ROWS_SCHEMA = T.StructType(
+    [
+        T.StructField("row_pos", T.IntegerType()),
+        T.StructField("numero_nodes", T.ArrayType(T.StringType())),
+        T.StructField("n2", T.ArrayType(T.StringType())),
+        T.StructField("n3", T.ArrayType(T.StringType())),
+    ]
+)
+
+
+def _parse_batches(keep: Sequence[str], html: str, table_id: str, having: str):
+    def fn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for rec in b.to_dict("records"):
+                p = _ResultRows(table_id, having)
+                p.feed(rec[html] or "")
+                p.close()
+                for pos, cells in enumerate(p.rows):
+                    nodes = [cells[i] if i < len(cells) else [] for i in range(3)]
+                    out.append({**{k: rec[k] for k in keep}, "row_pos": pos,
+                                "numero_nodes": nodes[0], "n2": nodes[1], "n3": nodes[2]})
+            yield pd.DataFrame(out, columns=[*keep, *ROWS_SCHEMA.fieldNames()])
+
+    return fn
+
+
+def needs_parser(html: str | Column, table_id: str = RESULTS_TABLE_ID) -> Column:
+    """True when the result table's extracted body has unbalanced table
+    tags, i.e. nesting deeper than the regex path pairs.  Pages with fewer
+    than three tables cannot nest that deep and skip the extraction."""
+    h = H.col(html)
+    body = H.element_by_id(H.strip_noise(h), "table", table_id)
+    opens = F.regexp_count(body, F.lit(r"(?i)<table\b"))
+    closes = F.regexp_count(body, F.lit(r"(?i)</table\s*>"))
+    return (F.regexp_count(h, F.lit(r"(?i)<table\b")) >= 3) & (opens != closes)
+
+
+def parse_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = (),
+               table_id: str = RESULTS_TABLE_ID, having: str = "valign") -> DataFrame:
+    """Rows and cell text nodes of routed pages, via `mapInPandas`."""
+    schema = T.StructType([*[df.schema[k] for k in keep], *ROWS_SCHEMA.fields])
+    return df.select(*keep, html).mapInPandas(_parse_batches(list(keep), html, table_id, having), schema)

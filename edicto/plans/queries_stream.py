@@ -95,11 +95,14 @@ def _ingest_sql() -> str:
 
 @register("ingest_records", _ingest_sql())
 def ingest_records_q(spark, sf_dir):
-    """R1 end to end: captured day pages arrive in two runs (the second
-    re-captures the month before the cutoff); records are appended if
-    absent.  The insertion clock is left out of the result."""
+    """R1 + R4 end to end: captured day pages arrive in two runs (the
+    second re-captures the month before the cutoff, which the page ledger
+    skips unparsed); records are appended if absent.  The insertion clock
+    is left out of the result."""
     base = shared_path(spark, "ingest", uuid.uuid4().hex)
-    caps, recs, quar, ckpt = (f"{base}/{n}" for n in ("captures", "records", "quarantine", "ckpt"))
+    caps, recs, quar, ckpt, seen = (
+        f"{base}/{n}" for n in ("captures", "records", "quarantine", "ckpt", "pages_seen")
+    )
     pages = day_pages(spark, sf_dir)
     courts = fixture_courts(spark)
     for part in (
@@ -107,5 +110,5 @@ def ingest_records_q(spark, sf_dir):
         pages.filter(F.col("fecha") >= F.lit(RECAPTURE_FROM)),
     ):
         write_captures(part, caps)
-        ingest_captures(spark, caps, recs, quar, ckpt, courts)
+        ingest_captures(spark, caps, recs, quar, ckpt, courts, page_ledger_path=seen)
     return read_records(spark, recs).select(*R.RECORD_COLUMNS, "anio_mes")

@@ -46,3 +46,12 @@ DAY = (
     '<td valign="top"></td></tr>'
     "</tbody></table></body></html>"
 )
+
+DEEP = (
+    '<html><body><table id="ctl00_ContentPlaceHolder1_tblResultados"><tbody>'
+    '<tr><td valign="top">1/2020</td><td>1</td>'
+    '<td valign="top">A.- <table><tr><td><table><tr><td>HONDO</td></tr></table></td></tr></table> VS B</td>'
+    '<td valign="top">s&iacute;</td></tr>'
+    '<tr><td valign="top">2/2020</td><td>2</td><td valign="top">C VS D</td><td valign="top"></td></tr>'
+    "</tbody></table></body></html>"
+)

@@ -44,3 +44,16 @@ def test_links_skip_and_filter(spark):
     assert [r.text for r in out] == ["Primero Mercantil", "Segundo Familiar", "Primero Penal",
                                      "Primero Penal Renombrado"]
     assert all(F is not None for F in out)
+
+
+def test_deep_nesting_routed_to_parser(spark):
+    from edicto.operators.html_fallback import needs_parser
+    from tests.golden import DEEP
+
+    df = spark.createDataFrame([(1, DEEP), (2, DAY)], ["page", "html"])
+    flags = {r.page: r.f for r in df.select("page", needs_parser("html").alias("f")).collect()}
+    assert flags == {1: True, 2: False}
+    rows = {(r.page, r.row_pos): r for r in HO.day_page_rows(df, keep=("page",), fallback=True).collect()}
+    assert rows[(1, 0)].n2 == ["A.- ", "HONDO", " VS B"] and rows[(1, 0)].n3 == ["sí"]
+    assert rows[(1, 1)].numero_nodes == ["2/2020"] and rows[(1, 1)].n3 == []
+    assert rows[(2, 2)].n2 == ["DIVORCIO.- ", "LUIS", " VS MARIA"]  # native path
