@@ -629,3 +629,19 @@ def split_two_q(spark, sf_dir):
 def classify_keywords_q(spark, sf_dir):
     """L1 + L4 over the documents table."""
     return R.spread(read_table(spark, sf_dir, "documents")).select("doc_id", classify_subject("text").alias("materia"))
+
+
+@register(
+    "html_hidden_inputs",
+    FX_COURTS
+    + f"SELECT DISTINCT {_page_url_sql()} AS url, 'dDwtMTA=' AS viewstate, 'wEWAg==' AS eventvalidation "
+    "FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",
+)
+def html_hidden_inputs(spark, sf_dir):
+    """H7 by element id: the form state fields (`input#__VIEWSTATE`,
+    `input#__EVENTVALIDATION`) of every captured day page."""
+    return day_pages(spark, sf_dir).select(
+        "url",
+        H.html_attr("html", "input", "value", id_="__VIEWSTATE").alias("viewstate"),
+        H.html_attr("html", "input", "value", id_="__EVENTVALIDATION").alias("eventvalidation"),
+    )
