@@ -118,6 +118,13 @@ WS = (
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
 
+# The same set as literal characters (for btrim).
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(chr(c) for c in range(0x2000, 0x200B))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
+
 # Characters whose transliteration is more than one letter or that have no
 # canonical decomposition.  (character, replacement)
 _TRANSLIT_SPECIAL = (

@@ -19,6 +19,7 @@ from edicto.constants import (
     TRANSLIT_MULTI,
     TRANSLIT_TO,
     WS,
+    WS_CHARS,
 )
 
 ColumnOrName = Union[Column, str]
@@ -65,7 +66,8 @@ def memo(fn):
 
 def t1_leading_dot(c: ColumnOrName) -> Column:
     """Remove one leading '.' (before any trimming)."""
-    return F.regexp_replace(col(c), RX_LEADING_DOT, "")
+    s = col(c)
+    return F.when(s.startswith("."), F.substring(s, 2, 1 << 30)).otherwise(s)
 
 
 def t2_collapse_ws(c: ColumnOrName) -> Column:
@@ -87,8 +89,9 @@ def t5_drop_stars(c: ColumnOrName) -> Column:
 
 
 def t6_strip(c: ColumnOrName) -> Column:
-    """Unicode strip (Spark's trim() only removes spaces)."""
-    return F.regexp_replace(col(c), RX_EDGE_WS, "")
+    """Unicode strip: every whitespace character of Python's str.strip()
+    from both ends (plain trim() only removes spaces)."""
+    return F.btrim(col(c), F.lit(WS_CHARS))
 
 
 def t7_ascii_upper(c: ColumnOrName) -> Column:
@@ -109,7 +112,8 @@ def t8_trailing_comma(c: ColumnOrName) -> Column:
 
 
 def t9_quotes_newlines(c: ColumnOrName) -> Column:
-    return F.translate(col(c), '"\n', "' ")
+    s = col(c)
+    return F.when(s.contains('"') | s.contains("\n"), F.translate(s, '"\n', "' ")).otherwise(s)
 
 
 _PRE_STEPS = (
@@ -165,7 +169,8 @@ def t7_guarded(c: ColumnOrName) -> Column:
         multi = F.replace(multi, F.lit(ch), F.lit(rep))
     t = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
     t = F.regexp_replace(F.translate(t, TRANSLIT_FROM, TRANSLIT_TO), RX_NON_ASCII, "")
-    return F.upper(F.when(s.rlike(RX_ANY_NON_ASCII), t).otherwise(s))
+    # all-ASCII <=> as many bytes as characters (no regex scan needed)
+    return F.upper(F.when(F.length(s) != F.octet_length(s), t).otherwise(s))
 
 
 def with_clean(df: DataFrame, columns: dict[str, str], null_as_empty: bool = True) -> DataFrame:
