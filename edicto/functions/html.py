@@ -44,17 +44,24 @@ def attr_pattern(attr: str) -> str:
     )
 
 
+RX_NOISE_START = r"(?i)<(?:!--|script\b|style\b)"
+
+
 def strip_noise(html: ColumnOrName) -> Column:
-    """Remove comments, <script> and <style> blocks."""
-    return F.regexp_replace(col(html), RX_NOISE, "")
+    """Remove comments, <script> and <style> blocks.  A find-only test
+    first, so pages without them are not rebuilt."""
+    h = col(html)
+    return F.when(h.rlike(RX_NOISE_START), F.regexp_replace(h, RX_NOISE, "")).otherwise(h)
 
 
 def unescape(c: ColumnOrName) -> Column:
-    """Decode the named references of ENTITIES."""
+    """Decode the named references of ENTITIES; text without '&' is
+    passed through without the replacement passes."""
     s = col(c)
+    decoded = s
     for ent, ch in ENTITIES:
-        s = F.replace(s, F.lit(ent), F.lit(ch))
-    return s
+        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
+    return F.when(s.contains("&"), decoded).otherwise(s)
 
 
 def open_tag(element: ColumnOrName) -> Column:

@@ -161,17 +161,17 @@ def _top_level(tag: str) -> str:
 
 
 def row_cells(row_html: str | Column, having_attr: str | None = "valign") -> Column:
-    """H5: cell elements of a row (`td`, whole strings), only those having
+    """H5: inner html of the row's cells (`td`), only those having
     `having_attr` when given (tested inside the pattern, no lambda)."""
     attr = "" if having_attr is None else r"(?=[^>]*?\s" + re.escape(having_attr) + r"\b)"
-    whole = r"(?is)(<td\b" + attr + r"[^>]*>" + _content("td") + r"</td\s*>)"
-    return F.regexp_extract_all(H.col(row_html), F.lit(whole), F.lit(1))
+    pattern = r"(?is)<td\b" + attr + r"[^>]*>(" + _content("td") + r")</td\s*>"
+    return F.regexp_extract_all(H.col(row_html), F.lit(pattern), F.lit(1))
 
 
 def cell_nodes(cells: str | Column, i: int) -> Column:
     """H6: text nodes of the i-th selected cell (0-based); [] if missing."""
     cell = F.get(H.col(cells), i)
-    return F.coalesce(H.text_nodes(H.inner(cell)), F.array().cast("array<string>"))
+    return F.coalesce(H.text_nodes(cell), F.array().cast("array<string>"))
 
 
 def day_page_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = (),

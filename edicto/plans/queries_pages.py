@@ -258,7 +258,7 @@ def _page_rows(spark, sf_dir) -> DataFrame:
     all_cells = HO.row_cells("row_html", None)
     return rows.select(
         "url", "court_url", "fecha", F.col("row_pos").cast("long").alias("row_pos"),
-        F.get(H.text_nodes(H.inner(F.get(all_cells, 1))), 0).cast("long").alias("row_id"),
+        F.get(H.text_nodes(F.get(all_cells, 1)), 0).cast("long").alias("row_id"),
         F.size(all_cells).cast("long").alias("n_cells"),
         F.size(cells).cast("long").alias("n_valign"),
         HO.cell_nodes(cells, 0).alias("numero_nodes"),
