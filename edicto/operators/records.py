@@ -123,11 +123,13 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work at least one partition per core.  A cluster
-    scan of large inputs already has far more partitions, so this is a
-    no-op there; it only splits small single-file inputs (round-robin)."""
+    """Give CPU-heavy row work at least one partition per core when the
+    input comes from fewer files than there are cores (small inputs whose
+    files cannot be split further).  A cluster scan reads thousands of
+    files, so this is a no-op there.  Only the plan is inspected
+    (`inputFiles`), nothing is executed."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
 
