@@ -145,9 +145,15 @@ def text_nodes(fragment: ColumnOrName) -> Column:
     return F.when(F.size(parts) == 0, F.array().cast("array<string>")).otherwise(decoded)
 
 
+# A child element with its content (one level), removed to keep only the
+# direct text of an element.
+RX_CHILD_ELEMENT = r"(?is)<[a-z][a-z0-9]*\b[^>]*>.*?</[a-z][a-z0-9]*\s*>"
+
+
 def link_text(a: ColumnOrName) -> Column:
-    """`./text()` of a link: its first direct text node."""
-    return F.get(text_nodes(inner(a)), 0)
+    """`./text()` of a link, first value: its first direct text node
+    (text inside child elements such as <b> is not direct text)."""
+    return F.get(text_nodes(F.regexp_replace(inner(a), RX_CHILD_ELEMENT, "")), 0)
 
 
 def html_attr(html: ColumnOrName, tag: str, attr: str, id_: str | None = None) -> Column:

@@ -241,7 +241,7 @@ def calendar_days(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
     out = out.filter(F.col("week") >= 2)
     out = out.select(
         *keep, "year", "week",
-        F.posexplode(F.regexp_extract_all("tr", F.lit(r"(?is)<td\b[^>]*>\s*(<a\b[^>]*>.*?</a\s*>)"), F.lit(1))).alias("i", "a"),
+        F.posexplode(F.regexp_extract_all("tr", F.lit(H.RX_A), F.lit(0))).alias("i", "a"),
     )
     out = out.select(
         *keep, "year", "week", "i",

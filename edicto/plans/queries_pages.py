@@ -74,7 +74,7 @@ def text_nodes_sql(frag: str) -> str:
 
 
 def link_text_sql(a: str) -> str:
-    return f"({text_nodes_sql(inner_sql(a))})[1]"
+    return f"({text_nodes_sql(O.rx_replace(inner_sql(a), H.RX_CHILD_ELEMENT, ''))})[1]"
 
 
 def links_sql(html: str) -> str:

@@ -57,3 +57,9 @@ def test_deep_nesting_routed_to_parser(spark):
     assert rows[(1, 0)].n2 == ["A.- ", "HONDO", " VS B"] and rows[(1, 0)].n3 == ["sí"]
     assert rows[(1, 1)].numero_nodes == ["2/2020"] and rows[(1, 1)].n3 == []
     assert rows[(2, 2)].n2 == ["DIVORCIO.- ", "LUIS", " VS MARIA"]  # native path
+
+
+def test_link_text_is_direct_text(spark):
+    html = '<p><a href="/x"><b>Negrita</b> directo</a><a href="/y">uno<br>dos</a></p>'
+    df = spark.createDataFrame([(html,)], ["html"])
+    assert [r.text for r in HO.extract_links(df).orderBy("pos").collect()] == [" directo", "uno"]
