@@ -123,12 +123,15 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work at least one partition per core when the
-    input comes from fewer files than there are cores (small inputs whose
-    files cannot be split further).  A cluster scan reads thousands of
-    files, so this is a no-op there.  Only the plan is inspected
-    (`inputFiles`), nothing is executed."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
+    """Give CPU-heavy row work at least one partition per core when a
+    local-mode input comes from fewer files than there are cores (small
+    files that cannot be split further).  On a cluster the scan's file
+    splits already give the parallelism and the file list is never pulled
+    to the driver, so this is a no-op there.  Nothing is executed."""
+    sc = df.sparkSession.sparkContext
+    if not sc.master.startswith("local"):
+        return df
+    cores = sc.defaultParallelism
     if len(df.inputFiles()) < cores:
         return df.repartition(cores)
     return df
