@@ -128,7 +128,10 @@ def spread(df: DataFrame) -> DataFrame:
     files that cannot be split further).  On a cluster the scan's file
     splits already give the parallelism and the file list is never pulled
     to the driver, so this is a no-op there.  Nothing is executed."""
-    sc = df.sparkSession.sparkContext
+    try:
+        sc = df.sparkSession.sparkContext
+    except Exception:  # no SparkContext on a Spark Connect client
+        return df
     if not sc.master.startswith("local"):
         return df
     cores = sc.defaultParallelism
