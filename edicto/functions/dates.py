@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from edicto.constants import CALENDAR_EPOCH, MONTHS, WS
 from edicto.functions.text import RX_EDGE_WS, ColumnOrName, col
 
+# FIXED VALUES: the source's date and calendar-code patterns (Java regex,
+# `WS` for `\s`).
 RX_DAY = "([0-9]{1,2})" + WS + "de"
 RX_YEAR = "([0-9]{4})"
 RX_MONTH = "(?d)(de.*)[0-9]{4}"

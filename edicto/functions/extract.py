@@ -29,8 +29,9 @@ from edicto.functions.text import (
     up,
 )
 
-# Patterns (Java dialect; `(?s)` where the source allows any character,
-# `WS` where the source says `\s`).
+# FIXED VALUES: the source's extraction patterns, in cascade order, written
+# for Java regex (`(?s)` where the source allows any character, `WS` where
+# it says `\s`).  They must keep matching what the source matches.
 RX_EXPEDIENTE_AMPARO = r"(?s)EXPEDIENTE(.*)AMPARO"
 RX_DELITO = r"(?s)(DELITO:.*?)(?:.-)"
 RX_BCS = (

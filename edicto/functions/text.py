@@ -24,8 +24,9 @@ from edicto.constants import (
 
 ColumnOrName = Union[Column, str]
 
-# Regex pieces (Java dialect).  `(?d)` makes `.` stop at `\n` only, as in
-# Python; Java's default `.` also stops at \r, U+0085, U+2028 and U+2029.
+# FIXED VALUES: the source's normalisation patterns in step order, written
+# for Java regex.  `(?d)` makes `.` stop at `\n` only, as in Python; Java's
+# default `.` also stops at \r, U+0085, U+2028 and U+2029.
 RX_LEADING_DOT = r"^\."
 RX_WS_RUN = WS + "{2,}"
 RX_MASKED_EMAIL = r"\*.*@.*\.[a-zA-Z]{2,4}"
