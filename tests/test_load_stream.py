@@ -71,3 +71,21 @@ def test_stream_equals_batch(spark):
     batch = bulletin_records_df(spark, SF).select(keys)
     assert streamed.count() == streamed.dropDuplicates().count() == batch.count()
     assert streamed.exceptAll(batch).count() == 0
+
+
+def test_read_captures_text_and_parquet(spark, tmp_path):
+    from edicto.operators import html as HO
+    from edicto.sources.io import read_captures, write_captures
+    from tests.golden import DAY
+
+    pages_dir = tmp_path / "pages"
+    pages_dir.mkdir()
+    (pages_dir / "dia1.html").write_text(DAY, encoding="utf-8")
+    caps = read_captures(spark, str(pages_dir), fmt="text")
+    assert caps.count() == 1 and caps.first().html == DAY
+    assert HO.day_page_rows(caps).count() == 3
+
+    path = shared_path(spark, "t_caps", uuid.uuid4().hex)
+    write_captures(caps.withColumn("kind", F.lit("day")), path)
+    back = read_captures(spark, path)
+    assert back.filter(F.col("kind") == "day").count() == 1
