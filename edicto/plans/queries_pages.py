@@ -645,3 +645,33 @@ def html_hidden_inputs(spark, sf_dir):
         H.html_attr("html", "input", "value", id_="__VIEWSTATE").alias("viewstate"),
         H.html_attr("html", "input", "value", id_="__EVENTVALIDATION").alias("eventvalidation"),
     )
+
+
+def _courts_sql() -> str:
+    from edicto.plans.render import LISTING_BASE, LISTING_SUBJECTS
+
+    subj = "CASE s_suppkey % {} {} END".format(
+        len(LISTING_SUBJECTS), " ".join(f"WHEN {i} THEN {q(w)}" for i, w in enumerate(LISTING_SUBJECTS))
+    )
+    name = f"s_name || ' ' || ({subj})"
+    juzgado = f"CASE WHEN s_suppkey % 7 = 0 THEN {name} || ' Nuevo' ELSE {name} END"
+    url = (
+        f"{q(LISTING_BASE + 'LiAcuerdosBusqueda.aspx?MpioId=')} || CAST(n_nationkey AS VARCHAR) || "
+        "'&JuzId=' || CAST(s_suppkey AS VARCHAR) || '&JuzDescrip=X'"
+    )
+    return (
+        f"SELECT {url} AS court_url, {juzgado} AS juzgado, lower(replace(n_name, ' ', '')) AS entidad_code, "
+        f"CAST(s_suppkey AS VARCHAR) AS juz_id, {O.classify_subject_sql(juzgado)} AS materia "
+        "FROM supplier JOIN nation ON s_nationkey = n_nationkey"
+    )
+
+
+@register("build_courts", _courts_sql())
+def build_courts_q(spark, sf_dir):
+    """H1 + H2 + H3 + U1-U3 + L1: the court dimension from listing pages
+    (navigation links skipped, municipality from the enclosing table id,
+    absolute URL, JuzId parameter, subject from the name, later link wins)."""
+    from edicto.plans.render import listing_pages
+
+    courts = HO.build_courts(listing_pages(spark, sf_dir))
+    return courts.select("court_url", "juzgado", "entidad_code", "juz_id", "materia")

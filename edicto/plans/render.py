@@ -137,4 +137,54 @@ def calendar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LISTING_BASE = "https://bulletins.example.org/AccesoLibre/"
+COURTS_PER_LISTING = 50
+# Subject words appended to invented court names (so the listing carries
+# every subject rule); chosen by supplier key modulo their count.
+LISTING_SUBJECTS = ("Civil", "Familiar", "Penal", "Laboral", "Mercantil", "de Materia Administrativa")
+
+
+def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Court listing pages rendered from `supplier` x `nation`: one page per
+    (nation, block of COURTS_PER_LISTING supplier keys), a table
+    `tbl<Nation>` of court links, three leading navigation links that match
+    the court-link filter, one link of another class, and every seventh
+    court listed again under a new name (the later link wins)."""
+    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    j = s.join(n, s.s_nationkey == n.n_nationkey)
+    subj = F.element_at(F.array(*[F.lit(w) for w in LISTING_SUBJECTS]),
+                        (F.col("s_suppkey") % len(LISTING_SUBJECTS) + 1).cast("int"))
+    name = F.concat(F.col("s_name"), F.lit(" "), subj)
+    href = F.concat(F.lit("LiAcuerdosBusqueda.aspx?MpioId="), F.col("n_nationkey").cast("string"),
+                    F.lit("&amp;JuzId="), F.col("s_suppkey").cast("string"), F.lit("&amp;JuzDescrip=X"))
+    link = F.concat(F.lit('<tr><td><a class="a" href="'), href, F.lit('">'), esc(name), F.lit("</a></td></tr>"))
+    again = F.when(
+        F.col("s_suppkey") % 7 == 0,
+        F.concat(F.lit('<tr><td><a class="a" href="'), href, F.lit('">'), esc(name), F.lit(" Nuevo</a></td></tr>")),
+    ).otherwise(F.lit(""))
+    rows = j.select(
+        "n_name", (F.col("s_suppkey") / COURTS_PER_LISTING).cast("long").alias("block"),
+        F.struct("s_suppkey", F.concat(link, again).alias("h")).alias("r"),
+    )
+    pages = rows.groupBy("n_name", "block").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["h"]), "").alias("body")
+    )
+    nav = "".join(
+        f'<a class="a" href="LiAcuerdos.aspx?Vista={i}">{label}</a>'
+        for i, label in enumerate(("Inicio", "Ayuda", "Contacto"))
+    )
+    section_id = F.concat(F.lit("tbl"), F.regexp_replace("n_name", " ", ""))
+    html = F.concat(
+        F.lit(f"<!DOCTYPE html><html><body><div>{nav}</div>"
+              '<a class="b" href="LiAcuerdosBusqueda.aspx?JuzId=0">Otro</a><table id="'),
+        section_id, F.lit('">'), F.col("body"), F.lit("</table></body></html>"),
+    )
+    return pages.select(
+        F.concat(F.lit(LISTING_BASE + "LiAcuerdos.aspx?Entidad="), F.regexp_replace("n_name", " ", "+"),
+                 F.lit("&Bloque="), F.col("block").cast("string")).alias("url"),
+        html.alias("html"),
+    )
+
+
 EPOCH = CALENDAR_EPOCH
