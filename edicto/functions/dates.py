@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edicto.constants import CALENDAR_EPOCH, MONTHS, WS
-from edicto.functions.text import RX_EDGE_WS, ColumnOrName, col
+from edicto.functions.text import ColumnOrName, col, t6_strip
 
 # FIXED VALUES: the source's date and calendar-code patterns (Java regex,
 # `WS` for `\s`).
@@ -33,7 +33,7 @@ def parse_spanish_date(raw: ColumnOrName) -> Column:
     raw = col(raw)
     day = F.regexp_extract(raw, RX_DAY, 1)
     year = F.regexp_extract(raw, RX_YEAR, 1)
-    month_key = F.regexp_replace(F.regexp_extract(raw, RX_MONTH, 1), RX_EDGE_WS, "")
+    month_key = t6_strip(F.regexp_extract(raw, RX_MONTH, 1))
     month = F.try_element_at(_months_map(), month_key)
     return F.when(
         (day != F.lit("")) & (year != F.lit("")) & month.isNotNull(),

@@ -150,9 +150,6 @@ def clean(c: ColumnOrName, null_as_empty: bool = True) -> Column:
     return clean_post(clean_pre(c), null_as_empty)
 
 
-RX_ANY_NON_ASCII = r"[^\x00-\x7F]"
-
-
 def _stars_and_strip(c: ColumnOrName) -> Column:
     """T3..T6 on a column: the star rules run only when a '*' is present."""
     s = col(c)
