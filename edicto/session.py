@@ -26,6 +26,11 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # Local mode runs every task in the driver JVM, whose default heap
+        # (1 GB) is far below the machine; on a cluster the submitter's
+        # memory settings apply instead.
+        conf["spark.driver.memory"] = "16g"
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
