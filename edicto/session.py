@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "edicto") -> SparkSession:
+              app_name: str = "edicto", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """Session for local runs and tests.  On a cluster, pass no master and
     let the submitter's configuration win."""
     b = SparkSession.builder.appName(app_name)
@@ -31,6 +31,7 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         # (1 GB) is far below the machine; on a cluster the submitter's
         # memory settings apply instead.
         conf["spark.driver.memory"] = "16g"
+    conf.update(extra_conf or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
