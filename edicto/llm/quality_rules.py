@@ -26,7 +26,7 @@ SYMBOLS = r"[#*$%&|<>]"
 REACH = 6
 MIN_ROWS = 50
 #: Ratio in thousandths -> slack beyond the fence, in thousandths.
-SLACK = {"symbol": 100, "dup_line": 20, "repeat": 100, "word_len": 4000}
+SLACK = {"symbol": 100, "dup_line": 100, "repeat": 300, "word_len": 4000}
 
 
 def _window(words: Column, i: Column) -> Column:

@@ -60,7 +60,7 @@ r AS (SELECT doc_id, lang, source, base_failed, m, v - v % (10 ** greatest(lengt
 q AS (SELECT lang, source, m, grouping(lang, source) AS lvl, count(*) AS n,
              quantile_disc(bin, 0.25) AS q25, quantile_disc(bin, 0.75) AS q75
       FROM r WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source, m), (lang, m), (m))),
-s(m, slack) AS (VALUES ('symbol', 100), ('dup_line', 20), ('repeat', 100), ('word_len', 4000)),
+s(m, slack) AS (VALUES ('symbol', 100), ('dup_line', 100), ('repeat', 300), ('word_len', 4000)),
 v AS (SELECT r.doc_id, bool_and(coalesce(bin <= CASE WHEN a.n >= 50 THEN a.q75 + 6 * (a.q75 - a.q25)
                 WHEN b.n >= 50 THEN b.q75 + 6 * (b.q75 - b.q25) ELSE o.q75 + 6 * (o.q75 - o.q25) END + slack, true)) AS ok
       FROM r JOIN s USING (m)
