@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edicto.llm import bpe as BP
 from edicto.llm import exact_dedup as XD
+from edicto.llm import packing as PK
 from edicto.llm import quality_rules as QR
+from edicto.llm import secrets as SE
+from edicto.llm import url_filter as UF
 from edicto.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +31,15 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@register("op1_bpe")
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BP.encode(spark, read_table(spark, sf_dir, "documents"), BPE_FILE)
+
+
 OP2_SQL = r"""
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = min(doc_id) OVER w AS kept, text_sha256
@@ -75,3 +89,18 @@ FROM f JOIN v ON f.doc_id = v.doc_id
 @register("op5_quality_rules", OP5_SQL)
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QR.quality_rows(read_table(spark, sf_dir, "documents"))
+
+
+@register("op3_secrets")
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return SE.scan(spark, read_table(spark, sf_dir, "documents"), RANK_FILE)
+
+
+@register("op7_packing")
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PK.pack_documents(spark, read_table(spark, sf_dir, "documents"), BPE_FILE)
+
+
+@register("op9_url_filter")
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return UF.judge_urls(read_table(spark, sf_dir, "pages"))
