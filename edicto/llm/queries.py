@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from edicto.llm import bpe as BP
 from edicto.llm import exact_dedup as XD
+from edicto.llm import near_dedup as ND
 from edicto.llm import packing as PK
 from edicto.llm import quality_rules as QR
 from edicto.llm import secrets as SE
@@ -104,3 +105,8 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_url_filter")
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return UF.judge_urls(read_table(spark, sf_dir, "pages"))
+
+
+@register("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ND.near_rows(read_table(spark, sf_dir, "documents"))
