@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from edicto.llm import bpe as BP
 from edicto.llm import exact_dedup as XD
+from edicto.llm import lm_score as LM
 from edicto.llm import near_dedup as ND
 from edicto.llm import packing as PK
 from edicto.llm import quality_rules as QR
@@ -110,3 +111,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_near_dedup")
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ND.near_rows(read_table(spark, sf_dir, "documents"))
+
+
+@register("op4_lm_score")
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LM.score(spark, read_table(spark, sf_dir, "documents"))
