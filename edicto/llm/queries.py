@@ -15,6 +15,7 @@ from edicto.llm import near_dedup as ND
 from edicto.llm import packing as PK
 from edicto.llm import quality_rules as QR
 from edicto.llm import secrets as SE
+from edicto.llm import toxicity as TX
 from edicto.llm import url_filter as UF
 from edicto.llm.common import read_table
 
@@ -116,3 +117,8 @@ def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_lm_score")
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return LM.score(spark, read_table(spark, sf_dir, "documents"))
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TX.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
