@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from edicto.llm import bpe as BP
 from edicto.llm import exact_dedup as XD
+from edicto.llm import html_extract as HX
 from edicto.llm import lm_score as LM
 from edicto.llm import near_dedup as ND
 from edicto.llm import packing as PK
@@ -122,3 +123,15 @@ def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op10_toxicity")
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TX.judge(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@register("op8_html_extract")
+def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return HX.extract(read_table(spark, sf_dir, "pages"))
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
