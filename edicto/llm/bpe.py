@@ -21,6 +21,7 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +30,13 @@ from pyspark.sql import DataFrame, SparkSession
 from edicto.llm.common import id_of, text_of
 
 #: Words a task keeps encoded before it starts afresh (bounds its memory).
-KEEP_WORDS = 400_000
+KEEP_WORDS = 1_000_000
 #: Texts beyond this length are split into words piece by piece.
 PIECE = 1 << 20
 
 
-def _classes() -> tuple[str, str]:
+@cache
+def letters_and_numbers() -> tuple[str, str]:
     """Letters and numbers as ranges of a character class."""
     runs: dict[str, list[list[int]]] = {"L": [], "N": []}
     for c in range(sys.maxunicode + 1):
@@ -69,11 +71,20 @@ def byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Numbered(dict):
+    """Numbers its keys in the order of their first look-up."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class PairIndexBpe:
     """Encoder and decoder of one vocabulary; built once per Python worker."""
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, classes: tuple[str, str] | None = None):
         model = json.loads(spec)
+        self.classes = classes
         vocab, self.special = model["model"]["vocab"], {t["content"]: t["id"] for t in model["added_tokens"]}
         sign, size = byte_alphabet(), max([*vocab.values(), *self.special.values()]) + 1
         token = [b""] * size
@@ -94,7 +105,7 @@ class PairIndexBpe:
         self.token_at = np.concatenate([[0], np.cumsum(self.token_len)[:-1]])
         self.token_bytes = np.frombuffer(b"".join(token), dtype=np.uint8)
         self.any_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
-        self.words: dict[str, int] = {}
+        self.words = Numbered()
         self.wide: re.Pattern | None = None
         self._forget()
 
@@ -177,7 +188,7 @@ class PairIndexBpe:
         if text.isascii():
             find = ASCII_WORDS.findall
         else:
-            self.wide = self.wide or _splitter(*_classes())
+            self.wide = self.wide or _splitter(*(self.classes or letters_and_numbers()))
             find = self.wide.findall
         at = 0
         while len(text) - at > 2 * PIECE:
@@ -188,19 +199,12 @@ class PairIndexBpe:
             at = cut.start()
         yield find(text[at:] if at else text)
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+    def number_words(self, texts: list[str]) -> list[np.ndarray]:
+        """Each text's words by number; words not met before are encoded."""
         if len(self.words) > KEEP_WORDS:
             self._forget()
-        known = len(self.words)
-        words = self.words
-
-        class Numbered(dict):
-            def __missing__(self, w):
-                words[w] = n = len(words)
-                self[w] = n
-                return n
-
-        number = Numbered(words).__getitem__
+        words, known = self.words, len(self.words)
+        number = words.__getitem__
         rows = [np.concatenate([np.fromiter(map(number, ws), dtype=np.int32, count=len(ws)) for ws in self.split(t)]) for t in texts]
         if len(words) > known:
             fresh = list(words)[known:]
@@ -212,7 +216,15 @@ class PairIndexBpe:
                 ids, lens = np.concatenate(each), np.array([len(x) for x in each])
             self.at = np.concatenate([self.at, len(self.flat) + np.cumsum(lens) - lens])
             self.flat, self.len = np.concatenate([self.flat, ids]), np.concatenate([self.len, lens])
-        return [gather(self.flat, self.at[r], self.len[r]) for r in rows]
+        return rows
+
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        return [gather(self.flat, self.at[r], self.len[r]) for r in self.number_words(texts)]
+
+    def count_batch(self, texts: list[str]) -> list[int]:
+        """The number of ids of each text."""
+        return [int(self.len[r].sum()) for r in self.number_words(texts)]
 
     def decode(self, ids: np.ndarray) -> str:
         return gather(self.token_bytes, self.token_at[ids], self.token_len[ids]).tobytes().decode("utf-8", "replace")
@@ -228,11 +240,11 @@ def gather(flat: np.ndarray, at: np.ndarray, lens: np.ndarray) -> np.ndarray:
 _BUILT: dict[int, PairIndexBpe] = {}
 
 
-def built(spec: str) -> PairIndexBpe:
+def built(spec: tuple[str, tuple[str, str]]) -> PairIndexBpe:
     key = hash(spec)
     if key not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = PairIndexBpe(spec)
+        _BUILT[key] = PairIndexBpe(*spec)
     return _BUILT[key]
 
 
@@ -252,10 +264,11 @@ def slices(texts: list[str], limit: int = SLICE) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def read_spec(path: str) -> str:
-    """The vocabulary file (a driver-side file of fixed size)."""
+def read_spec(path: str) -> tuple[str, tuple[str, str]]:
+    """The vocabulary file (a driver-side file of fixed size), and the signs
+    that count as letters and numbers."""
     with open(path, encoding="utf-8") as f:
-        return f.read()
+        return f.read(), letters_and_numbers()
 
 
 def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
@@ -274,8 +287,12 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str
             bpe = built(spec.value)
             keys, texts = batch.column(0), batch.column(1).to_pylist()
             for i, j in slices(texts):
-                ids = bpe.encode_batch(texts[i:j])
-                cols = [keys.slice(i, j - i), pa.array([len(x) for x in ids], pa.int64())]
+                if out == "lengths":
+                    lens = bpe.count_batch(texts[i:j])
+                else:
+                    ids = bpe.encode_batch(texts[i:j])
+                    lens = [len(x) for x in ids]
+                cols = [keys.slice(i, j - i), pa.array(lens, pa.int64())]
                 if out == "ids":
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                 elif out == "digests":
