@@ -43,6 +43,8 @@ CLASS_SIZE = 2
 PAGES = 5
 #: Share of a host's own text that its slot must hold.
 SLOT = 0.8
+#: Elements that are parts of a text rather than hold one.
+TEXT_LEVEL = tuple("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre span b i em strong a font u small q cite code".split())
 
 _STATS = "host string, token string, is_text boolean, vector long, pages long, total long, place double, chars long"
 
@@ -64,8 +66,6 @@ def _page_tokens(page: Page) -> dict[tuple[str, bool], list[float]]:
         x[0] += 1
         x[1] += place
     for b in page.blocks:
-        if b.hidden:
-            continue
         if not b.main:
             x = out.setdefault((_text_token(b.path, b.text), True), [0, 0.0, 0])
             x[0] += 1
@@ -110,9 +110,10 @@ def templates(pages: DataFrame) -> DataFrame:
     classes = (frequent.groupBy("host", "vector", "pages", "total").agg(F.count("*").alias("size"))
                .filter(F.col("size") >= CLASS_SIZE).drop("size"))
     members = frequent.join(classes, ["host", "vector", "pages", "total"])
-    paired = (members.filter("NOT is_text").groupBy("host", "vector", start.alias("path"))
+    # A slot stands once in a page, and is no paragraph itself.
+    paired = (members.filter("NOT is_text AND total = pages").groupBy("host", "vector", start.alias("path"))
               .agg(F.count("*").alias("tags"), F.max("chars").alias("chars"), F.min(F.col("place") / F.col("pages")).alias("place"))
-              .filter("tags = 2"))
+              .filter("tags = 2").filter(~F.regexp_extract("path", r"([^/.]*)[^/]*$", 1).isin(*TEXT_LEVEL)))
     own = one.filter("NOT is_text AND token NOT LIKE '/%' AND token <> ''").groupBy("host").agg(F.max("chars").alias("most"))
     deep = F.struct(F.size(F.split("path", "/")).alias("depth"), "chars", "path")
     slot = (paired.join(own, "host").filter(F.col("chars") >= SLOT * F.col("most")).filter("most > 0")
@@ -124,7 +125,7 @@ def templates(pages: DataFrame) -> DataFrame:
 
 def page_text(source: str, slot: str | None, texts: set[str]) -> str:
     """The article of one page, given its host's template."""
-    blocks = [b for b in parse(source).blocks if not b.hidden]
+    blocks = parse(source).blocks
     own = [b for b in blocks if b.main]
     if not own:
         own = [b for b in blocks if _text_token(b.path, b.text) not in texts]

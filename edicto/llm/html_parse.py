@@ -54,7 +54,6 @@ class Block:
     path: str
     text: str
     main: bool
-    hidden: bool
     place: int
     within: tuple[str, ...]  # paths of the open elements
 
@@ -101,9 +100,9 @@ def parse(source: str) -> Page:
             said = " ".join("".join(text).split())
             text.clear()
             if said:
-                top = stack[-1] if stack else None
+                top = next((e for e in reversed(stack) if e.name in BLOCK), None)
                 place += 1
-                page.blocks.append(Block(top.path if top else "", said, bool(top and top.main), bool(top and top.hidden), place,
+                page.blocks.append(Block(top.path if top else "", said, bool(stack and stack[-1].main), place,
                                          tuple(e.path for e in stack[:DEPTH])))
 
     def close(k: int) -> None:
@@ -118,7 +117,8 @@ def parse(source: str) -> Page:
 
     while at < len(source):
         m = TOKEN.search(source, at)
-        text.append(html.unescape(source[at:m.start() if m else len(source)]))
+        if not (stack and stack[-1].hidden):  # what is hidden takes no part in any block
+            text.append(html.unescape(source[at:m.start() if m else len(source)]))
         if not m:
             break
         at = m.end()
@@ -164,8 +164,6 @@ def parse(source: str) -> Page:
         if name in RAW:
             end = RAW[name].search(source, at)
             at = end.start() if end else len(source)
-            if not e.hidden:
-                text.append(" ")
         stack.append(e)
     flush()
     close(0)

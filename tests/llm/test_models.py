@@ -11,13 +11,12 @@ import numpy as np
 import pytest
 
 import corpus_pipeline as CP
-from edicto.llm import bag_minhash  # noqa: F401
 from edicto.llm import html_extract as HX
 from edicto.llm import lm_score as LM
 from edicto.llm.hmm import Hmm, expected_counts, log10_likelihoods
 from edicto.llm.queries import QUERIES
 from tests.llm.test_filters import brute_counts, brute_spans
-from tests.llm.util import ODD_IDS, SF, empty, ids, near_classes, odd, read
+from tests.llm.util import SF, empty, ids, near_classes, odd, read
 
 # -- language model -----------------------------------------------------------
 
@@ -169,7 +168,8 @@ def test_pipeline_odd_rows(spark):
         at = stage(spark, at, SF)
         assert at.columns == odd(spark).columns
     left = at.collect()
-    assert 2 <= len(left) < len(ODD_IDS)
+    assert ids(left) == [14, 17] and left[0].kept == "x"
+    assert next(r.text for r in left if r.doc_id == 17).endswith("CLEAN59 [SECRET] end")
     at = empty(spark)
     for name, stage in CP.STAGES:
         at = stage(spark, at, SF)

@@ -11,12 +11,15 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHES = ("digest", "row_id", "kept", "doc", "key", "words", "n_words", "bin", "label", "toxic", "comp", "batch", "id", "t", "w",
            "keep_id", "group_size", "masked", "bands", "host", "path", "rule", "block", "fold")
 LONG = " ".join(f"word{i % 997} mot{i % 13}" for i in range(40_000))
+CLEAN = " ".join(f"clean{i}" for i in range(60))
 ROWS = [
     (1, "the cat  sat\ton the mat " * 6, "en", "a"), (2, "the cat sat on the mat " * 6, "en", "a"),
     (2, "the cat sat on the mat " * 6, "en", "a"), (None, "the cat sat on the mat " * 6, "en", None),
     (4, None, None, "a"), (5, "", "en", "a"), (6, " \n\t ", "en", "a"), (None, None, None, None),
     (8, LONG, "en", "b"), (9, "été naïve — 日本語 <|endoftext|> \U0001f642", "fr", "b"), (10, "one two", "en", "b"),
     (11, "a line here\n" * 30, "en", "b"), (12, "# $ % & " * 40, "en", "b"), (13, LONG + " tail", "en", "b"),
+    (14, CLEAN, "en", "b"), (15, CLEAN.replace(" ", "  "), "en", "b"), (16, CLEAN + " more", "en", "b"),
+    (17, CLEAN.upper() + " password=abcdef123 end", "en", None),
 ]
 
 
