@@ -138,6 +138,10 @@ _TRANSLIT_SPECIAL = (
     ("‘", "'"), ("’", "'"), ("‚", ","), ("“", '"'),
     ("”", '"'), ("„", ",,"), ("–", "-"), ("—", "--"),
     ("…", "..."), ("€", "EUR"),
+    ("¢", "C/"), ("£", "PS"), ("¤", "$?"), ("¥", "Y="), ("¦", "|"), ("§", "SS"),
+    ("¨", '"'), ("©", "(c)"), ("¬", "!"), ("®", "(r)"), ("¯", "-"), ("±", "+-"),
+    ("²", "2"), ("³", "3"), ("´", "'"), ("µ", "u"), ("¶", "P"), ("¸", ","),
+    ("¹", "1"), ("¼", " 1/4 "), ("½", " 1/2 "), ("¾", " 3/4 "),
 )
 # Kept as-is by the transliteration step (upper-cased to Ñ afterwards).
 TRANSLIT_KEEP = "ñÑ"

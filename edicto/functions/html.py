@@ -1,34 +1,25 @@
 """HTML-to-values Column functions (regex over stored page text).
 
-Pages are plain strings; elements are located with lazy, case-insensitive,
+Pages are plain strings; elements are located with linear, case-insensitive,
 dot-all patterns that stay in the JVM.  Comments, scripts and styles are
 removed before links or text are read, because their content is not part
-of the document tree.  Nested elements of the *same* tag are outside what a
-lazy pattern can pair; `operators.html.has_nested` flags such pages so they
-can be routed to the Python parser fallback.
+of the document tree.  Elements nested in their own kind (tables in tables)
+are paired by depth: `pieces` cuts a page at the tags of that kind and
+`fold_depth` counts along the pieces, so any nesting depth is exact.
 """
 
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from edicto.functions.text import ColumnOrName, col
-
-# FIXED VALUES: named character references decoded by `unescape`
-# (HTML5 names), '&amp;' last so that '&amp;lt;' stays '&lt;'.
-ENTITIES = (
-    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"),
-    ("&nbsp;", " "), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"),
-    ("&aacute;", "á"), ("&eacute;", "é"), ("&iacute;", "í"), ("&oacute;", "ó"),
-    ("&uacute;", "ú"), ("&Aacute;", "Á"), ("&Eacute;", "É"), ("&Iacute;", "Í"),
-    ("&Oacute;", "Ó"), ("&Uacute;", "Ú"), ("&ntilde;", "ñ"), ("&Ntilde;", "Ñ"),
-    ("&uuml;", "ü"), ("&Uuml;", "Ü"), ("&laquo;", "«"), ("&raquo;", "»"),
-    ("&iquest;", "¿"), ("&iexcl;", "¡"), ("&deg;", "°"), ("&ordm;", "º"),
-    ("&ordf;", "ª"), ("&amp;", "&"),
-)
+from edicto.functions.text import ColumnOrName, col, let
+
+# Named character references of HTML 4 (name -> character), from the standard library.
+NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 
 RX_NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
 RX_A = r"(?is)<a\b[^>]*>.*?</a\s*>"
@@ -54,13 +45,30 @@ def strip_noise(html: ColumnOrName) -> Column:
     return F.when(h.rlike(RX_NOISE_START), F.regexp_replace(h, RX_NOISE, "")).otherwise(h)
 
 
+RX_REFERENCE = r"^(?:#([0-9]{1,7});?|#[xX]([0-9a-fA-F]{1,6});?|([A-Za-z][A-Za-z0-9]*);)"
+
+
+def _named() -> Column:
+    return F.map_from_arrays(F.array(*map(F.lit, NAMED)), F.array(*map(F.lit, NAMED.values())))
+
+
+def _decoded(piece: Column) -> Column:
+    """The text after an '&': its reference decoded, or as it was."""
+    part = lambda i: F.regexp_extract(piece, RX_REFERENCE, i)
+    code = F.when(part(1) != "", part(1).cast("int")).when(part(2) != "", F.conv(part(2), 16, 10).cast("int"))
+    sign = F.when((code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF),
+                  F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+    sign = F.coalesce(sign, F.when(part(3) != "", F.try_element_at(_named(), part(3))))
+    rest = F.substring(piece, F.length(part(0)) + 1, 1 << 30)
+    return F.coalesce(F.concat(sign, rest), F.concat(F.lit("&"), piece))
+
+
 def unescape(c: ColumnOrName) -> Column:
-    """Decode the named references of ENTITIES; text without '&' is
-    passed through without the replacement passes."""
+    """Decode character references: decimal, hexadecimal and named ones, each
+    once ('&amp;lt;' becomes '&lt;').  What is no reference stays, and text
+    without '&' is passed through."""
     s = col(c)
-    decoded = s
-    for ent, ch in ENTITIES:
-        decoded = F.replace(decoded, F.lit(ent), F.lit(ch))
+    decoded = F.array_join(F.transform(F.split(s, "&"), lambda x, i: F.when(i == 0, x).otherwise(_decoded(x))), "")
     return F.when(s.contains("&"), decoded).otherwise(s)
 
 
@@ -95,39 +103,56 @@ def elements(html: ColumnOrName, tag: str) -> Column:
 
 def open_tag_with_id(tag: str, id_: str) -> str:
     t, i = re.escape(tag), re.escape(id_)
-    return r"<" + t + r"\b[^>]*\sid\s*=\s*[\"']?" + i + r"""(?:["'\s/][^>]*)?>"""
+    return r"<" + t + r"\b[^>]*\sid\s*=\s*(?:\"" + i + r"\"|'" + i + r"'|" + i + r"(?=[\s/>]))[^>]*>"
 
 
-def balanced_body(tag: str) -> str:
-    """Content of an element allowing nested elements of the same tag one
-    level deep (runs of text are consumed possessively, so the pattern is
-    linear and never recurses per character)."""
-    t = re.escape(tag)
-    return (
-        r"((?:[^<]++|<(?!/?" + t + r"\b)|<" + t + r"\b(?:[^<]++|<(?!/" + t
-        + r"\b))*+</" + t + r"\s*>)*+)"
-    )
+def pieces(html: ColumnOrName, tags: str) -> Column:
+    """The page cut before every start and end tag of `tags` (alternatives of
+    a pattern); the first piece is what stands before all of them."""
+    return F.split(col(html), r"(?i)(?=</?(?:" + tags + r")\b)")
 
 
-def element_by_id(html: ColumnOrName, tag: str, id_: str) -> Column:
-    """Inner content of the first `tag` element whose id is `id_` ('' if
-    none); nested `tag` elements one level deep stay inside."""
-    return F.regexp_extract(
-        col(html),
-        r"(?is)" + open_tag_with_id(tag, id_) + balanced_body(tag) + r"</" + re.escape(tag) + r"\s*>",
-        1,
-    )
+def fold_depth(parts: Column, tags: str, keep, start: Column, step) -> Column:
+    """Aggregate over the `pieces` of a page with their depth.
 
+    `step(state, piece, delta)` gives the next state; delta is 1 on a start
+    tag, -1 on an end tag and 0 for the text before all tags.  `keep` maps the
+    last state to the result."""
+    delta = lambda x: F.when(x.rlike(r"(?i)^<(?:" + tags + r")\b"), 1).when(x.rlike(r"^</"), -1).otherwise(0)
+    return F.aggregate(parts, start, lambda a, x: step(a, x, delta(x)), keep)
 
-def drop_elements(fragment: ColumnOrName, tag: str) -> Column:
-    """Remove whole `tag` elements (e.g. nested tables of a calendar)."""
-    t = re.escape(tag)
-    return F.regexp_replace(col(fragment), r"(?is)<" + t + r"\b[^>]*>.*?</" + t + r"\s*>", "")
+
+# Tags of a nested table are renamed, so that patterns for the outer table's
+# rows and cells do not see them; as tags they vanish from text nodes anyway.
+RX_TABLE_PARTS = r"(?i)<(/?)(table|thead|tbody|tfoot|tr|td|th)\b"
+NESTED = "<$1x-$2"
+
+
+def table_body(html: ColumnOrName, id_: str) -> Column:
+    """Inner content of the first table whose id is `id_` ('' if there is
+    none).  Tables nested in it, to any depth, stay as content with the names
+    of their tags prefixed by 'x-'.  A missing end tag is read up to the end
+    of the page."""
+    opens = r"(?is)^" + open_tag_with_id("table", id_)
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+
+    def step(a: Column, x: Column, delta: Column) -> Column:
+        depth = F.when(a["depth"] > 0, a["depth"] + delta).when(
+            (a["depth"] == 0) & (delta == 1) & x.rlike(opens), 1).otherwise(a["depth"])
+        inside = F.when(a["depth"] == 0, F.regexp_replace(x, r"^<[^>]*>", "")).when(
+            (depth == 1) & (delta == -1), F.regexp_replace(x, RX_TABLE_PARTS_FIRST, NESTED)).otherwise(
+            F.regexp_replace(x, RX_TABLE_PARTS, NESTED))
+        out = F.when((depth > 0), F.array_append(a["out"], inside)).otherwise(a["out"])
+        # -1: the table has ended, nothing more is taken
+        ended = (a["depth"] > 0) & (depth <= 0)
+        return F.struct(F.when(ended, -1).otherwise(depth).alias("depth"), out.alias("out"))
+
+    found = fold_depth(pieces(html, "table"), "table", lambda a: F.array_join(a["out"], ""), start, step)
+    return F.when(col(html).rlike(r"(?is)" + open_tag_with_id("table", id_)), found).otherwise(F.lit(""))
 
 
-def has_nested(fragment: ColumnOrName, tag: str) -> Column:
-    """True when the fragment itself contains a `tag` element."""
-    return col(fragment).rlike(r"(?is)<" + re.escape(tag) + r"\b")
+# The end tag of a nested table: what follows it belongs to the outer one.
+RX_TABLE_PARTS_FIRST = r"(?i)^<(/)(table)\b"
 
 
 # Joins the text nodes of one fragment while entities are decoded (a NUL

@@ -40,6 +40,11 @@ def col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` named, and so evaluated, once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def memo(fn):
     """Cache a Column builder called with plain (str/int/bool/None)
     arguments.  Unresolved Columns are immutable and session-free, so a
@@ -67,8 +72,7 @@ def memo(fn):
 
 def t1_leading_dot(c: ColumnOrName) -> Column:
     """Remove one leading '.' (before any trimming)."""
-    s = col(c)
-    return F.when(s.startswith("."), F.substring(s, 2, 1 << 30)).otherwise(s)
+    return F.regexp_replace(col(c), RX_LEADING_DOT, "")
 
 
 def t2_collapse_ws(c: ColumnOrName) -> Column:
@@ -108,13 +112,11 @@ def t7_ascii_upper(c: ColumnOrName) -> Column:
 
 def t8_trailing_comma(c: ColumnOrName) -> Column:
     """If the text ends with ',', every comma goes (source behaviour)."""
-    s = col(c)
-    return F.when(s.endswith(","), F.translate(s, ",", "")).otherwise(s)
+    return let(col(c), lambda s: F.when(s.endswith(","), F.translate(s, ",", "")).otherwise(s))
 
 
 def t9_quotes_newlines(c: ColumnOrName) -> Column:
-    s = col(c)
-    return F.when(s.contains('"') | s.contains("\n"), F.translate(s, '"\n', "' ")).otherwise(s)
+    return F.replace(F.replace(col(c), F.lit('"'), F.lit("'")), F.lit("\n"), F.lit(" "))
 
 
 _PRE_STEPS = (
@@ -150,37 +152,37 @@ def clean(c: ColumnOrName, null_as_empty: bool = True) -> Column:
     return clean_post(clean_pre(c), null_as_empty)
 
 
-def _stars_and_strip(c: ColumnOrName) -> Column:
-    """T3..T6 on a column: the star rules run only when a '*' is present."""
-    s = col(c)
-    starred = t5_drop_stars(t4_star_y_star(t3_masked_email(s)))
-    return t6_strip(F.when(s.contains("*"), starred).otherwise(s))
+def _stars(s: Column) -> Column:
+    """T3..T5: the e-mail rule needs a '*' and an '@', the others a '*'."""
+    mails = F.when(s.contains("@"), t3_masked_email(s)).otherwise(s)
+    return F.when(s.contains("*"), t5_drop_stars(t4_star_y_star(mails))).otherwise(s)
 
 
-def t7_guarded(c: ColumnOrName) -> Column:
-    """T7 on a column: ASCII-only values are just upper-cased; the 1:n
-    replacements (one pass each) run only for values holding such a
-    character."""
-    s = col(c)
+def _ascii(s: Column) -> Column:
+    """T7 without the upper-casing: the 1:n replacements (one pass each) run
+    only for values that hold such a character, and none for ASCII-only ones
+    (as many bytes as characters)."""
     multi = s
     for ch, rep in TRANSLIT_MULTI:
         multi = F.replace(multi, F.lit(ch), F.lit(rep))
     t = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
     t = F.regexp_replace(F.translate(t, TRANSLIT_FROM, TRANSLIT_TO), RX_NON_ASCII, "")
-    # all-ASCII <=> as many bytes as characters (no regex scan needed)
-    return F.upper(F.when(F.length(s) != F.octet_length(s), t).otherwise(s))
+    return F.when(F.length(s) != F.octet_length(s), t).otherwise(s)
+
+
+@memo
+def clean_staged(c: ColumnOrName, null_as_empty: bool = True) -> Column:
+    """T1..T9 with guards.  Every step names its input once: steps that test
+    it first bind it to a lambda variable.  So the tree stays linear in the
+    size of its input, also where the optimizer inlines it into a filter."""
+    s = let(t2_collapse_ws(t1_leading_dot(c)), _stars)
+    s = F.upper(let(t6_strip(s), _ascii))
+    return clean_post(s, null_as_empty)
 
 
 def with_clean(df: DataFrame, columns: dict[str, str], null_as_empty: bool = True) -> DataFrame:
-    """Add cleaned columns {out: in} in four projections (T1-T2, T3-T6,
-    T7, T8-T9).  Guarded steps read a column, so a guard costs one cheap
-    test instead of repeating the chain, and every step runs once per row."""
-    a = {f"_pa_{out}": src for out, src in columns.items()}
-    df = df.withColumns({k: t2_collapse_ws(t1_leading_dot(v)) for k, v in a.items()})
-    df = df.withColumns({k: _stars_and_strip(k) for k in a})
-    df = df.withColumns({k: t7_guarded(k) for k in a})
-    df = df.withColumns({out: clean_post(f"_pa_{out}", null_as_empty) for out in columns})
-    return df.drop(*a)
+    """Add cleaned columns {out: in}."""
+    return df.withColumns({out: clean_staged(src, null_as_empty) for out, src in columns.items()})
 
 
 CLEAN_STEPS: dict[str, Callable[[ColumnOrName], Column]] = {
@@ -230,7 +232,7 @@ def nonempty(arr: ColumnOrName) -> Column:
 
 def map_compose(arr: ColumnOrName, fn: Callable[[Column], Column]) -> Column:
     """A4: apply `fn` to every value and drop null results."""
-    return F.filter(F.transform(col(arr), fn), lambda x: x.isNotNull())
+    return F.array_compact(F.transform(col(arr), fn))
 
 
 def take_first(arr: ColumnOrName) -> Column:

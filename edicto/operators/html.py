@@ -54,44 +54,37 @@ def extract_links(df: DataFrame, html: str = "html", css_class: str | None = Non
 def section_links(df: DataFrame, html: str = "html",
                   tags: Sequence[str] = ("nav", "article", "footer"),
                   keep: Sequence[str] = ()) -> DataFrame:
-    """H3: links with the tag of their enclosing section element.  The
-    page is cut at each section start; a section's links are those before
-    its closing tag, so links between sections get no section."""
+    """H3: links with the section element around them: the tag of the
+    outermost open section, and the id of the outermost open section that has
+    one.  Sections may nest to any depth.  The page is cut at section tags and
+    the open sections are counted along the pieces, inside one row."""
     alt = "|".join(tags)
-    body = H.strip_noise(html)
-    chunks = F.split(body, r"(?i)(?=<(?:" + alt + r")\b)")
-    out = df.select(*keep, F.posexplode(chunks).alias("chunk_no", "chunk"))
-    section = F.lower(F.regexp_extract("chunk", r"(?i)^<(" + alt + r")\b", 1))
-    out = out.withColumn("section", F.nullif(section, F.lit(""))).withColumn(
-        "section_id", F.when(F.col("section").isNotNull(), H.tag_attr("chunk", "id"))
-    )
-    # inside = the chunk up to the section's own closing tag
-    inside = F.when(
-        F.col("section").isNotNull(),
-        F.regexp_extract("chunk", r"(?is)^(.*?)</(?:" + alt + r")\s*>", 1),
-    )
-    out = out.withColumn("inside", inside)
-    out = out.withColumn(
-        "outside",
-        F.when(F.col("section").isNotNull(), F.substring(F.col("chunk"), F.length("inside") + 1, 1 << 30))
-        .otherwise(F.col("chunk")),
-    )
     none = F.lit(None).cast("string")
-    parts = F.array(
-        F.struct(F.col("section").alias("section"), F.col("section_id").alias("section_id"),
-                 F.col("inside").alias("frag")),
-        F.struct(none.alias("section"), none.alias("section_id"), F.col("outside").alias("frag")),
-    )
-    out = out.select(*keep, "chunk_no", F.posexplode(parts).alias("part", "p")).select(
-        *keep, "chunk_no", "part", "p.section", "p.section_id", "p.frag"
-    )
+    state = "struct<depth:int,at:int,section:string,id:string,out:array<struct<frag:string,section:string,section_id:string>>>"
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), none.alias("section"), none.alias("id"),
+                     F.array().alias("out")).cast(state)
+
+    def step(a: Column, x: Column, delta: Column) -> Column:
+        depth = F.greatest(a["depth"] + delta, F.lit(0))
+        opened = delta == 1
+        section = F.when(opened & (a["depth"] == 0), F.lower(F.regexp_extract(x, r"(?i)^<(" + alt + r")\b", 1))).when(
+            depth == 0, none).otherwise(a["section"])
+        own = H.tag_attr(x, "id")
+        takes = opened & a["id"].isNull() & own.isNotNull()
+        id_ = F.when(takes, own).when(depth < a["at"], none).otherwise(a["id"])
+        at = F.when(takes, depth).when(depth < a["at"], 0).otherwise(a["at"])
+        out = F.array_append(a["out"], F.struct(x.alias("frag"), section.alias("section"), id_.alias("section_id")))
+        return F.struct(depth.alias("depth"), at.alias("at"), section.alias("section"), id_.alias("id"), out.alias("out")).cast(state)
+
+    found = H.fold_depth(H.pieces(H.strip_noise(html), alt), alt, lambda a: a["out"], start, step)
+    out = df.select(*keep, F.posexplode(found).alias("piece", "p"))
     out = out.select(
-        *keep, "chunk_no", "part", "section", "section_id",
-        F.posexplode(F.regexp_extract_all(F.coalesce("frag", F.lit("")), F.lit(H.RX_A), F.lit(0))).alias("i", "a"),
+        *keep, "piece", "p.section", "p.section_id",
+        F.posexplode(F.regexp_extract_all("p.frag", F.lit(H.RX_A), F.lit(0))).alias("i", "a"),
     )
     return out.select(
         *keep,
-        (F.col("chunk_no") * 1_000_000 + F.col("part") * 500_000 + F.col("i")).alias("order_key"),
+        F.struct("piece", "i").alias("order_key"),
         "section",
         "section_id",
         H.tag_attr("a", "href").alias("href"),
@@ -102,69 +95,76 @@ def section_links(df: DataFrame, html: str = "html",
 
 def build_courts(listing: DataFrame, html: str = "html", url: str = "url",
                  css_class: str = "a", href_contains: str = "LiAcuerdos", skip: int = 3,
-                 calendar_url: str | None = None) -> DataFrame:
+                 calendar_url: str | Column | None = None, captured_at: str = "captured_at") -> DataFrame:
     """Court dimension from listing pages: links of class `css_class`
     whose href contains `href_contains`, minus the first `skip` of each
-    page; municipality = enclosing table id lower-cased without 'tbl';
-    absolute URL, JuzId query parameter and subject from the name; one row
-    per URL, the later link winning (U3).  A listing page holds a bounded
-    number of links, so numbering them per page is a small window."""
-    from pyspark.sql import Window
-
+    capture; municipality = id of the outermost table around the link,
+    lower-cased without 'tbl'; absolute URL, JuzId query parameter and subject
+    from the name; one row per URL, the later link winning (U3).
+
+    A listing may be captured often: links are numbered within each capture
+    (inside its row, without a shuffle), and a later capture wins over an
+    earlier one.  `calendar_url` names the calendar that governs the courts;
+    by default the listing's own column of that name, else null."""
     from edicto.functions.classify import classify_subject
     from edicto.functions.urls import query_param, url_join
     from edicto.operators.load import last_by_key
 
-    ln = section_links(listing, html, tags=("table",), keep=(url,))
+    if calendar_url is None:
+        calendar_url = F.col("calendar_url") if "calendar_url" in listing.columns else F.lit(None)
+    elif isinstance(calendar_url, str):
+        calendar_url = F.lit(calendar_url)
+    when = F.col(captured_at) if captured_at in listing.columns else F.lit(None).cast("timestamp")
+    pages = listing.select(F.col(url).alias("listing_url"), F.col(html).alias("html"),
+                           when.alias("seen_at"), calendar_url.cast("string").alias("calendar_url"),
+                           F.monotonically_increasing_id().alias("capture"))
+    ln = section_links(pages, "html", tags=("table",), keep=("listing_url", "seen_at", "calendar_url", "capture"))
     ln = ln.filter(
         (F.coalesce(F.col("css_class"), F.lit("")) == F.lit(css_class))
         & F.coalesce(F.col("href").contains(href_contains), F.lit(False))
     )
-    ln = ln.withColumn("pos", F.row_number().over(Window.partitionBy(url).orderBy("order_key")) - 1)
-    ln = ln.filter(F.col("pos") >= skip)
-    court_url = url_join(F.col(url), F.col("href"))
+    # A capture is one row, its links are bounded by the page: numbering them
+    # is an aggregate per capture, not a window over all captures of a URL.
+    link = F.struct("order_key", "section_id", "href", "text")
+    ln = ln.groupBy("listing_url", "seen_at", "calendar_url", "capture").agg(F.sort_array(F.collect_list(link)).alias("links"))
+    ln = ln.select("listing_url", "seen_at", "calendar_url", F.posexplode(F.slice("links", skip + 1, 1 << 30)).alias("pos", "l"))
+    court_url = url_join("listing_url", F.col("l.href"))
     courts = ln.select(
         court_url.alias("court_url"),
-        F.col("text").alias("juzgado"),
-        F.replace(F.lower("section_id"), F.lit("tbl"), F.lit("")).alias("entidad_code"),
+        F.col("l.text").alias("juzgado"),
+        F.replace(F.lower("l.section_id"), F.lit("tbl"), F.lit("")).alias("entidad_code"),
         query_param(court_url, "JuzId").alias("juz_id"),
-        classify_subject("text").alias("materia"),
-        F.col(url).alias("listing_url"),
-        F.col("order_key"),
+        classify_subject("l.text").alias("materia"),
+        "listing_url",
+        "calendar_url",
+        F.struct("seen_at", "listing_url", "pos").alias("_order"),
     )
-    courts = last_by_key(courts, ["court_url"], "order_key").drop("order_key")
-    return courts.withColumn("calendar_url", F.lit(calendar_url).cast("string"))
+    courts = last_by_key(courts, ["court_url"], "_order").drop("_order")
+    return courts.select("court_url", "juzgado", "entidad_code", "juz_id", "materia", "listing_url", "calendar_url")
 
 
-def table_rows(df: DataFrame, html: str = "html", table_id: str = RESULTS_TABLE_ID,
-               require_tbody: bool = True, keep: Sequence[str] = ()) -> DataFrame:
-    """H4: `table[@id]/tbody/tr` (or `table[@id]/tr`): one row per `tr`
-    with `row_pos` and the row's inner html.  Nested tables one level deep
-    stay inside their cell."""
-    body = H.element_by_id(H.strip_noise(html), "table", table_id)
+def result_rows(html: str | Column, table_id: str = RESULTS_TABLE_ID, require_tbody: bool = True) -> Column:
+    """H4: inner html of each row of `table[@id]/tbody/tr` (or
+    `table[@id]/tr`).  Tables nested in a cell stay in it, to any depth; the
+    end tags of rows, cells and bodies may be missing."""
+    body = H.table_body(H.strip_noise(html), table_id)
     if require_tbody:
-        body = F.regexp_extract(body, r"(?is)<tbody\b[^>]*>" + H.balanced_body("tbody") + r"</tbody\s*>", 1)
-    rows = F.regexp_extract_all(body, F.lit(_top_level("tr")), F.lit(1))
-    return df.select(*keep, F.posexplode(rows).alias("row_pos", "row_html"))
-
-
-def _content(tag: str) -> str:
-    """Element content that may hold one nested table (linear pattern)."""
-    return (
-        r"(?:[^<]++|<(?!/?" + tag + r"\b|table\b)|<table\b(?:[^<]++|<(?!/table\b))*+</table\s*>)*+"
-    )
+        inside = F.regexp_extract_all(body, F.lit(r"(?is)<tbody\b[^>]*>((?:[^<]++|<(?!/?tbody\b))*+)"), F.lit(1))
+        body = F.array_join(inside, "</tr>")
+    return F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>((?:[^<]++|<(?!/?(?:tr|tbody|thead|tfoot)\b))*+)"), F.lit(1))
 
 
-def _top_level(tag: str) -> str:
-    """Group 1 = inner html of each `tag` element."""
-    return r"(?is)<" + tag + r"\b[^>]*>(" + _content(tag) + r")</" + tag + r"\s*>"
+def table_rows(df: DataFrame, html: str = "html", table_id: str = RESULTS_TABLE_ID,
+               require_tbody: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """H4: one row per `tr` with `row_pos` and the row's inner html."""
+    return df.select(*keep, F.posexplode(result_rows(html, table_id, require_tbody)).alias("row_pos", "row_html"))
 
 
 def row_cells(row_html: str | Column, having_attr: str | None = "valign") -> Column:
     """H5: inner html of the row's cells (`td`), only those having
     `having_attr` when given (tested inside the pattern, no lambda)."""
     attr = "" if having_attr is None else r"(?=[^>]*?\s" + re.escape(having_attr) + r"\b)"
-    pattern = r"(?is)<td\b" + attr + r"[^>]*>(" + _content("td") + r")</td\s*>"
+    pattern = r"(?is)<td\b" + attr + r"[^>]*>((?:[^<]++|<(?!/?t[dhr]\b))*+)"
     return F.regexp_extract_all(H.col(row_html), F.lit(pattern), F.lit(1))
 
 
@@ -174,52 +174,46 @@ def cell_nodes(cells: str | Column, i: int) -> Column:
     return F.coalesce(H.text_nodes(cell), F.array().cast("array<string>"))
 
 
-def day_page_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = (),
-                  fallback: bool = False) -> DataFrame:
+def day_page_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -> DataFrame:
     """H4-H6 for a day page: one row per result row with the node lists
-    `numero_nodes`, `n2`, `n3` the extraction operators read.
-
-    The native path pairs tables nested one level deep inside a cell.  With
-    `fallback=True`, pages whose result table nests deeper go to the stdlib
-    parser (`html_fallback`) and all others stay native; the routing reads
-    the page table in two branches, so it is opt-in for sites that nest
-    result tables that deeply."""
-    native = df
-    routed = None
-    if fallback:
-        from edicto.operators import html_fallback as FB
-
-        flagged = df.withColumn("_deep", FB.needs_parser(html))
-        native = flagged.filter(~F.col("_deep")).drop("_deep")
-        routed = FB.parse_rows(flagged.filter(F.col("_deep")).drop("_deep"), html, keep)
-    rows = table_rows(native, html, RESULTS_TABLE_ID, True, keep)
+    `numero_nodes`, `n2`, `n3` the extraction operators read."""
+    rows = table_rows(df, html, RESULTS_TABLE_ID, True, keep)
     cells = row_cells("row_html", "valign")
-    out = rows.select(
+    return rows.select(
         *keep,
         "row_pos",
         cell_nodes(cells, 0).alias("numero_nodes"),
         cell_nodes(cells, 1).alias("n2"),
         cell_nodes(cells, 2).alias("n3"),
     )
-    return out if routed is None else out.unionByName(routed)
+
+
+def page_reject(html: str | Column) -> Column:
+    """Why a captured day page cannot be read (null: it has rows)."""
+    h = H.col(html)
+    return (
+        F.when(h.isNull() | (F.btrim(h) == ""), F.lit("empty_page"))
+        .when(F.size(H.pieces(h, "table")) < 2, F.lit("no_table"))
+        .when(F.coalesce(F.size(result_rows(h)), F.lit(0)) == 0, F.lit("no_rows"))
+    )
 
 
 # --- calendar pages (H8-H10) -------------------------------------------------------
 
 
 def _calendar_body(html) -> Column:
-    return H.element_by_id(H.strip_noise(html), "table", CALENDAR_TABLE_ID)
+    return H.table_body(H.strip_noise(html), CALENDAR_TABLE_ID)
 
 
 def _calendar_header(html) -> Column:
     """Inner html of the header table nested in the calendar's first row."""
-    return F.regexp_extract(_calendar_body(html), r"(?is)<table\b[^>]*>(.*?)</table\s*>", 1)
+    return F.regexp_extract(_calendar_body(html), r"(?is)<x-table\b[^>]*>(.*?)</x-table\s*>", 1)
 
 
 def calendar_year(html: str | Column) -> Column:
     """H9: last 4 characters of the first text node of the header's 2nd cell."""
-    tds = F.regexp_extract_all(_calendar_header(html), F.lit(r"(?is)<td\b[^>]*>.*?</td\s*>"), F.lit(0))
-    first_text = F.get(H.text_nodes(H.inner(F.get(tds, 1))), 0)
+    tds = F.regexp_extract_all(_calendar_header(html), F.lit(r"(?is)<x-td\b[^>]*>(.*?)(?=</?x-t[dr]\b|\z)"), F.lit(1))
+    first_text = F.get(H.text_nodes(F.get(tds, 1)), 0)
     return F.right(first_text, F.lit(4))
 
 
@@ -235,8 +229,8 @@ def calendar_days(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
     """H8: day links of a calendar page (`tr[position()>2]/td/a`) with
     title, href, day code, the date from title + header year (D1) and the
     date from the code."""
-    body = H.drop_elements(_calendar_body(html), "table")
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    body = F.regexp_replace(_calendar_body(html), r"(?is)<x-table\b.*?</x-table\s*>", "")
+    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>((?:[^<]++|<(?!/?tr\b))*+)"), F.lit(1))
     out = df.select(*keep, calendar_year(html).alias("year"), F.posexplode(rows).alias("week", "tr"))
     out = out.filter(F.col("week") >= 2)
     out = out.select(

@@ -3,7 +3,7 @@ node lists (continuation of `queries`)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from edicto.constants import RESULTS_TABLE_ID
@@ -40,8 +40,12 @@ EPOCH_SQL = "DATE '2000-01-01'"
 # --- DuckDB helpers for the HTML keys --------------------------------------------
 
 
+# References that occur in the `pages` table, '&amp;' last.
+PAGE_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+
+
 def unescape_sql(e: str) -> str:
-    for ent, ch in H.ENTITIES:
+    for ent, ch in PAGE_REFERENCES:
         e = f"replace({e}, {q(ent)}, {q(ch)})"
     return e
 
@@ -142,7 +146,7 @@ def _sections_sql() -> str:
         f"SELECT page_id, chunk_no, 1 AS part, NULL AS section, CASE WHEN section IS NOT NULL "
         f"THEN substring(chunk, length(inside) + 1) ELSE chunk END AS frag FROM f),\n"
         f"h AS (SELECT page_id, chunk_no, part, section, {unnest_pos(frag_links, 'i', 'a')} FROM g)\n"
-        f"SELECT page_id, CAST(chunk_no * 1000000 + part * 500000 + i AS BIGINT) AS order_key, section, "
+        f"SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY chunk_no, part, i) - 1 AS pos, section, "
         f"{tag_attr_sql('a', 'href')} AS href, {link_text_sql('a')} AS text FROM h"
     )
 
@@ -151,7 +155,8 @@ def _sections_sql() -> str:
 def html_sections(spark, sf_dir):
     """H3: links with their enclosing section (nav / article / footer)."""
     df = HO.section_links(read_table(spark, sf_dir, "pages"), "html", keep=("page_id",))
-    return df.select("page_id", F.col("order_key").cast("long").alias("order_key"), "section", "href", "text")
+    pos = F.row_number().over(Window.partitionBy("page_id").orderBy("order_key")) - 1  # links of one page
+    return df.select("page_id", pos.cast("long").alias("pos"), "section", "href", "text")
 
 
 ARTICLE_RX = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
@@ -193,7 +198,7 @@ def _url_join_sql(b: str, h: str) -> str:
     dir_ = f"(CASE WHEN suffix({bd}, '/') THEN {bd} ELSE {bd} || '/' END)"
     return (
         f"(CASE WHEN {h} IS NULL THEN NULL "
-        f"WHEN {h} = '' THEN {O.rx(b, U.RX_BASE_NO_FRAGMENT)} "
+        f"WHEN {h} = '' THEN {b} "
         f"WHEN {O.rx_match(h, U.RX_SCHEME)} THEN {h} "
         f"WHEN starts_with({h}, '//') THEN {O.rx(b, r'^([A-Za-z][A-Za-z0-9+.\-]*):')} || ':' || {h} "
         f"WHEN starts_with({h}, '/') THEN {O.rx(b, U.RX_ORIGIN)} || {h} "

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from edicto.functions import html as H
 from edicto.operators import html as HO
 from tests.golden import CALENDAR, DAY, LISTING, LISTING_URL
 
@@ -46,17 +47,70 @@ def test_links_skip_and_filter(spark):
     assert all(F is not None for F in out)
 
 
-def test_deep_nesting_routed_to_parser(spark):
-    from edicto.operators.html_fallback import needs_parser
+def test_deep_nesting(spark):
     from tests.golden import DEEP
 
     df = spark.createDataFrame([(1, DEEP), (2, DAY)], ["page", "html"])
-    flags = {r.page: r.f for r in df.select("page", needs_parser("html").alias("f")).collect()}
-    assert flags == {1: True, 2: False}
-    rows = {(r.page, r.row_pos): r for r in HO.day_page_rows(df, keep=("page",), fallback=True).collect()}
+    rows = {(r.page, r.row_pos): r for r in HO.day_page_rows(df, keep=("page",)).collect()}
     assert rows[(1, 0)].n2 == ["A.- ", "HONDO", " VS B"] and rows[(1, 0)].n3 == ["sí"]
     assert rows[(1, 1)].numero_nodes == ["2/2020"] and rows[(1, 1)].n3 == []
-    assert rows[(2, 2)].n2 == ["DIVORCIO.- ", "LUIS", " VS MARIA"]  # native path
+    assert rows[(2, 2)].n2 == ["DIVORCIO.- ", "LUIS", " VS MARIA"]
+
+
+def nested(depth):
+    inner = "x"
+    for _ in range(depth):
+        inner = f'<table><tbody><tr><td valign="top">{inner}</td></tr></tbody></table>'
+    return inner
+
+
+def test_any_depth_and_missing_end_tags(spark):
+    """Rows and cells of the result table, whatever nests in them and whichever end tags are missing."""
+    open_, ids = '<table class="t" id="ctl00_ContentPlaceHolder1_tblResultados">', []
+    for depth in range(5):
+        for close in ("</td>", ""):
+            for end in ("</tr>", ""):
+                rows = "".join(f'<tr><td valign=top>{i}{close}<td>skip{close}<td valign=top>a{nested(depth)}b{close}{end}' for i in range(3))
+                ids.append((depth, f'<p>y<table id="other"><tr><td valign=top>no</table>{open_}<tbody>{rows}</tbody></table><table><tr><td valign=top>no</table>'))
+    df = spark.createDataFrame([(i, d, h) for i, (d, h) in enumerate(ids)], "page long, depth long, html string")
+    got = HO.day_page_rows(df, keep=("page", "depth")).collect()
+    assert len(got) == 3 * len(ids)
+    for r in got:
+        assert r.numero_nodes == [str(r.row_pos)] and r.n2 == ["a", "x", "b"] if r.depth else r.n2 == ["axb"]
+    many = f"{open_}<tbody>" + "".join(f"<tr><td valign=top>{i}</td>" for i in range(5000)) + "</tbody></table>"
+    assert HO.table_rows(spark.createDataFrame([(many,)], "html string")).count() == 5000
+
+
+def test_page_reject(spark):
+    table = '<table id="ctl00_ContentPlaceHolder1_tblResultados"><tbody>{}</tbody></table>'
+    pages = [(None, "empty_page"), ("  ", "empty_page"), ("<p>x", "no_table"), ("<table><tr><td>1</table>", "no_rows"),
+             (table.format(""), "no_rows"), (table.format("<tr><td>1"), None)]
+    df = spark.createDataFrame(pages, "html string, want string")
+    assert all(r.want == r.got for r in df.select("want", HO.page_reject("html").alias("got")).collect())
+
+
+def test_sections_nest(spark):
+    page = ('<a href="0">x</a><table id="tblLaPaz"><tr><td><a href="1">x</a><table><tr><td><a href="2">x</a></table><a href="3">x</a></table>'
+            '<table><tr><td><table id="tblIn"><tr><td><a href="4">x</a></table><a href="5">x</a></table><a href="6">x</a>')
+    rows = HO.section_links(spark.createDataFrame([(page,)], "html string"), tags=("table",)).orderBy("order_key").collect()
+    assert [r.section_id for r in rows] == [None, "tblLaPaz", "tblLaPaz", "tblLaPaz", "tblIn", None, None]
+    many = "<table id=t>" + "<tr><td><a href=q>x</a>" * 3 + "</table><table></table>" * 2300 + "<a href=z>y</a>"
+    rows = HO.section_links(spark.createDataFrame([(many,)], "html string"), tags=("table",)).orderBy("order_key").collect()
+    assert [r.section_id for r in rows] == ["t", "t", "t", None]
+
+
+def test_character_references(spark):
+    text = "P&#233;rez &#XE1;&#xf1 &agrave; &sect; &ndash; &amp;lt; &lt;b&gt; &nope; AT&T &#0; &#x110000; &#128578; &Ntilde;&apos;&"
+    got = spark.createDataFrame([(text,)], "s string").select(H.unescape("s").alias("s")).first().s
+    assert got == "Pérez áñ à § – &lt; <b> &nope; AT&T &#0; &#x110000; \U0001f642 Ñ'&"
+
+
+def test_courts_of_two_captures(spark):
+    later = LISTING.replace("Primero Mercantil", "Primero Mercantil y Civil")
+    df = spark.createDataFrame([(LISTING_URL, "2024-02-01", later), (LISTING_URL, "2024-01-01", LISTING)], "url string, captured_at string, html string")
+    rows = {r.juz_id: r for r in HO.build_courts(df, calendar_url="https://cal/").collect()}
+    assert set(rows) == {"1", "2", "3"} and rows["1"].juzgado == "Primero Mercantil y Civil"
+    assert all(r.calendar_url == "https://cal/" for r in rows.values())
 
 
 def test_link_text_is_direct_text(spark):
