@@ -36,7 +36,7 @@ from edicto.operators.html import (
     section_links,
     table_rows,
 )
-from edicto.operators.joins import absent_from, broadcast_checked, present_in
+from edicto.operators.joins import absent_from, sized, present_in
 from edicto.operators.load import count_matches, first_by_key, last_by_key, progress_by_day, work_key
 from edicto.operators.records import extract_records, rejected, valid
 from edicto.operators.worklist import pending, plan_units

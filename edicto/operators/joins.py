@@ -1,7 +1,10 @@
 """Join operators: checked broadcast, court lookups, anti/semi joins.
 
 Existence tests use null-safe equality because a stored document equal on
-a missing field also counts as a match.
+a missing field also counts as a match.  No side is broadcast on a guess:
+small sides are written first, so that their size in bytes is known when the
+join is planned, and Spark's own limit (`spark.sql.autoBroadcastJoinThreshold`)
+decides.  Beyond it the join is a sort-merge join with skew handling.
 """
 
 from __future__ import annotations
@@ -9,24 +12,16 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Upper bound (rows) for dimension tables we hint as broadcast.  Court and
-# calendar dimensions are a few hundred rows; anything larger is left to
-# the optimizer (sort-merge join with AQE skew handling).
-BROADCAST_MAX_ROWS = 100_000
+from edicto.session import written
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when `df` has at most `max_rows` rows.  Reads at most
-    max_rows + 1 rows, so the check stays cheap on a large input."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for a side proven small; otherwise no hint."""
-    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+def sized(df: DataFrame, name: str = "dimension") -> DataFrame:
+    """A small side with a known size: written once and read back, so the
+    planner broadcasts it if, and only if, its bytes are under the limit."""
+    return written(df, name)
 
 
 def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -35,47 +30,33 @@ def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     )
 
 
-# Rows of distinct keys a batch may have for the key-broadcast path of the
-# existence test (5 short strings per key: well under 100 MB at the bound).
-KEY_BROADCAST_MAX_ROWS = 500_000
-
-
-def _present_keys(new: DataFrame, existing: DataFrame, keys: Sequence[str],
-                  max_rows: int) -> DataFrame | None:
-    """Distinct keys of `new` that `existing` holds, computed without
-    shuffling `existing`: when the batch's distinct keys are provably few,
-    they are broadcast and the stored side is streamed through a semi join.
-    Returns None when the batch is too large for that."""
-    new_keys = new.select(*keys).dropDuplicates(list(keys))
-    if not fits_broadcast(new_keys, max_rows):
-        return None
-    ex = existing.select(*keys)
-    nk = F.broadcast(new_keys)
-    hit = ex.join(nk, null_safe_condition(ex, nk, keys), "left_semi")
-    return hit.dropDuplicates(list(keys))
-
-
-def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str],
-                key_broadcast_max_rows: int = KEY_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows of `new` with no null-safe key match in `existing`.
-
-    A new batch is small next to the stored records: its distinct keys are
-    broadcast and the stored side is only scanned (no shuffle of it), then
-    the few matching keys are removed from the batch.  For a batch beyond
-    the bound, the stored side is reduced to distinct keys (partial
-    aggregation before the shuffle) and joined with a shuffle anti join.
-    The size check reads the batch's keys once, so persist `new` when it
-    is expensive to compute (a micro-batch usually is persisted already)."""
-    present = _present_keys(new, existing, keys, key_broadcast_max_rows)
-    if present is None:
-        present = existing.select(*keys).dropDuplicates(list(keys))
+def key_hash(keys: Sequence[str]) -> Column:
+    """64 bits for the null-safe key: equal keys have equal hashes."""
+    return F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))])
+
+
+def _stored_matches(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The distinct keys of `existing` that may be in `new`.
+
+    Of the batch only one long per distinct key takes part, written first:
+    under Spark's broadcast limit the stored side is streamed through a semi
+    join without a shuffle.  Equality of the keys themselves is tested by the
+    caller on the few rows left."""
+    hashes = written(new.select(key_hash(keys).alias("_h")).distinct(), "batch-keys")
+    hit = existing.select(*keys).withColumn("_h", key_hash(keys)).join(hashes, "_h", "left_semi")
+    return hit.select(*keys).distinct()
+
+
+def absent_from(new: DataFrame, existing: DataFrame, keys: Sequence[str], is_written: bool = False) -> DataFrame:
+    """Rows of `new` with no null-safe key match in `existing`.  `new` is
+    written once, unless the caller has done so, and all steps read that copy."""
+    new = new if is_written else written(new, "batch")
+    present = _stored_matches(new, existing, keys)
     return new.join(present, null_safe_condition(new, present, keys), "left_anti")
 
 
-def present_in(new: DataFrame, existing: DataFrame, keys: Sequence[str],
-               key_broadcast_max_rows: int = KEY_BROADCAST_MAX_ROWS) -> DataFrame:
+def present_in(new: DataFrame, existing: DataFrame, keys: Sequence[str], is_written: bool = False) -> DataFrame:
     """Rows of `new` that already exist (the duplicates report)."""
-    present = _present_keys(new, existing, keys, key_broadcast_max_rows)
-    if present is None:
-        present = existing.select(*keys).dropDuplicates(list(keys))
+    new = new if is_written else written(new, "batch")
+    present = _stored_matches(new, existing, keys)
     return new.join(present, null_safe_condition(new, present, keys), "left_semi")

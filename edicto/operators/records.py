@@ -4,8 +4,7 @@ The extraction is staged as successive projections (one per dependency
 level of the rule cascades) so every intermediate value is computed once per
 row; Catalyst keeps the stages apart because the expressions are not cheap
 to duplicate, and the whole chain still runs in one codegen stage with no
-shuffle.  Court attributes come from a broadcast of the (size-checked) court
-dimension.
+shuffle.  Court attributes come from the (size-checked) court dimension.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ from edicto.functions.extract import (
     rulings,
 )
 from edicto.functions.text import with_clean
-from edicto.operators.joins import broadcast_checked
+from edicto.operators.joins import sized
 
 # Output columns of `extract_records` (fecha_insercion is set at load time).
 RECORD_COLUMNS = tuple(f for f in RECORD_FIELDS if f != "fecha_insercion")
@@ -35,7 +34,7 @@ REJECT_COLUMN = "reject_reason"
 
 def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> DataFrame:
     """Court attributes (name, subject, municipality) onto each row.
-    The dimension is broadcast only under its size bound."""
+    The dimension is written first; Spark broadcasts it if it is small enough."""
     attrs = [c for c in ("court_no", "juzgado", "court_url", "juz_id", "entidad_code") if c != on]
     dim = courts.select(
         on,
@@ -45,7 +44,7 @@ def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> Data
     )
     # Court-level fields are cleaned once per court, not once per row.
     dim = with_clean(dim, {"_clean_juzgado": "juzgado", "_clean_entidad": "entidad_name"})
-    return rows.join(broadcast_checked(dim), on, "inner")
+    return rows.join(sized(dim), on, "inner")
 
 
 def extract_fields(
@@ -122,24 +121,6 @@ def to_records(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     )
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy row work at least one partition per core when a
-    local-mode input comes from fewer files than there are cores (small
-    files that cannot be split further).  On a cluster the scan's file
-    splits already give the parallelism and the file list is never pulled
-    to the driver, so this is a no-op there.  Nothing is executed."""
-    try:
-        sc = df.sparkSession.sparkContext
-    except Exception:  # no SparkContext on a Spark Connect client
-        return df
-    if not sc.master.startswith("local"):
-        return df
-    cores = sc.defaultParallelism
-    if len(df.inputFiles()) < cores:
-        return df.repartition(cores)
-    return df
-
-
 def extract_records(
     rows: DataFrame,
     courts: DataFrame,
@@ -149,7 +130,7 @@ def extract_records(
 ) -> DataFrame:
     """Rows with node lists (`numero_nodes`, `n2`, `n3`) and a court
     key -> records with `reject_reason` (null for valid rows)."""
-    joined = with_court(spread(rows), courts, on=on)
+    joined = with_court(rows, courts, on=on)
     return to_records(extract_fields(joined, en_contra_de=en_contra_de), keep=keep)
 
 

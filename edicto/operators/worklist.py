@@ -3,8 +3,8 @@
 A court's work days come from the calendar that governs it, so units are an
 equi-join of calendar days with courts on `calendar_url` (on the bulletin
 site every court shares one calendar, which makes this the full days x
-courts list).  The court side is a size-checked broadcast; beyond the bound
-the join is a shuffle join whose skew AQE splits.
+courts list).  The courts are written first and broadcast if their bytes are
+under Spark's limit; beyond it the join is a shuffle join whose skew AQE splits.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edicto.functions.classify import classify_subject
-from edicto.operators.joins import absent_from, broadcast_checked
+from edicto.operators.joins import absent_from, sized
 from edicto.operators.load import work_key
 
 
@@ -28,7 +28,7 @@ def plan_units(days: DataFrame, courts: DataFrame) -> DataFrame:
         classify_subject("juzgado").alias("materia"),
     )
     units = days.select("calendar_url", "day_arg", "fecha").join(
-        broadcast_checked(c), "calendar_url", "inner"
+        sized(c), "calendar_url", "inner"
     )
     return units.withColumn(
         "work_key", work_key("juz_id", "entidad_code", "day_arg", "juzgado")

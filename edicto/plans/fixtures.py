@@ -57,6 +57,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For the driver's small single-file tables only: give CPU-heavy row work at least one partition per core when a
+    local-mode input comes from fewer files than there are cores (small
+    files that cannot be split further).  On a cluster the scan's file
+    splits already give the parallelism and the file list is never pulled
+    to the driver, so this is a no-op there.  Nothing is executed."""
+    try:
+        sc = df.sparkSession.sparkContext
+    except Exception:  # no SparkContext on a Spark Connect client
+        return df
+    if not sc.master.startswith("local"):
+        return df
+    cores = sc.defaultParallelism
+    if len(df.inputFiles()) < cores:
+        return df.repartition(cores)
+    return df
+
+
 def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One synthetic bulletin row per order (FIXTURES.md section 1)."""
     o = read_table(spark, sf_dir, "orders").select(
@@ -107,7 +125,7 @@ def fixture_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_nodes(fx: DataFrame) -> DataFrame:
     """Add the node-list columns the extraction operators read."""
-    return fx.withColumns(
+    return spread(fx).withColumns(
         {
             "numero_nodes": nodes_of("numero"),
             "n2": nodes_of("td2_first", "td2_rest"),

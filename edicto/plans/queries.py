@@ -7,6 +7,7 @@ DataFrame; `ORACLE[name]` is the DuckDB SQL giving the same rows.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from edicto.functions.classify import classify_subject, map_code
 from edicto.functions.dates import technical_ts
 from edicto.functions.text import CLEAN_STEPS, clean
 from edicto.operators import records as R
-from edicto.operators.joins import absent_from, broadcast_checked, present_in
+from edicto.operators.joins import absent_from, sized, present_in
 from edicto.operators.load import count_matches, first_by_key
 from edicto.plans import oracle as O
 from edicto.plans.fixtures import (
@@ -26,8 +27,11 @@ from edicto.plans.fixtures import (
     fixture_dup,
     fixture_rows,
     read_table,
+    spread,
     with_nodes,
 )
+from edicto.session import shared_path
+from edicto.sources.io import append_records, export_json, read_records
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,7 +56,7 @@ def _fx_court(spark, sf_dir) -> DataFrame:
     courts = fixture_courts(spark).select(
         "court_no", "juzgado", "entidad_code", classify_subject("juzgado").alias("materia")
     )
-    return _fx(spark, sf_dir).join(broadcast_checked(courts), "court_no")
+    return _fx(spark, sf_dir).join(sized(courts), "court_no")
 
 
 FX = O.with_ctes(O.FX_CTE)
@@ -104,6 +108,19 @@ def record_shape(spark, sf_dir):
     return R.extract_records(_fx(spark, sf_dir), fixture_courts(spark), keep=("row_id",))
 
 
+@register("records_filtered_tipo", _bulletin_sql() + " AND tipo = 'EXHORTO'")
+def records_filtered_tipo(spark, sf_dir):
+    """The flagship, filtered by its caller on an extracted and cleaned field."""
+    return bulletin_records_df(spark, sf_dir).filter(F.col("tipo") == "EXHORTO")
+
+
+@register("records_filtered_fecha", _bulletin_sql() + " AND fecha BETWEEN '1996/01/01' AND '1996/06/30' AND actor LIKE 'CUSTOMER%'")
+def records_filtered_fecha(spark, sf_dir):
+    """The flagship, filtered on the cleaned date and a party."""
+    return bulletin_records_df(spark, sf_dir).filter(
+        F.col("fecha").between("1996/01/01", "1996/06/30") & F.col("actor").startswith("CUSTOMER"))
+
+
 def _quarantine_sql() -> str:
     ctes, out = _records_oracle("fixture_rows", ("row_id",))
     return O.with_ctes(*ctes) + f"SELECT row_id, reject_reason FROM {out} WHERE reject_reason IS NOT NULL"
@@ -206,7 +223,7 @@ def origin_case_q(spark, sf_dir):
     "FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",
 )
 def classify_subject_q(spark, sf_dir):
-    courts = broadcast_checked(fixture_courts(spark).select("court_no", "juzgado"))
+    courts = sized(fixture_courts(spark).select("court_no", "juzgado"))
     return (
         fixture_rows(spark, sf_dir)
         .join(courts, "court_no")
@@ -221,7 +238,7 @@ def classify_subject_q(spark, sf_dir):
     "FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",
 )
 def map_code_q(spark, sf_dir):
-    courts = broadcast_checked(fixture_courts(spark).select("court_no", "entidad_code"))
+    courts = sized(fixture_courts(spark).select("court_no", "entidad_code"))
     return (
         fixture_rows(spark, sf_dir)
         .join(courts, "court_no")
@@ -247,7 +264,7 @@ def technical_ts_q(spark, sf_dir):
     f"SELECT doc_id, {O.clean_sql('text')} AS text_clean FROM documents",
 )
 def clean_text_q(spark, sf_dir):
-    return R.spread(read_table(spark, sf_dir, "documents")).select(
+    return spread(read_table(spark, sf_dir, "documents")).select(
         "doc_id", clean("text").alias("text_clean")
     )
 
@@ -268,7 +285,7 @@ def _step_query(step: str) -> Query:
     fn = CLEAN_STEPS[step]
 
     def q(spark, sf_dir):
-        return R.spread(read_table(spark, sf_dir, "documents")).select("doc_id", fn("text").alias("value"))
+        return spread(read_table(spark, sf_dir, "documents")).select("doc_id", fn("text").alias("value"))
 
     return q
 
@@ -330,23 +347,21 @@ def _existing_new_sql() -> str:
 def _existing_sql() -> str:
     ctes, out = O.records_ctes(source="fixture_rows", keep=("row_id",))
     ctes = [c.replace("rec_", "ex_") for c in ctes]
-    return ",\n".join(ctes) + (
-        f",\nexisting AS (SELECT * FROM ex_out WHERE reject_reason IS NULL AND fecha < '{STORED_BEFORE}')\n"
-    )
+    return ",\n".join(ctes) + ",\nexisting AS (SELECT * FROM ex_out WHERE reject_reason IS NULL AND row_id % 4 = 0)\n"
 
 
-# An earlier run stored every valid record dated before this day.
-STORED_BEFORE = "1998/01/01"
+def _stored(spark, sf_dir) -> DataFrame:
+    """What an earlier run stored: the valid records of every fourth row, from
+    an extraction of their own, written to a sink and read back from it."""
+    rows = with_nodes(fixture_rows(spark, sf_dir).filter(F.col("row_id") % 4 == 0))
+    path = shared_path(spark, "stored", uuid.uuid4().hex)
+    append_records(R.valid(R.extract_records(rows, fixture_courts(spark))), path)
+    return read_records(spark, path)
 
 
-def _new_and_existing(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """The run's batch (first capture per key) and the records an earlier
-    run stored (valid records dated before STORED_BEFORE).  Both come from
-    one extraction of the captured rows: a record's key does not depend on
-    which capture produced it, and the existence test reads only keys."""
-    recs = _dup_records(spark, sf_dir).persist()
-    new = first_by_key(recs, DEDUP_KEYS, "seq_no")
-    return new, recs.filter(F.col("fecha") < F.lit(STORED_BEFORE))
+def _batch(spark, sf_dir) -> DataFrame:
+    """The run's batch: the first capture per key."""
+    return first_by_key(_dup_records(spark, sf_dir), DEDUP_KEYS, "seq_no")
 
 
 _NULL_SAFE = " AND ".join(f"e.{k} IS NOT DISTINCT FROM n.{k}" for k in DEDUP_KEYS)
@@ -358,10 +373,8 @@ _NULL_SAFE = " AND ".join(f"e.{k} IS NOT DISTINCT FROM n.{k}" for k in DEDUP_KEY
     + f"SELECT n.* FROM new_batch n WHERE NOT EXISTS (SELECT 1 FROM existing e WHERE {_NULL_SAFE})",
 )
 def append_if_absent_q(spark, sf_dir):
-    """J4 + G4: first capture per key, minus keys already stored by an
-    earlier run (the valid records dated before STORED_BEFORE)."""
-    new, existing = _new_and_existing(spark, sf_dir)
-    return absent_from(new, existing, DEDUP_KEYS)
+    """J4 + G4: first capture per key, minus keys already in the sink."""
+    return absent_from(_batch(spark, sf_dir), _stored(spark, sf_dir), DEDUP_KEYS)
 
 
 @register(
@@ -370,6 +383,29 @@ def append_if_absent_q(spark, sf_dir):
     + f"SELECT n.* FROM new_batch n WHERE EXISTS (SELECT 1 FROM existing e WHERE {_NULL_SAFE})",
 )
 def duplicate_report_q(spark, sf_dir):
-    """First capture per key that is already stored."""
-    new, existing = _new_and_existing(spark, sf_dir)
-    return present_in(new, existing, DEDUP_KEYS)
+    """First capture per key that is already in the sink."""
+    return present_in(_batch(spark, sf_dir), _stored(spark, sf_dir), DEDUP_KEYS)
+
+
+# Every part of this key is null in some rows, and each part decides for some pair of rows.
+NULL_KEYS = ("numero", "td2_rest", "td3_first", "court_no")
+
+
+@register(
+    "append_if_absent_nulls",
+    FX + f"SELECT n.row_id, {', '.join('n.' + k for k in NULL_KEYS)} FROM fixture_rows n WHERE n.row_id % 4 <> 1 AND NOT EXISTS "
+    "(SELECT 1 FROM fixture_rows e WHERE e.row_id % 4 = 1 AND "
+    + " AND ".join(f"e.{k} IS NOT DISTINCT FROM n.{k}" for k in NULL_KEYS) + ")",
+)
+def append_if_absent_nulls(spark, sf_dir):
+    """J4 on keys with nulls: a null equals a null and nothing else."""
+    fx = fixture_rows(spark, sf_dir).select("row_id", *NULL_KEYS)
+    return absent_from(fx.filter("row_id % 4 <> 1"), fx.filter("row_id % 4 = 1"), NULL_KEYS)
+
+
+@register("export_json", FX + "SELECT row_id, fecha, numero, td2_first FROM fixture_rows")
+def export_json_q(spark, sf_dir):
+    """Records as UTF-8 JSON lines, read back."""
+    path = shared_path(spark, "json", uuid.uuid4().hex)
+    export_json(fixture_rows(spark, sf_dir).select("row_id", "fecha", "numero", "td2_first"), path)
+    return spark.read.schema("row_id long, fecha string, numero string, td2_first string").json(path)

@@ -3,6 +3,8 @@ node lists (continuation of `queries`)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,15 +26,15 @@ from edicto.functions.dates import (
 )
 from edicto.operators import html as HO
 from edicto.operators import records as R
-from edicto.operators.joins import broadcast_checked
+from edicto.operators.joins import sized
 from edicto.operators.load import distinct_keys, last_by_key, progress_by_day, work_key
 from edicto.operators.worklist import pending, plan_units
 from edicto.plans import oracle as O
-from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_rows, read_table, with_nodes
+from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_rows, read_table, spread, with_nodes
 from edicto.plans.queries import FX, FX_COURTS, _records_sql_all, register
 from edicto.plans.render import POSTBACK, ROWS_PER_PAGE, calendar_pages, day_pages
 from edicto.session import shared_path
-from edicto.sources.io import append_ledger, read_ledger, retry_candidates
+from edicto.sources.io import append_ledger, read_captures, read_ledger, retry_candidates, write_captures
 
 q = O.q
 EPOCH_SQL = "DATE '2000-01-01'"
@@ -97,11 +99,16 @@ def postback_sql(code: str) -> str:
 # --- S1: page scan ------------------------------------------------------------------
 
 
-@register("scan_pages", "SELECT page_id, url, CAST(length(html) AS BIGINT) AS n_chars FROM pages")
+@register("scan_pages", "SELECT url, CAST(page_id AS VARCHAR) AS fecha, sha256(html) AS html_sha256 FROM pages WHERE page_id % 3 > 0")
 def scan_pages(spark, sf_dir):
-    return read_table(spark, sf_dir, "pages").select(
-        "page_id", "url", F.length("html").cast("long").alias("n_chars")
-    )
+    """Pages stored as captures (partitioned by kind) and scanned again, one kind only."""
+    path = shared_path(spark, "captures", uuid.uuid4().hex)
+    none = F.lit(None).cast("string")
+    write_captures(read_table(spark, sf_dir, "pages").select(
+        "url", none.alias("court_url"), none.alias("calendar_url"), F.when(F.col("page_id") % 3 == 0, "other").otherwise("day").alias("kind"),
+        F.col("page_id").cast("string").alias("fecha"), F.lit(None).cast("timestamp_ntz").alias("captured_at"),
+        F.lit(200).alias("status"), "html"), path)
+    return read_captures(spark, path).filter(F.col("kind") == "day").select("url", "fecha", F.sha2("html", 256).alias("html_sha256"))
 
 
 # --- H1-H3, H6, H7 on the pages table -------------------------------------------------
@@ -165,11 +172,11 @@ ARTICLE_RX = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
 @register(
     "html_text_nodes",
     f"SELECT page_id, CAST(len(nodes) AS BIGINT) AS n_nodes, array_to_string(nodes, '|') AS text FROM "
-    f"(SELECT page_id, {text_nodes_sql(O.rx(strip_noise_sql('html'), ARTICLE_RX))} AS nodes FROM pages) t",
+    f"(SELECT page_id, {text_nodes_sql(f"array_to_string(regexp_extract_all({strip_noise_sql('html')}, {q(ARTICLE_RX)}, 1), '<br>')")} AS nodes FROM pages) t",
 )
 def html_text_nodes(spark, sf_dir):
-    """H6: text nodes of each page's article."""
-    art = F.regexp_extract(H.strip_noise("html"), ARTICLE_RX, 1)
+    """H6: text nodes of all of each page's articles."""
+    art = F.array_join(F.regexp_extract_all(H.strip_noise("html"), F.lit(ARTICLE_RX), F.lit(1)), "<br>")
     nodes = H.text_nodes(art)
     return read_table(spark, sf_dir, "pages").select(
         "page_id", F.size(nodes).cast("long").alias("n_nodes"), F.array_join(nodes, "|").alias("text")
@@ -257,13 +264,14 @@ def last_by_key_q(spark, sf_dir):
 
 
 def _page_rows(spark, sf_dir) -> DataFrame:
-    rows = HO.table_rows(day_pages(spark, sf_dir), "html", RESULTS_TABLE_ID, True,
-                         keep=("url", "court_url", "fecha"))
+    rows = HO.table_rows(day_pages(spark, sf_dir, per="month"), "html", RESULTS_TABLE_ID, True,
+                         keep=("url", "court_url"))
     cells = HO.row_cells("row_html", "valign")
     all_cells = HO.row_cells("row_html", None)
+    marks = H.text_nodes(F.get(all_cells, 1))
     return rows.select(
-        "url", "court_url", "fecha", F.col("row_pos").cast("long").alias("row_pos"),
-        F.get(H.text_nodes(F.get(all_cells, 1)), 0).cast("long").alias("row_id"),
+        "url", "court_url", F.get(marks, 1).alias("fecha"), F.col("row_pos").cast("long").alias("row_pos"),
+        F.get(marks, 0).cast("long").alias("row_id"),
         F.size(all_cells).cast("long").alias("n_cells"),
         F.size(cells).cast("long").alias("n_valign"),
         HO.cell_nodes(cells, 0).alias("numero_nodes"),
@@ -281,20 +289,24 @@ def _page_url_sql() -> str:
 @register(
     "html_rows",
     FX_COURTS
-    + f"SELECT {_page_url_sql()} AS url, CAST(row_number() OVER (PARTITION BY f.court_no, f.fecha, "
-    f"f.row_id // {ROWS_PER_PAGE} ORDER BY f.row_id) - 1 AS BIGINT) AS row_pos, f.row_id, "
-    "CAST(4 AS BIGINT) AS n_cells, CAST(3 AS BIGINT) AS n_valign "
+    + "SELECT c.court_url || '&Fecha=' || substring(f.fecha, 1, 7) || '/01&Pagina=0' AS url, "
+    "CAST(row_number() OVER (PARTITION BY f.court_no, substring(f.fecha, 1, 7) ORDER BY f.row_id) - 1 AS BIGINT) AS row_pos, "
+    "f.row_id, CAST(4 AS BIGINT) AS n_cells, CAST(3 AS BIGINT) AS n_valign, coalesce(f.numero, '') AS numero, "
+    "concat_ws('|', f.td2_first, f.td2_rest) AS n2, coalesce(f.td3_first, '') AS n3 "
     "FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",
 )
 def html_rows(spark, sf_dir):
-    """H4 + H5: result rows of every captured day page, with cell counts."""
-    return _page_rows(spark, sf_dir).select("url", "row_pos", "row_id", "n_cells", "n_valign")
+    """H4 - H6: the rows of every captured page with many rows, nested tables,
+    missing end tags and character references, against the raw texts."""
+    return _page_rows(spark, sf_dir).select(
+        "url", "row_pos", "row_id", "n_cells", "n_valign", F.array_join("numero_nodes", "|").alias("numero"),
+        F.array_join("n2", "|").alias("n2"), F.array_join("n3", "|").alias("n3"))
 
 
 @register("records_from_pages", _records_sql_all())
 def records_from_pages(spark, sf_dir):
-    """S1 + H4-H6 + E14: captured day pages -> rows -> records."""
-    rows = _page_rows(spark, sf_dir).select("court_url", "fecha", "row_id", "numero_nodes", "n2", "n3")
+    """S1 + H4-H6 + E14: captured pages -> rows -> records."""
+    rows = spread(_page_rows(spark, sf_dir)).select("court_url", "fecha", "row_id", "numero_nodes", "n2", "n3")
     return R.extract_records(rows, fixture_courts(spark), keep=("row_id",), on="court_url")
 
 
@@ -367,7 +379,7 @@ def plan_units_q(spark, sf_dir):
 
 
 def _fx_work_keys(spark, sf_dir) -> DataFrame:
-    courts = broadcast_checked(fixture_courts(spark).select("court_no", "juz_id", "entidad_code", "juzgado"))
+    courts = sized(fixture_courts(spark).select("court_no", "juz_id", "entidad_code", "juzgado"))
     fx = fixture_rows(spark, sf_dir).join(courts, "court_no")
     day = date_to_code(F.to_date("fecha", "yyyy/MM/dd"))
     return fx.select("row_id", "fecha", work_key("juz_id", "entidad_code", day, "juzgado").alias("work_key"))
@@ -430,7 +442,7 @@ def ledger_scan_q(spark, sf_dir):
 )
 def rows_with_court_q(spark, sf_dir):
     """Court attributes onto every row (broadcast of the dimension)."""
-    courts = broadcast_checked(fixture_courts(spark).select("court_no", "juzgado", "court_url", "entidad_code"))
+    courts = sized(fixture_courts(spark).select("court_no", "juzgado", "court_url", "entidad_code"))
     return fixture_rows(spark, sf_dir).join(courts, "court_no").select(
         "row_id", "court_no", "juzgado", "court_url", "entidad_code"
     )
@@ -553,9 +565,15 @@ def _fxn(spark, sf_dir) -> DataFrame:
     return with_nodes(fixture_rows(spark, sf_dir))
 
 
-@register("join_nodes", FX + "SELECT row_id, concat_ws(' ', td2_first, td2_rest) AS joined FROM fixture_rows")
+@register(
+    "join_nodes",
+    "SELECT conv_id, string_agg(replace(text, chr(10), ' '), ' ' ORDER BY turn, role, text) AS joined FROM conversations GROUP BY conv_id",
+)
 def join_nodes_q(spark, sf_dir):
-    return _fxn(spark, sf_dir).select("row_id", TX.join_nodes("n2").alias("joined"))
+    """A1: the texts of each conversation, collected in order and joined."""
+    c = read_table(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("nodes"))
+    return c.select("conv_id", F.translate(TX.join_nodes("nodes.text"), "\n", " ").alias("joined"))
 
 
 @register(
@@ -633,14 +651,15 @@ def split_two_q(spark, sf_dir):
 )
 def classify_keywords_q(spark, sf_dir):
     """L1 + L4 over the documents table."""
-    return R.spread(read_table(spark, sf_dir, "documents")).select("doc_id", classify_subject("text").alias("materia"))
+    return spread(read_table(spark, sf_dir, "documents")).select("doc_id", classify_subject("text").alias("materia"))
 
 
 @register(
     "html_hidden_inputs",
     FX_COURTS
-    + f"SELECT DISTINCT {_page_url_sql()} AS url, 'dDwtMTA=' AS viewstate, 'wEWAg==' AS eventvalidation "
-    "FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",
+    + f"SELECT DISTINCT {_page_url_sql()} AS url, 'v' || s AS viewstate, 'e' || s AS eventvalidation FROM (SELECT *, "
+    f"replace(fecha, '/', '') || '-' || CAST(court_no AS VARCHAR) || '-' || CAST(row_id // {ROWS_PER_PAGE} AS VARCHAR) || '==' AS s "
+    "FROM fixture_rows) f JOIN fixture_courts c ON f.court_no = c.court_no",
 )
 def html_hidden_inputs(spark, sf_dir):
     """H7 by element id: the form state fields (`input#__VIEWSTATE`,
@@ -676,7 +695,27 @@ def build_courts_q(spark, sf_dir):
     """H1 + H2 + H3 + U1-U3 + L1: the court dimension from listing pages
     (navigation links skipped, municipality from the enclosing table id,
     absolute URL, JuzId parameter, subject from the name, later link wins)."""
+    courts = HO.build_courts(_two_captures(spark, sf_dir))
+    return courts.select("court_url", "juzgado", "entidad_code", "juz_id", "materia")
+
+
+def _two_captures(spark, sf_dir) -> DataFrame:
+    """Every listing captured twice; in the earlier capture all courts have another name."""
     from edicto.plans.render import listing_pages
 
-    courts = HO.build_courts(listing_pages(spark, sf_dir))
-    return courts.select("court_url", "juzgado", "entidad_code", "juz_id", "materia")
+    pages = listing_pages(spark, sf_dir)
+    old = pages.withColumn("html", F.replace("html", F.lit("</a></td>"), F.lit(" Antiguo</a></td>")))
+    return pages.withColumn("captured_at", F.lit("2024-02-01")).unionByName(old.withColumn("captured_at", F.lit("2024-01-01")))
+
+
+@register(
+    "plan_from_listing",
+    f"WITH {_MONTHS_CTE}, {_DAYS_CTE}, c AS ({_courts_sql()}) "
+    f"SELECT c.court_url, {_code_sql('d.day')} AS day_arg, c.juz_id || c.entidad_code || {_code_sql('d.day')} || right(c.juzgado, 10) "
+    "AS work_key FROM c CROSS JOIN d",
+)
+def plan_from_listing(spark, sf_dir):
+    """U3 + J1: from captured listings and calendars to work units."""
+    courts = HO.build_courts(_two_captures(spark, sf_dir), calendar_url=SHARED_CALENDAR_URL)
+    days = HO.calendar_days(calendar_pages(spark, sf_dir), "html", keep=("calendar_url",))
+    return plan_units(days, courts).select("court_url", "day_arg", "work_key")

@@ -93,6 +93,16 @@ def _ingest_sql() -> str:
     )
 
 
+def _ingest_replay_sql() -> str:
+    ctes, out = _records_oracle("fixture_rows", ("row_id",))
+    keys = ", ".join(DEDUP_KEYS)
+    return (
+        O.with_ctes(*ctes)
+        + f"SELECT 'records' AS kind, count(*) AS n FROM (SELECT DISTINCT {keys} FROM {out} WHERE reject_reason IS NULL) "
+        f"UNION ALL SELECT 'rejects', count(*) FROM {out} WHERE reject_reason IS NOT NULL"
+    )
+
+
 @register("ingest_records", _ingest_sql())
 def ingest_records_q(spark, sf_dir):
     """R1 + R4 end to end: captured day pages arrive in two runs (the
@@ -112,3 +122,38 @@ def ingest_records_q(spark, sf_dir):
         write_captures(part, caps)
         ingest_captures(spark, caps, recs, quar, ckpt, courts, page_ledger_path=seen)
     return read_records(spark, recs).select(*R.RECORD_COLUMNS, "anio_mes")
+
+
+@register("ingest_replay", _ingest_replay_sql())
+def ingest_replay_q(spark, sf_dir):
+    """R1 + G1 + G2: all day pages ingested, the checkpoint lost, and ingested
+    again without a page ledger: as many records and rejects as before."""
+    base = shared_path(spark, "replay", uuid.uuid4().hex)
+    caps, recs, quar = (f"{base}/{n}" for n in ("captures", "records", "quarantine"))
+    write_captures(day_pages(spark, sf_dir), caps)
+    for run in ("first", "second"):
+        ingest_captures(spark, caps, recs, quar, f"{base}/{run}", fixture_courts(spark), max_files=4)
+    count = lambda df, kind: df.groupBy().agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+    return count(read_records(spark, recs), "records").unionByName(count(spark.read.parquet(quar), "rejects"))
+
+
+@register(
+    "page_quarantine",
+    "SELECT url, sha256(CASE page_id % 3 WHEN 0 THEN '' ELSE html END) AS content_hash FROM pages",
+)
+def page_quarantine_q(spark, sf_dir):
+    """G1 for pages: none of these pages has a result table, so all are
+    quarantined, once, and none enters the page ledger."""
+    base = shared_path(spark, "unread", uuid.uuid4().hex)
+    none = F.lit(None).cast("string")
+    pages = read_table(spark, sf_dir, "pages").select(
+        "url", none.alias("court_url"), none.alias("calendar_url"), F.lit("day").alias("kind"), none.alias("fecha"),
+        F.lit(None).cast("timestamp_ntz").alias("captured_at"), F.lit(200).alias("status"),
+        F.when(F.col("page_id") % 3 == 0, "").otherwise(F.col("html")).alias("html"))
+    write_captures(pages, f"{base}/captures")
+    for run in ("first", "second"):
+        ingest_captures(spark, f"{base}/captures", f"{base}/records", f"{base}/quarantine", f"{base}/{run}", fixture_courts(spark),
+                        f"{base}/ledger", f"{base}/pages")
+    unread = spark.read.parquet(f"{base}/pages").select("url", "content_hash")
+    ledger = spark.read.schema("url string, content_hash string").parquet(f"{base}/ledger")
+    return unread.unionByName(ledger)

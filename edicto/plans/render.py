@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from edicto.constants import CALENDAR_EPOCH, CALENDAR_TABLE_ID, MONTHS, RESULTS_TABLE_ID
 from edicto.functions.dates import date_to_code
-from edicto.operators.joins import broadcast_checked
+from edicto.operators.joins import sized
 from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_rows, read_table
 
 # Result rows per rendered day page (bulletins are paginated).  Pages group
@@ -26,9 +26,27 @@ POSTBACK = "javascript:__doPostBack('ctl00$ContentPlaceHolder1$Calendar1','{}')"
 
 
 def esc(c: Column) -> Column:
-    """HTML-escape text content."""
-    return F.replace(F.replace(F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")),
-                     F.lit(">"), F.lit("&gt;"))
+    """HTML-escape text content; some accents become references, one of each
+    kind (decimal, hexadecimal, named)."""
+    for sign, ref in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("í", "&#237;"), ("é", "&#xE9;"), ("ñ", "&ntilde;")):
+        c = F.replace(c, F.lit(sign), F.lit(ref))
+    return c
+
+
+def _nested(row: Column) -> Column:
+    """Tables nested 0 to 4 deep, by row number, with some end tags missing."""
+    out = F.lit("")
+    for depth in range(1, 5):
+        inner = "x"
+        for k in range(depth):
+            inner = f'<table id="in"><tbody><tr><td valign="top">{inner}' + ("</td></tr>" if k % 2 else "") + "</tbody></table>"
+        out = F.when(row % 5 == depth, F.lit(inner)).otherwise(out)
+    return out
+
+
+def _end(tag: str, row: Column) -> Column:
+    """The end tag, missing in every third row."""
+    return F.when(row % 3 == 2, F.lit("")).otherwise(F.lit(f"</{tag}>"))
 
 
 def _postback(code: Column) -> Column:
@@ -36,29 +54,33 @@ def _postback(code: Column) -> Column:
     return F.concat(F.lit(pre), code, F.lit(post))
 
 
-def day_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One captured day page per (court, day, block of row ids)."""
-    fx = fixture_rows(spark, sf_dir)
+def day_pages(spark: SparkSession, sf_dir: str, per: str = "day") -> DataFrame:
+    """Captured day pages: one per (court, day, block of row ids), or with
+    `per="month"` one per (court, month), dated its first day, with many rows.
+    The second cell of a row holds its id, its own day and nested tables."""
+    k = F.col("row_id")
     row_html = F.concat(
         F.lit('<tr><td valign="top">'), F.coalesce(esc(F.col("numero")), F.lit("")),
-        F.lit('</td><td class="n">'), F.col("row_id").cast("string"),
-        F.lit('</td><td valign="top">'),
+        _end("td", k), F.lit('<td class="n">'), k.cast("string"), F.lit("<br>"), F.col("fecha"), _nested(k),
+        _end("td", k), F.lit('<td valign="top">'),
         F.concat_ws("<br>", esc(F.col("td2_first")), esc(F.col("td2_rest"))),
-        F.lit('</td><td valign="top">'), F.coalesce(esc(F.col("td3_first")), F.lit("")),
-        F.lit("</td></tr>"),
+        _end("td", k), F.lit('<td valign="top">'), F.coalesce(esc(F.col("td3_first")), F.lit("")),
+        _end("td", k), _end("tr", k),
     )
-    rows = fx.select(
-        "court_no", "fecha", (F.col("row_id") / ROWS_PER_PAGE).cast("long").alias("page_no"),
-        F.struct("row_id", row_html.alias("h")).alias("r"),
+    day = F.col("fecha") if per == "day" else F.concat(F.substring("fecha", 1, 7), F.lit("/01"))
+    block = (k / ROWS_PER_PAGE).cast("long") if per == "day" else F.lit(0).cast("long")
+    rows = fixture_rows(spark, sf_dir).select(
+        "court_no", day.alias("fecha"), block.alias("page_no"), F.struct("row_id", row_html.alias("h")).alias("r"),
     )
     pages = rows.groupBy("court_no", "fecha", "page_no").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["h"]), "").alias("body")
     )
-    courts = broadcast_checked(fixture_courts(spark).select("court_no", "court_url", "calendar_url"))
+    courts = sized(fixture_courts(spark).select("court_no", "court_url", "calendar_url"))
     html = F.concat(
         F.lit('<!DOCTYPE html><html><head><meta charset="utf-8"><title>Boletin</title></head><body>'
-              '<form method="post"><input type="hidden" name="__VIEWSTATE" id="__VIEWSTATE" value="dDwtMTA="/>'
-              '<input type="hidden" name="__EVENTVALIDATION" id="__EVENTVALIDATION" value="wEWAg=="/>'
+              '<form method="post"><input type="hidden" name="__VIEWSTATE" id="__VIEWSTATE" value="'),
+        _state("v"), F.lit('"/><input value=\''), _state("e"),
+        F.lit("' id='__EVENTVALIDATION' name=\"__EVENTVALIDATION\" type=hidden>"
               f'<table id="{RESULTS_TABLE_ID}" width="100%"><tbody>'),
         F.col("body"),
         F.lit("</tbody></table></form></body></html>"),
@@ -76,6 +98,12 @@ def day_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _state(kind: str) -> Column:
+    """A form state value that differs from page to page."""
+    return F.concat(F.lit(kind), F.replace("fecha", F.lit("/"), F.lit("")), F.lit("-"), F.col("court_no").cast("string"),
+                    F.lit("-"), F.col("page_no").cast("string"), F.lit("=="))
+
+
 def _month_names() -> Column:
     kv = []
     for k, v in MONTHS.items():

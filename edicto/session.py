@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,8 +30,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     if master and master.startswith("local"):
         # Local mode runs every task in the driver JVM, whose default heap
         # (1 GB) is far below the machine; on a cluster the submitter's
-        # memory settings apply instead.
-        conf["spark.driver.memory"] = "16g"
+        # memory settings apply instead.  Half of the machine's memory;
+        # `extra_conf` overrides it.
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+        conf["spark.driver.memory"] = f"{max(1, total // 2**31)}g"
     conf.update(extra_conf or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -41,10 +44,13 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`.  Only when the
-    cluster names none (local tests) do we create a scratch folder."""
+    """The shared folder named by `spark.checkpoint.dir`.  Only in local mode
+    (tests) is a scratch folder made when the session names none; a cluster
+    without one raises, because executors do not share local folders."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="edicto-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -55,11 +61,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (for written tables that
     cut lineage and for streaming checkpoints)."""
-    return os.path.join(ensure_checkpoint_dir(spark), *parts)
+    return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss;
-    never a local checkpoint)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to a new folder under the shared one and read back: it is
+    computed once, survives the loss of executors, and has a known size."""
+    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,7 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(E.QUERIES) == set(E.ORACLE)
 
 
 @pytest.mark.parametrize("name", KEYS)
