@@ -38,6 +38,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from edicto.llm.bpe import slices
@@ -91,7 +92,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             n = j - i
             yield pa.RecordBatch.from_arrays([
                 pa.array(["doc"] * n), pa.array([block] * n, pa.int64()), ids.slice(i, n), held.slice(i, n),
-                pa.array([len(r) for r in rows], pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary()),
+                pa.array([len(r) for r in rows], pa.int64()), pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary()),
                 pa.array([bucket[r].tobytes() for r in rows], pa.binary()),
                 pa.nulls(n, pa.list_(pa.string())), pa.nulls(n, pa.list_(pa.int64()))], names=names)
             words = pa.array([[w.decode("utf-8", "surrogatepass") for w in number]], pa.list_(pa.string()))
@@ -177,10 +178,14 @@ def score(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_
     texts = tokens.filter("kind = 'doc'")
     own = tokens.filter("kind = 'words'").select("block", F.posexplode(F.arrays_zip("words", "counts")).alias("id", "w"))
     own = own.select("block", "id", F.col("w.words").alias("word"), F.col("w.counts").alias("n"))
-    total = written(own.groupBy("word").agg(F.sum("n").alias("c")), "lm-counts")
+    # One exchange brings a word's blocks together (as many rows as blocks, whatever its count).
+    word = W.partitionBy("word")
     bucket = F.when(F.col("word") == "", 0).otherwise(1 + F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(BUCKETS - 1)))
+    counts = written(own.select("block", "id", "n", F.sum("n").over(word).alias("c"),
+                                (F.row_number().over(word.orderBy("block")) == 1).alias("first"), bucket.cast("int").alias("b")), "lm-counts")
     per = np.zeros((BUCKETS, 2))
-    for r in total.filter("c > 0").groupBy(bucket.alias("b")).agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # BUCKETS rows
+    new = F.count_if(F.col("first") & (F.col("c") > 0))
+    for r in counts.groupBy("b").agg(F.sum("n").alias("n"), new.alias("v")).collect():  # BUCKETS rows
         per[r["b"]] = r["n"], r["v"]
     n_all, n_words = int(per[:, 0].sum()), int(per[:, 1].sum())
     inside = per.sum(axis=1) + 1
@@ -203,7 +208,7 @@ def score(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_
         c = np.zeros(len(right), dtype=np.int64)
         c[right["id"].to_numpy()] = right["c"].to_numpy()
         log_c = np.log10(c + 1.0)
-        ids = [np.frombuffer(x, dtype=np.int32) for x in left["ids"]]
+        ids = [np.frombuffer(zlib.decompress(x), dtype=np.int32) for x in left["ids"]]
         word_sum = np.array([log_c[x].sum() for x in ids])
         return pd.DataFrame({
             "doc_id": left["doc_id"], "held_out": left["held"], "n_tokens": left["n_tokens"],
@@ -213,6 +218,5 @@ def score(spark: SparkSession, docs: DataFrame, *, id_col: str = "doc_id", text_
 
     scored = texts.select("block", "doc_id", "held", "n_tokens", "ids", "buckets").mapInArrow(
         forward, "block long, doc_id long, held boolean, n_tokens long, ids binary, value double")
-    counts = own.select("block", "id", "word").join(total, "word").select("block", "id", "c")
-    return scored.groupBy("block").cogroup(counts.groupBy("block")).applyInPandas(
+    return scored.groupBy("block").cogroup(counts.select("block", "id", "c").groupBy("block")).applyInPandas(
         sums, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
