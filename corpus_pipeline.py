@@ -17,7 +17,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from edicto.llm.common import read_table, written
+from edicto.llm.common import importable, read_table, written
 from edicto.llm.exact_dedup import exact_dedup
 from edicto.llm.near_dedup import near_dedup
 from edicto.llm.packing import pack_documents
@@ -37,14 +37,17 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return near_dedup(docs)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return mask_secrets(spark, docs, RANK_FILE)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    importable(spark)
     return pack_documents(spark, docs, BPE_FILE)
 
 

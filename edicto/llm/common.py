@@ -8,6 +8,7 @@ their parameters and carry other columns inside one struct.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 
@@ -22,6 +23,16 @@ SPACES = " \t\n\x0b\f\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, as
+    `PYTHONPATH` or `--py-files` would (executors without that folder ignore it)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that `spark.checkpoint.dir` names."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
