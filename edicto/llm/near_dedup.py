@@ -12,15 +12,15 @@ so copies are never compared.  Steps:
    text of its buckets.  That links most of a group in linear time.
 3. Where a bucket still holds several components, one text of each is compared
    with one of the bucket's heaviest component.
-4. In buckets that even then hold several components, all pairs from different
-   components are compared by sketch inside tasks, tile against tile, and
-   those whose estimate is near the threshold are verified.
+4. In buckets that even then hold several components, the pairs from different
+   components are compared inside tasks, tile against tile, first by sketch
+   and then by multiset; only links that connect components leave a task.
 
 Every link is verified on the whole multisets (array intersection in the JVM).
-Sketches only rule out pairs whose estimate lies below ESTIMATE, over six
-standard deviations under the threshold.  No bucket, partner or candidate is
-capped.  Buckets are never gathered: their sizes and heaviest texts come from
-aggregates with a map-side part, and tiles hold at most about TILE texts.
+Sketches only rule out pairs whose estimate lies below ESTIMATE, four standard
+deviations under the threshold.  No bucket, partner or candidate is capped.
+Buckets are never gathered: their sizes and heaviest texts come from aggregates
+with a map-side part, and a tile holds about TILE_ITEMS multiset elements.
 
 Defined results: a null text counts as empty; texts without words form one
 class; a text of under five words is one shingle; null ids sort last, and a
@@ -39,15 +39,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edicto.llm import bag_minhash as BM
-from edicto.llm.bpe import slices
+from edicto.llm.bpe import gather, slices
 from edicto.llm.common import SPACE_RUN, SPACES, id_of, text_of, written
 from edicto.llm.components import components
 
 THRESHOLD = 0.8
-#: Estimated similarity from which a pair is verified; at 0.8 the estimate has
-#: a standard deviation of 0.027 (216 registers).
-ESTIMATE = 0.62
-TILE = 1500
+#: Estimated similarity from which a pair is compared; at 0.8 the estimate has
+#: a standard deviation of 0.027 (216 registers), so this is four of them below.
+ESTIMATE = 0.69
+#: Elements of a tile, and the band around the threshold that 32-bit hashes leave open.
+TILE_ITEMS = 1_000_000
+MARGIN = 0.005
 SLICE_CHARS = 1_500_000
 
 
@@ -79,7 +81,8 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sets = BM.occurrences(texts[i:j])
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
             items = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([batch.column("key").slice(i, j - i), items], names=["key", "items"])
+            short = pa.array([s.astype(np.uint32).tobytes() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("key").slice(i, j - i), items, short], names=["key", "items", "short"])
 
 
 def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -119,27 +122,79 @@ def _with_component(members: DataFrame, links: DataFrame) -> DataFrame:
     return known.join(mixed, "band")
 
 
-def _tiles(members: DataFrame) -> DataFrame:
-    """Pairs from different components of a bucket whose sketches are near."""
+def _linked(rows: pd.DataFrame) -> list[tuple[bytes, bytes]]:
+    """Links between different components of two tiles of a bucket.
+
+    Sketches rule pairs out, the rest is compared on whole multisets (32-bit
+    hashes here; pairs within MARGIN of the threshold are left to the exact
+    check that follows).  A sure link merges its components, so only links
+    that connect something are returned."""
+    comp, tile, i, j = pd.factorize(rows["comp"])[0], rows["tile"].to_numpy(), rows["i"].iloc[0], rows["j"].iloc[0]
+    side = {t: np.flatnonzero(tile == t) for t in (i, j)}
+    first = comp != np.bincount(comp).argmax()  # pairs with both sides in the largest component need no test
+    s = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(-1, BM.REGISTERS)
+    tests = []
+    for x in np.flatnonzero(first).tolist():
+        y = side[j if tile[x] == i else i]
+        y = y[(comp[y] != comp[x]) & (~first[y] | (y > x))]
+        if len(y) and len(y := y[np.count_nonzero(s[y] == s[x], axis=1) >= ESTIMATE * BM.REGISTERS]):
+            tests.append((x, y))
+    if not tests:
+        return []
+    key = rows["key"].to_numpy()
+    items = [np.frombuffer(x, dtype=np.uint32) for x in rows["items"]]
+    size = np.array([len(x) for x in items])
+    code = np.unique(np.concatenate(items), return_inverse=True)[1]
+    start = np.cumsum(size) - size
+    mark = np.zeros(int(code.max(initial=-1)) + 1, dtype=bool)
+    out = []
+    for x, y in tests:
+        y = y[comp[y] != comp[x]]
+        if not len(y):
+            continue
+        own = code[start[x]:start[x] + size[x]]
+        mark[own] = True
+        common = np.add.reduceat(mark[gather(code, start[y], size[y])], np.cumsum(size[y]) - size[y])
+        mark[own] = False
+        alike = common / (size[x] + size[y] - common)
+        for k in np.flatnonzero(alike >= THRESHOLD - MARGIN).tolist():
+            if comp[y[k]] != comp[x]:
+                out.append((key[x], key[y[k]]))
+                if alike[k] >= THRESHOLD + MARGIN:
+                    comp[comp == comp[y[k]]] = comp[x]
+    return out
+
+
+def _connect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """`_linked` for each group of a partition sorted by `band, i, j`; the
+    last group of a batch waits for the next one."""
+    rest: pd.DataFrame | None = None
+
+    def links(rows: pd.DataFrame, cuts: list[int]) -> pd.DataFrame:
+        found = [p for a, b in zip(cuts, cuts[1:]) if b - a > 1 for p in _linked(rows.iloc[a:b])]
+        return pd.DataFrame(found, columns=["a", "b"])
 
-    def near(group: pd.DataFrame) -> pd.DataFrame:
-        s = np.frombuffer(b"".join(group["sketch"]), dtype=np.uint8).reshape(-1, BM.REGISTERS)
-        comp, key = pd.factorize(group["comp"])[0], group["key"].to_numpy()
-        tile = group["tile"].to_numpy()
-        lo, hi = np.flatnonzero(tile == group["i"].iloc[0]), np.flatnonzero(tile == group["j"].iloc[0])
-        out_a, out_b = [], []
-        for x in lo.tolist():
-            other = hi[comp[hi] != comp[x]]
-            hit = other[np.count_nonzero(s[other] == s[x], axis=1) >= ESTIMATE * BM.REGISTERS]
-            out_a += [key[x]] * len(hit)
-            out_b += key[hit].tolist()
-        return pd.DataFrame({"a": out_a, "b": out_b})
-
-    sizes = members.groupBy("band").agg(F.ceil(F.count("*") / TILE).cast("long").alias("tiles"))
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        group = rows[["band", "i", "j"]].to_numpy()
+        cuts = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(axis=1)) + 1).tolist()]
+        yield links(rows, cuts)
+        rest = rows.iloc[cuts[-1]:]
+    if rest is not None:
+        yield links(rest, [0, len(rest)])
+
+
+def _tiles(members: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs that may connect components of the buckets of `band, key, comp`.
+    A tile holds about TILE_ITEMS multiset elements."""
+    sized = members.join(sets.select("key", (F.octet_length("short") / 4).alias("n")), "key")
+    sizes = sized.groupBy("band").agg(F.greatest(F.ceil(F.sum("n") / TILE_ITEMS).cast("long"), F.lit(1).cast("long")).alias("tiles"))
     placed = members.join(sizes, "band").withColumn("tile", F.pmod(F.xxhash64("key"), F.col("tiles")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
-    copies = placed.withColumn("other", other).withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other"))
-    return copies.select("band", "i", "j", "tile", "key", "comp", "sketch").groupBy("band", "i", "j").applyInPandas(near, "a binary, b binary")
+    copies = placed.withColumn("other", other).select(
+        "band", "key", "comp", "tile", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"))
+    return (copies.join(sketches, "key").join(sets.select("key", F.col("short").alias("items")), "key")
+            .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j").mapInPandas(_connect, "a binary, b binary"))
 
 
 def near_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
@@ -164,7 +219,7 @@ def near_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     members = written(members.join(weight, "key").select("band", "key", "weight"), "bucket-members")
     candidates = members.select("key").distinct()
     sketches = written(signed.join(candidates, "key", "left_semi").dropDuplicates(["key"]).select("key", "sketch"), "sketches")
-    sets = written(texts.join(candidates, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(_multisets, "key binary, items array<long>"), "multisets")
+    sets = written(texts.join(candidates, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(_multisets, "key binary, items array<long>, short binary"), "multisets")
 
     rank = F.struct("weight", "key")
     heads = members.groupBy("band").agg(F.max(rank).alias("head"))
@@ -178,8 +233,8 @@ def near_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     pairs = _ordered(firsts.join(heads, "band").select(F.col("first.key").alias("a"), F.col("head.key").alias("b")))
     links = written(links.unionByName(verified(pairs.join(tried, ["a", "b"], "left_anti"), sketches, sets)), "links")
 
-    mixed = written(_with_component(members, links).join(sketches, "key"), "bucket-rest")
-    pairs = _ordered(_tiles(mixed))
+    mixed = written(_with_component(members, links).select("band", "key", "comp"), "bucket-rest")
+    pairs = written(_ordered(_tiles(mixed, sketches, sets)), "pairs")
     links = links.unionByName(verified(pairs, sketches, sets))
     comp = components(links)
 
@@ -201,7 +256,7 @@ def near_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
            .unionByName(slim.join(hot.select("key"), "key", "left_anti").join(found.filter(F.col("n") * 1000 <= total), "key", "left").select(*cols)))
     if not carry:
         return out.drop("row_id")
-    dropped = out.filter("NOT kept").select("row_id")
+    dropped = written(out.filter("NOT kept").select("row_id"), "dropped")  # a known size: broadcast only if small
     return rows.join(dropped, "row_id", "left_anti").select("doc")
 
 

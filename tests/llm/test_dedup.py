@@ -105,7 +105,7 @@ def test_near_classes_of_a_large_group(spark):
 
 
 def test_near_classes_in_tiles(spark, monkeypatch):
-    monkeypatch.setattr(ND, "TILE", 7)
+    monkeypatch.setattr(ND, "TILE_ITEMS", 700)
     docs = list(enumerate(edited(60, 8)))
     check_classes(ND.near_rows(spark.createDataFrame([(i, t, "en", "a", 1) for i, t in docs], SCHEMA)).collect(), docs)
 
