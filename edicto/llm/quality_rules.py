@@ -116,32 +116,41 @@ def thresholds(counted: DataFrame) -> DataFrame:
                       .otherwise(F.col("f0")).alias("fence"))
 
 
-def judge(counted: DataFrame) -> DataFrame:
-    """Adds `kept` to written counts that have `lang` and `source`."""
-    limits = written(thresholds(counted), "quality-fences").select(
-        F.col("lang").alias("_l"), F.col("source").alias("_s"), "fence")
+def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
+    """Adds `kept` to counts that have `lang` and `source`."""
+    limits = limits.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "fence")
     joined = counted.join(limits, F.col("lang").eqNullSafe(F.col("_l")) & F.col("source").eqNullSafe(F.col("_s")), "left")
     inside = F.lit(True)
     for m, n in (("symbol", "n_symbols"), ("dup_line", "n_dup_lines"), ("repeat", "n_repeat_words"), ("word_len", "word_chars")):
         inside = inside & F.coalesce(_bin(_ratio(n)) <= F.col("fence")[m], F.lit(True))
-    return joined.withColumn("kept", ~F.col("base_failed") & inside).drop("_l", "_s", "fence")
+    # One expression over both sides of the join: no part of it moves below the
+    # join, where the optimizer would take the counts a second time.
+    return joined.withColumn("kept", F.when(F.col("base_failed"), False).otherwise(inside)).drop("_l", "_s", "fence")
 
 
 def _key(docs: DataFrame, name: str | None) -> Column:
     return F.col(f"doc.`{name}`").cast("string") if name in docs.columns else F.lit(None).cast("string")
 
 
-def quality_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-                 lang_col: str = "lang", source_col: str = "source", carry: bool = False) -> DataFrame:
-    """One row per input row: `doc_id`, the counts, `base_failed` and `kept`;
-    with `carry` also the input row as struct `doc`."""
-    counted = with_counts(docs, text_col).select(
-        *(["doc"] if carry else []), F.col(f"doc.`{id_col}`").cast("long").alias("doc_id"),
+def _counted(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str) -> DataFrame:
+    return with_counts(docs, text_col).select(
+        "doc", F.col(f"doc.`{id_col}`").cast("long").alias("doc_id"),
         _key(docs, lang_col).alias("lang"), _key(docs, source_col).alias("source"), "n_words", "word_chars",
         "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-    return judge(written(counted, "quality-counts")).drop("lang", "source")
 
 
-def quality_filter(docs: DataFrame, **names: str) -> DataFrame:
-    """The input rows that the rules keep, with the input's columns."""
-    return quality_rows(docs, carry=True, **names).filter("kept").select("doc.*")
+def quality_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                 lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """One row per input row: `doc_id`, the counts, `base_failed` and `kept`."""
+    counted = written(_counted(docs, id_col, text_col, lang_col, source_col).drop("doc"), "quality-counts")
+    return judge(counted, written(thresholds(counted), "quality-fences")).drop("lang", "source")
+
+
+def quality_filter(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
+                   lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The input rows that the rules keep, with the input's columns.  The
+    counts are taken twice, for the thresholds and in the filter's own pass,
+    so that no copy of the texts is written."""
+    counted = _counted(docs, id_col, text_col, lang_col, source_col)
+    limits = thresholds(written(counted.drop("doc"), "quality-counts"))
+    return judge(counted, written(limits, "quality-fences")).filter("kept").select("doc.*")
