@@ -17,7 +17,7 @@ from edicto.constants import DEDUP_KEYS
 from edicto.functions import extract as X
 from edicto.functions.classify import classify_subject, map_code
 from edicto.functions.dates import technical_ts
-from edicto.functions.text import CLEAN_STEPS, clean
+from edicto.functions.text import CLEAN_STEPS, clean, clean_staged
 from edicto.operators import records as R
 from edicto.operators.joins import absent_from, sized, present_in
 from edicto.operators.load import count_matches, first_by_key
@@ -265,19 +265,20 @@ def technical_ts_q(spark, sf_dir):
 )
 def clean_text_q(spark, sf_dir):
     return spread(read_table(spark, sf_dir, "documents")).select(
-        "doc_id", clean("text").alias("text_clean")
+        "doc_id", clean_staged("text").alias("text_clean")
     )
 
 
+CLEAN_FIXTURE = {"td2_first": "td2_clean", "td2_rest": "rest_clean", "td3_first": "td3_clean", "numero": "numero_clean"}
+
+
 @register(
     "clean_fixture",
-    FX
-    + f"SELECT row_id, {O.clean_sql('td2_first')} AS td2_clean, {O.clean_sql('numero')} AS numero_clean "
-    "FROM fixture_rows",
+    FX + f"SELECT row_id, {', '.join(f'{O.clean_sql(c)} AS {n}' for c, n in CLEAN_FIXTURE.items())} FROM fixture_rows",
 )
 def clean_fixture_q(spark, sf_dir):
     return fixture_rows(spark, sf_dir).select(
-        "row_id", clean("td2_first").alias("td2_clean"), clean("numero").alias("numero_clean")
+        "row_id", *[clean(c).alias(n) for c, n in CLEAN_FIXTURE.items()]
     )
 
 

@@ -604,7 +604,7 @@ def first_last_node_q(spark, sf_dir):
 )
 def map_compose_q(spark, sf_dir):
     """A4: MapCompose(clean) over the cell-2 nodes, then joined."""
-    m = TX.map_compose("n2", lambda x: TX.clean(x, null_as_empty=False))
+    m = TX.map_compose("n2", lambda x: TX.clean_staged(x, null_as_empty=False))
     return _fxn(spark, sf_dir).select("row_id", TX.join_nodes(m).alias("cleaned"))
 
 

@@ -107,3 +107,35 @@ def test_rerun_after_lost_progress_appends_nothing(spark):
     ingest_captures(spark, f"{base}/caps", f"{base}/recs", f"{base}/q", f"{base}/ck2", courts)
     recs = read_records(spark, f"{base}/recs")
     assert recs.count() == first == recs.dropDuplicates(list(DEDUP_KEYS)).count()
+
+
+def test_changed_page_without_rows_is_kept_for_reading(spark):
+    """A page without rows is quarantined once, never enters the ledger, and
+    is read when it comes back with rows."""
+    from edicto.sources.io import CAPTURE_SCHEMA, write_captures
+    from edicto.streaming.ingest import ingest_captures
+    from tests.golden import DAY
+
+    base = shared_path(spark, "t_pages", uuid.uuid4().hex)
+    courts = fixture_courts(spark)
+    url = courts.first().court_url
+
+    def capture(html, day):
+        row = ("u", url, None, "day", "2022/11/28", None, 200, html)
+        write_captures(spark.createDataFrame([row], CAPTURE_SCHEMA).withColumn("captured_at", F.lit(day).cast("timestamp_ntz")), f"{base}/caps")
+        ingest_captures(spark, f"{base}/caps", f"{base}/recs", f"{base}/q", f"{base}/ck", courts, f"{base}/seen", f"{base}/unread", max_files=1)
+
+    capture("<p>maintenance</p>", "2022-11-28")
+    capture("<p>maintenance</p>", "2022-11-29")
+    assert spark.read.parquet(f"{base}/unread").count() == 1 and spark.read.parquet(f"{base}/seen").count() == 0
+    capture(DAY, "2022-11-30")
+    assert spark.read.parquet(f"{base}/seen").count() == 1
+    held = read_records(spark, f"{base}/recs").count() + spark.read.parquet(f"{base}/q").count()
+    assert held == 3
+
+
+def test_content_keyed_keeps_the_first_capture(spark):
+    from edicto.streaming.ingest import content_keyed
+
+    df = spark.createDataFrame([("u", "a", 3), ("u", "a", 1), ("u", "b", 2)], "url string, html string, captured_at int")
+    assert sorted(r.captured_at for r in content_keyed(df).collect()) == [1, 2]

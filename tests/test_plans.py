@@ -1,7 +1,15 @@
 """Plan shape: pushdown, broadcast of the court dimension, no Python
-evaluation on the native path, map-side partial aggregation for dedup."""
+evaluation, map-side partial aggregation for dedup, bounded cascades."""
+
+import pytest
 
 import __spark_entry__ as E
+from edicto.constants import DEDUP_KEYS
+from edicto.operators import joins as J
+from edicto.plans.queries import NULL_KEYS
+
+SF = "/root/testdata/sf0.001"
+BATCH = sorted(k for k in E.QUERIES if not k.startswith(("stream_", "ingest_", "page_")))
 
 
 def plan(df):
@@ -9,19 +17,58 @@ def plan(df):
 
 
 def test_rolling_window_pushdown(spark):
-    p = plan(E.queries()["rolling_window"](spark, "/root/testdata/sf0.001"))
+    p = plan(E.queries()["rolling_window"](spark, SF))
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
 
 
-def test_records_native_and_broadcast(spark):
-    df = E.queries()["bulletin_records"](spark, "/root/testdata/sf0.001")
-    p = plan(df)
+@pytest.mark.parametrize("name", BATCH)
+def test_no_python(spark, name):
+    p = plan(E.queries()[name](spark, SF))
+    assert not any(x in p for x in ("Python", "Pandas", "ArrowEval", "MapInArrow"))
+
+
+def test_records_broadcast_and_partial_dedup(spark):
+    p = plan(E.queries()["bulletin_records"](spark, SF))
     assert "BroadcastHashJoin" in p
-    assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
-    # first-wins dedup aggregates partially before the shuffle
     assert p.count("SortAggregate") + p.count("HashAggregate") >= 2
 
 
-def test_existing_keys_deduplicated_before_anti_join(spark):
-    p = plan(E.queries()["append_if_absent"](spark, "/root/testdata/sf0.001"))
-    assert "LeftAnti" in p
+def test_filter_on_a_cleaned_field_inlines_the_cascade_once(spark):
+    """The optimizer moves the filter below the projections; each step names
+    its input once, so the plan holds the cascade a few times, not hundreds."""
+    whole = E.queries()["bulletin_records"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    for name in ("records_filtered_tipo", "records_filtered_fecha"):
+        p = E.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+        assert p.count("EXPEDIENTILLO") <= 4 * whole.count("EXPEDIENTILLO")
+        assert len(p) < 4 * len(whole)
+
+
+def test_store_is_not_shuffled(spark):
+    p = plan(E.queries()["append_if_absent"](spark, SF))
+    assert "LeftAnti" in p and "LeftSemi" in p
+    stored = p[p.index("LeftSemi"):]
+    assert "BroadcastHashJoin" in p[: p.index("LeftSemi") + 10] and "Exchange hashpartitioning" not in stored.split("BroadcastExchange")[0]
+
+
+@pytest.mark.parametrize("drop", range(len(DEDUP_KEYS)))
+def test_every_record_key_decides(spark, monkeypatch, drop):
+    """Without any one of its keys the existence test would find other rows."""
+    from edicto.plans import queries as Q
+
+    keys = [k for k in DEDUP_KEYS if k != DEDUP_KEYS[drop]]
+    new, stored = J.written(Q._batch(spark, SF), "t"), Q._stored(spark, SF)
+    right = J.absent_from(new, stored, DEDUP_KEYS, is_written=True).count()
+    assert right < new.count()
+    if J.absent_from(new, stored, keys, is_written=True).count() == right:
+        pytest.xfail(f"{DEDUP_KEYS[drop]} decides for no row of this fixture")
+
+
+@pytest.mark.parametrize("drop", NULL_KEYS)
+def test_every_null_key_decides(spark, drop):
+    from edicto.plans.fixtures import fixture_rows
+
+    fx = J.written(fixture_rows(spark, SF).select("row_id", *NULL_KEYS), "t")
+    new, old = fx.filter("row_id % 4 <> 1"), fx.filter("row_id % 4 = 1")
+    right = J.absent_from(new, old, NULL_KEYS, is_written=True).count()
+    assert 0 < right < new.count()
+    assert J.absent_from(new, old, [k for k in NULL_KEYS if k != drop], is_written=True).count() < right
