@@ -348,15 +348,25 @@ def _existing_new_sql() -> str:
 def _existing_sql() -> str:
     ctes, out = O.records_ctes(source="fixture_rows", keep=("row_id",))
     ctes = [c.replace("rec_", "ex_") for c in ctes]
-    return ",\n".join(ctes) + ",\nexisting AS (SELECT * FROM ex_out WHERE reject_reason IS NULL AND row_id % 4 = 0)\n"
+    near = ", ".join(
+        f"CASE WHEN row_id % 4 = 1 AND row_id // 20 % {len(DEDUP_KEYS)} = {i} THEN coalesce({k}, '') || 'X' ELSE {k} END AS {k}"
+        for i, k in enumerate(DEDUP_KEYS))
+    return ",\n".join(ctes) + f",\nexisting AS (SELECT {near} FROM ex_out WHERE reject_reason IS NULL AND row_id % 4 < 2)\n"
 
 
 def _stored(spark, sf_dir) -> DataFrame:
-    """What an earlier run stored: the valid records of every fourth row, from
-    an extraction of their own, written to a sink and read back from it."""
-    rows = with_nodes(fixture_rows(spark, sf_dir).filter(F.col("row_id") % 4 == 0))
+    """What an earlier run stored: the valid records of every fourth row, and
+    as many near misses, which differ from a record of the batch in one part
+    of the key, each part in turn.  From an extraction of their own, written
+    to a sink and read back from it."""
+    rows = with_nodes(fixture_rows(spark, sf_dir).filter(F.col("row_id") % 4 < 2))
+    recs = R.valid(R.extract_records(rows, fixture_courts(spark), keep=("row_id",)))
+    part = F.floor(F.col("row_id") / 20) % len(DEDUP_KEYS)
+    recs = recs.withColumns({
+        k: F.when((F.col("row_id") % 4 == 1) & (part == i), F.concat(F.coalesce(k, F.lit("")), F.lit("X"))).otherwise(F.col(k))
+        for i, k in enumerate(DEDUP_KEYS)})
     path = shared_path(spark, "stored", uuid.uuid4().hex)
-    append_records(R.valid(R.extract_records(rows, fixture_courts(spark))), path)
+    append_records(recs.drop("row_id"), path)
     return read_records(spark, path)
 
 
