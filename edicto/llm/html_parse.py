@@ -35,6 +35,8 @@ HINTS = frozenset("""ad ads advert adverts advertisement advertising sponsor spo
 notice notices gdpr popup modal overlay newsletter subscribe signup sidebar widget widgets menu nav navbar navigation breadcrumb
 breadcrumbs masthead footer copyright comment comments reply replies respond disqus share sharing social related recommended
 login search pagination pager toolbar contentinfo complementary dialog alert""".split())
+#: Words of names that tell what another element has or does.
+ABOUT = frozenset("has no with without open closed enabled disabled count toggle".split())
 MAIN = frozenset(("article", "main"))
 #: Elements nested deeper count to the path of the element at this depth.
 DEPTH = 100
@@ -69,13 +71,20 @@ def _attributes(text: str) -> dict[str, str]:
 
 
 def _marks(attrs: dict[str, str]) -> set[str]:
-    said = " ".join(attrs.get(k, "") for k in ("class", "id", "role"))
-    return set(re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z])(?=[A-Z])", " ", said).lower()))
+    """Words of class, id and role.  Names that only tell of another element
+    (`has-sidebar`, `comments-open`) give none."""
+    out: set[str] = set()
+    for name in " ".join(attrs.get(k, "") for k in ("class", "id", "role")).split():
+        words = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()
+        words = [w for w in re.split(r"[^a-z0-9]+", words) if w]
+        if not ABOUT.intersection(words):
+            out.update(words, ["".join(words)])
+    return out
 
 
 def _element(name: str, attrs: dict[str, str], parent: Element | None) -> Element:
     marks = _marks(attrs) if attrs else set()
-    own = name in NOT_TEXT or bool(marks & HINTS) or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
+    own = name in NOT_TEXT or name != "main" and bool(marks & HINTS) or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
         or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
     inside = bool(parent and parent.main)
     if not inside and (name == "header" or "header" in marks) and name not in ("body", "html", "main", "article"):

@@ -128,6 +128,7 @@ def test_article_extras():
             "<p>after</p><!-- <article>z</article> -->")
     assert HX.page_text(page, None, set()) == "T\n\na <b> cd\n\nx\n\ny\n\np q"
     assert HX.page_text("<p title='a>b'>q</p><p>r", None, set()) == "q\n\nr"
+    assert HX.page_text("<div class='content has-sidebar comments-open'>t<div id=sideBar>s</div><div class='side_bar'>u</div>", None, set()) == "t"
     assert HX.page_text("<div>" * 5000 + "deep", None, set()) == "deep"
     assert HX.page_text("<article>a<script>never ends </p> b", None, set()) == "a"
 
