@@ -1,5 +1,5 @@
-"""Plan shape: pushdown, broadcast of the court dimension, no Python
-evaluation, map-side partial aggregation for dedup, bounded cascades."""
+"""Plan shape: pushdown, broadcast of the court dimension, map-side partial
+aggregation for dedup, bounded cascades."""
 
 import pytest
 
@@ -9,7 +9,6 @@ from edicto.operators import joins as J
 from edicto.plans.queries import NULL_KEYS
 
 SF = "/root/testdata/sf0.001"
-BATCH = sorted(k for k in E.QUERIES if not k.startswith(("stream_", "ingest_", "page_")))
 
 
 def plan(df):
@@ -21,12 +20,6 @@ def test_rolling_window_pushdown(spark):
     assert "PushedFilters: [IsNotNull(o_orderdate), GreaterThanOrEqual(o_orderdate" in p
 
 
-@pytest.mark.parametrize("name", BATCH)
-def test_no_python(spark, name):
-    p = plan(E.queries()[name](spark, SF))
-    assert not any(x in p for x in ("Python", "Pandas", "ArrowEval", "MapInArrow"))
-
-
 def test_records_broadcast_and_partial_dedup(spark):
     p = plan(E.queries()["bulletin_records"](spark, SF))
     assert "BroadcastHashJoin" in p
