@@ -107,13 +107,14 @@ def thresholds(counted: DataFrame) -> DataFrame:
         q = q.withColumn("f", F.col("q75") + REACH * (F.col("q75") - F.col("q25")) + slack)
         levels.append(q.groupBy(*keys).agg(F.max("rows").alias(f"n{depth}"),
                                            F.map_from_entries(F.collect_list(F.struct("metric", "f"))).alias(f"f{depth}")))
-    by_source, by_lang, overall = (x.withColumnRenamed("lang", "l").withColumnRenamed("source", "s") for x in levels)
+    by_source, by_lang = (x.withColumnRenamed("lang", "l").withColumnRenamed("source", "s") for x in levels[:2])
+    overall = levels[2].first()  # one row with one number per ratio
+    rest = F.create_map(*[F.lit(x) for kv in overall["f0"].items() for x in kv]) if overall else F.lit(None).cast("map<string,bigint>")
     out = (groups.join(by_source, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left").drop("l", "s")
-           .join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left").drop("l")
-           .join(F.broadcast(overall), F.lit(True), "left"))  # one row
+           .join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left").drop("l"))
     enough = lambda n: F.coalesce(F.col(n) >= MIN_ROWS, F.lit(False))
     return out.select("lang", "source", F.when(enough("n2"), F.col("f2")).when(enough("n1"), F.col("f1"))
-                      .otherwise(F.col("f0")).alias("fence"))
+                      .otherwise(rest).alias("fence"))
 
 
 def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:
