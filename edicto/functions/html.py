@@ -106,20 +106,32 @@ def open_tag_with_id(tag: str, id_: str) -> str:
     return r"<" + t + r"\b[^>]*\sid\s*=\s*(?:\"" + i + r"\"|'" + i + r"'|" + i + r"(?=[\s/>]))[^>]*>"
 
 
+# Joins pieces or text nodes of one fragment (a NUL cannot occur in HTML text).
+_NODE_SEP = "\u0000"
+
+
 def pieces(html: ColumnOrName, tags: str) -> Column:
     """The page cut before every start and end tag of `tags` (alternatives of
     a pattern); the first piece is what stands before all of them."""
-    return F.split(col(html), r"(?i)(?=</?(?:" + tags + r")\b)")
+    marked = F.regexp_replace(F.replace(col(html), F.lit(_NODE_SEP)), r"(?i)<(?=/?(?:" + tags + r")\b)", _NODE_SEP + "<")
+    return F.split(marked, _NODE_SEP)
+
+
+def with_delta(parts: Column) -> Column:
+    """The `pieces` of a page as structs `x, d`; d is 1 on a start tag, -1 on
+    an end tag and 0 for the text before all tags."""
+    return F.transform(parts, lambda x, i: F.struct(
+        x.alias("x"), F.when(i == 0, 0).when(x.startswith("</"), -1).otherwise(1).alias("d")))
+
 
+def fold_depth(parts: Column, keep, start: Column, step) -> Column:
+    """Aggregate over the `pieces` of a page with their depth:
+    `step(state, piece, delta)` gives the next state, `keep` the result."""
+    return F.aggregate(with_delta(parts), start, lambda a, p: step(a, p["x"], p["d"]), keep)
 
-def fold_depth(parts: Column, tags: str, keep, start: Column, step) -> Column:
-    """Aggregate over the `pieces` of a page with their depth.
 
-    `step(state, piece, delta)` gives the next state; delta is 1 on a start
-    tag, -1 on an end tag and 0 for the text before all tags.  `keep` maps the
-    last state to the result."""
-    delta = lambda x: F.when(x.rlike(r"(?i)^<(?:" + tags + r")\b"), 1).when(x.rlike(r"^</"), -1).otherwise(0)
-    return F.aggregate(parts, start, lambda a, x: step(a, x, delta(x)), keep)
+# Pieces joined at a time: appending to a list copies it, so long lists are built in blocks.
+BLOCK = 64
 
 
 # Tags of a nested table are renamed, so that patterns for the outer table's
@@ -134,30 +146,33 @@ def table_body(html: ColumnOrName, id_: str) -> Column:
     of their tags prefixed by 'x-'.  A missing end tag is read up to the end
     of the page."""
     opens = r"(?is)^" + open_tag_with_id("table", id_)
-    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("out"))
+    none = F.array().cast("array<string>")
 
     def step(a: Column, x: Column, delta: Column) -> Column:
-        depth = F.when(a["depth"] > 0, a["depth"] + delta).when(
+        now = F.when(a["depth"] > 0, a["depth"] + delta).when(
             (a["depth"] == 0) & (delta == 1) & x.rlike(opens), 1).otherwise(a["depth"])
-        inside = F.when(a["depth"] == 0, F.regexp_replace(x, r"^<[^>]*>", "")).when(
-            (depth == 1) & (delta == -1), F.regexp_replace(x, RX_TABLE_PARTS_FIRST, NESTED)).otherwise(
-            F.regexp_replace(x, RX_TABLE_PARTS, NESTED))
-        out = F.when((depth > 0), F.array_append(a["out"], inside)).otherwise(a["out"])
-        # -1: the table has ended, nothing more is taken
-        ended = (a["depth"] > 0) & (depth <= 0)
-        return F.struct(F.when(ended, -1).otherwise(depth).alias("depth"), out.alias("out"))
-
-    found = fold_depth(pieces(html, "table"), "table", lambda a: F.array_join(a["out"], ""), start, step)
-    return F.when(col(html).rlike(r"(?is)" + open_tag_with_id("table", id_)), found).otherwise(F.lit(""))
-
-
-# The end tag of a nested table: what follows it belongs to the outer one.
-RX_TABLE_PARTS_FIRST = r"(?i)^<(/)(table)\b"
 
-
-# Joins the text nodes of one fragment while entities are decoded (a NUL
-# cannot occur in HTML text).
-_NODE_SEP = "\u0000"
+        def at(depth: Column) -> Column:
+            # the outer start tag goes; after a nested table's end the outer one goes on
+            inside = F.when(a["depth"] == 0, F.substring(x, F.locate(">", x) + 1, 1 << 30)).when(
+                (depth == 1) & (delta == -1), F.concat(F.lit("</x-"), F.substring(x, 3, 1 << 30))).otherwise(
+                F.regexp_replace(x, RX_TABLE_PARTS, NESTED))
+            out = F.when(depth > 0, F.array_append(a["out"], inside)).otherwise(a["out"])
+            # -1: the table has ended, nothing more is taken
+            ended = (a["depth"] > 0) & (depth <= 0)
+            return F.struct(F.when(ended, -1).otherwise(depth).alias("depth"), out.alias("out"))
+
+        return let(now, at)
+
+    def block(a: Column, parts: Column, i: Column) -> Column:
+        inner = F.aggregate(F.slice(parts, i * BLOCK + 1, BLOCK), F.struct(a["depth"].alias("depth"), none.alias("out")),
+                            lambda b, p: step(b, p["x"], p["d"]))
+        return let(inner, lambda b: F.struct(b["depth"].alias("depth"), F.array_append(a["out"], F.array_join(b["out"], "")).alias("out")))
+
+    found = let(with_delta(pieces(html, "table")), lambda parts: F.aggregate(
+        F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")), F.struct(F.lit(0).alias("depth"), none.alias("out")),
+        lambda a, i: block(a, parts, i), lambda a: F.array_join(a["out"], "")))
+    return F.when(col(html).rlike(r"(?is)" + open_tag_with_id("table", id_)), found).otherwise(F.lit(""))
 
 
 def text_nodes(fragment: ColumnOrName) -> Column:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from edicto.constants import CALENDAR_TABLE_ID, RESULTS_TABLE_ID
 from edicto.functions import html as H
 from edicto.functions.dates import code_to_date, day_code, month_code, parse_spanish_date
+from edicto.functions.text import let
 
 
 def links(html: str | Column, css_class: str | None = None,
@@ -65,18 +66,22 @@ def section_links(df: DataFrame, html: str = "html",
                      F.array().alias("out")).cast(state)
 
     def step(a: Column, x: Column, delta: Column) -> Column:
-        depth = F.greatest(a["depth"] + delta, F.lit(0))
         opened = delta == 1
-        section = F.when(opened & (a["depth"] == 0), F.lower(F.regexp_extract(x, r"(?i)^<(" + alt + r")\b", 1))).when(
-            depth == 0, none).otherwise(a["section"])
-        own = H.tag_attr(x, "id")
-        takes = opened & a["id"].isNull() & own.isNotNull()
-        id_ = F.when(takes, own).when(depth < a["at"], none).otherwise(a["id"])
-        at = F.when(takes, depth).when(depth < a["at"], 0).otherwise(a["at"])
-        out = F.array_append(a["out"], F.struct(x.alias("frag"), section.alias("section"), id_.alias("section_id")))
-        return F.struct(depth.alias("depth"), at.alias("at"), section.alias("section"), id_.alias("id"), out.alias("out")).cast(state)
-
-    found = H.fold_depth(H.pieces(H.strip_noise(html), alt), alt, lambda a: a["out"], start, step)
+        facts = F.struct(F.greatest(a["depth"] + delta, F.lit(0)).alias("depth"), F.when(opened, H.tag_attr(x, "id")).alias("own"))
+
+        def at_depth(f: Column) -> Column:
+            depth, own = f["depth"], f["own"]
+            section = F.when(opened & (a["depth"] == 0), F.lower(F.regexp_extract(x, r"(?i)^<(" + alt + r")\b", 1))).when(
+                depth == 0, none).otherwise(a["section"])
+            takes = a["id"].isNull() & own.isNotNull()
+            id_ = F.when(takes, own).when(depth < a["at"], none).otherwise(a["id"])
+            at = F.when(takes, depth).when(depth < a["at"], 0).otherwise(a["at"])
+            out = F.array_append(a["out"], F.struct(x.alias("frag"), section.alias("section"), id_.alias("section_id")))
+            return F.struct(depth.alias("depth"), at.alias("at"), section.alias("section"), id_.alias("id"), out.alias("out")).cast(state)
+
+        return let(facts, at_depth)
+
+    found = H.fold_depth(H.pieces(H.strip_noise(html), alt), lambda a: a["out"], start, step)
     out = df.select(*keep, F.posexplode(found).alias("piece", "p"))
     out = out.select(
         *keep, "piece", "p.section", "p.section_id",
@@ -147,7 +152,7 @@ def result_rows(html: str | Column, table_id: str = RESULTS_TABLE_ID, require_tb
     """H4: inner html of each row of `table[@id]/tbody/tr` (or
     `table[@id]/tr`).  Tables nested in a cell stay in it, to any depth; the
     end tags of rows, cells and bodies may be missing."""
-    body = H.table_body(H.strip_noise(html), table_id)
+    body = let(H.strip_noise(html), lambda h: H.table_body(h, table_id))
     if require_tbody:
         inside = F.regexp_extract_all(body, F.lit(r"(?is)<tbody\b[^>]*>((?:[^<]++|<(?!/?tbody\b))*+)"), F.lit(1))
         body = F.array_join(inside, "</tr>")
@@ -202,7 +207,7 @@ def page_reject(html: str | Column) -> Column:
 
 
 def _calendar_body(html) -> Column:
-    return H.table_body(H.strip_noise(html), CALENDAR_TABLE_ID)
+    return let(H.strip_noise(html), lambda h: H.table_body(h, CALENDAR_TABLE_ID))
 
 
 def _calendar_header(html) -> Column:
