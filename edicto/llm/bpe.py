@@ -21,7 +21,9 @@ import re
 import sys
 import unicodedata
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from edicto.llm.common import id_of, text_of
 
-#: Words a task keeps encoded before it starts afresh (bounds its memory).
-KEEP_WORDS = 1_000_000
+#: Encoded words kept within a task, and by its worker for the next task.  The
+#: first ones met are kept, since frequent words come early.
+KEEP_WORDS = 400_000
+KEEP_BETWEEN = 100_000
 #: Texts beyond this length are split into words piece by piece.
 PIECE = 1 << 20
 
@@ -79,31 +83,52 @@ class Numbered(dict):
         return n
 
 
+@dataclass
+class Vocabulary:
+    """The tables of a byte-level BPE file, of fixed size (about 4 MB)."""
+
+    name: str
+    special: dict[str, int]
+    of_byte: np.ndarray  # token of each byte
+    left: np.ndarray  # the merges in rank order
+    right: np.ndarray
+    made: np.ndarray
+    token_len: np.ndarray
+    token_bytes: np.ndarray
+    classes: tuple[str, str]  # signs that count as letters and numbers
+
+
+def read_spec(path: str) -> Vocabulary:
+    """Read a vocabulary file on the driver."""
+    with open(path, encoding="utf-8") as f:
+        text = f.read()
+    spec = json.loads(text)
+    vocab, special = spec["model"]["vocab"], {t["content"]: t["id"] for t in spec["added_tokens"]}
+    sign = byte_alphabet()
+    token = [b""] * (max([*vocab.values(), *special.values()]) + 1)
+    for t, i in vocab.items():
+        token[i] = bytes(sign[c] for c in t)
+    for t, i in special.items():
+        token[i] = t.encode()
+    pairs = [p.split(" ") if isinstance(p, str) else p for p in spec["model"]["merges"]]
+    ids = lambda tokens: np.array([vocab[t] for t in tokens], dtype=np.int64)
+    return Vocabulary(
+        hashlib.sha256(text.encode()).hexdigest(), special, ids(sorted(sign, key=sign.get)), ids(a for a, _ in pairs), ids(b for _, b in pairs),
+        ids(a + b for a, b in pairs), np.array([len(t) for t in token], dtype=np.int64), np.frombuffer(b"".join(token), dtype=np.uint8),
+        letters_and_numbers())
+
+
 class PairIndexBpe:
     """Encoder and decoder of one vocabulary; built once per Python worker."""
 
-    def __init__(self, spec: str, classes: tuple[str, str] | None = None):
-        model = json.loads(spec)
-        self.classes = classes
-        vocab, self.special = model["model"]["vocab"], {t["content"]: t["id"] for t in model["added_tokens"]}
-        sign, size = byte_alphabet(), max([*vocab.values(), *self.special.values()]) + 1
-        token = [b""] * size
-        for t, i in vocab.items():
-            token[i] = bytes(sign[c] for c in t)
-        for t, i in self.special.items():
-            token[i] = t.encode()
-        self.of_byte = np.array([vocab[c] for c in sorted(sign, key=sign.get)], dtype=np.int64)
-        pairs = [p.split(" ") if isinstance(p, str) else p for p in model["model"]["merges"]]
-        self.left = np.array([vocab[a] for a, _ in pairs], dtype=np.int64)
-        self.right = np.array([vocab[b] for _, b in pairs], dtype=np.int64)
-        self.made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
-        self.size = size
-        keys = self.left * size + self.right
+    def __init__(self, v: Vocabulary):
+        self.of_byte, self.left, self.right, self.made = v.of_byte, v.left, v.right, v.made
+        self.special, self.classes, self.size = v.special, v.classes, len(v.token_len)
+        keys = self.left * self.size + self.right
         self.by_key = np.argsort(keys, kind="stable")
         self.keys = keys[self.by_key]
-        self.token_len = np.array([len(t) for t in token], dtype=np.int64)
-        self.token_at = np.concatenate([[0], np.cumsum(self.token_len)[:-1]])
-        self.token_bytes = np.frombuffer(b"".join(token), dtype=np.uint8)
+        self.token_len, self.token_bytes = v.token_len, v.token_bytes
+        self.token_at = np.cumsum(v.token_len) - v.token_len
         self.any_special = re.compile("|".join(map(re.escape, self.special))) if self.special else None
         self.words = Numbered()
         self.wide: re.Pattern | None = None
@@ -113,9 +138,16 @@ class PairIndexBpe:
         self.words.clear()
         self.flat, self.at, self.len = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def trim(self, n: int) -> None:
+        """Keep the first `n` words only."""
+        if len(self.words) > n:
+            self.words = Numbered(islice(self.words.items(), n))
+            self.at, self.len = self.at[:n].copy(), self.len[:n].copy()
+            self.flat = self.flat[:int(self.at[-1] + self.len[-1]) if n else 0].copy()
+
     # -- merging -------------------------------------------------------------
     def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        key = a * self.size + b
+        key = a.astype(np.int64) * self.size + b
         i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return np.where(self.keys[i] == key, self.by_key[i], -1)
 
@@ -124,8 +156,8 @@ class PairIndexBpe:
         data = [w.encode("utf-8", "surrogatepass") for w in words]
         lens = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
         ends = np.cumsum(lens)
-        sym = self.of_byte[np.frombuffer(b"".join(data), dtype=np.uint8)]
-        nxt, prv = np.arange(1, len(sym) + 1), np.arange(-1, len(sym) - 1)
+        sym = self.of_byte[np.frombuffer(b"".join(data), dtype=np.uint8)].astype(np.int32)
+        nxt, prv = np.arange(1, len(sym) + 1, dtype=np.int32), np.arange(-1, len(sym) - 1, dtype=np.int32)
         nxt[ends - 1], prv[ends - lens] = -1, -1
         index: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
@@ -172,7 +204,7 @@ class PairIndexBpe:
             before = prv[pos]
             file(np.unique(np.concatenate([before[before >= 0], pos[has]])))
         alive = sym >= 0
-        return sym[alive].astype(np.int32), np.add.reduceat(alive, ends - lens) if len(lens) else lens
+        return sym[alive], np.add.reduceat(alive, ends - lens) if len(lens) else lens
 
     # -- words ---------------------------------------------------------------
     def split(self, text: str) -> Iterator[list[str]]:
@@ -188,7 +220,7 @@ class PairIndexBpe:
         if text.isascii():
             find = ASCII_WORDS.findall
         else:
-            self.wide = self.wide or _splitter(*(self.classes or letters_and_numbers()))
+            self.wide = self.wide or _splitter(*self.classes)
             find = self.wide.findall
         at = 0
         while len(text) - at > 2 * PIECE:
@@ -202,7 +234,7 @@ class PairIndexBpe:
     def number_words(self, texts: list[str]) -> list[np.ndarray]:
         """Each text's words by number; words not met before are encoded."""
         if len(self.words) > KEEP_WORDS:
-            self._forget()
+            self.trim(KEEP_BETWEEN)
         words, known = self.words, len(self.words)
         number = words.__getitem__
         rows = [np.concatenate([np.fromiter(map(number, ws), dtype=np.int32, count=len(ws)) for ws in self.split(t)]) for t in texts]
@@ -237,19 +269,18 @@ def gather(flat: np.ndarray, at: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return flat[np.repeat(at - ends + lens, lens) + np.arange(total)]
 
 
-_BUILT: dict[int, PairIndexBpe] = {}
+_BUILT: dict[str, PairIndexBpe] = {}
 
 
-def built(spec: tuple[str, tuple[str, str]]) -> PairIndexBpe:
-    key = hash(spec)
-    if key not in _BUILT:
+def built(v: Vocabulary) -> PairIndexBpe:
+    if v.name not in _BUILT:
         _BUILT.clear()
-        _BUILT[key] = PairIndexBpe(*spec)
-    return _BUILT[key]
+        _BUILT[v.name] = PairIndexBpe(v)
+    return _BUILT[v.name]
 
 
 #: Characters encoded at once.
-SLICE = 16_000_000
+SLICE = 6_000_000
 
 
 def slices(texts: list[str], limit: int = SLICE) -> Iterator[tuple[int, int]]:
@@ -264,13 +295,6 @@ def slices(texts: list[str], limit: int = SLICE) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def read_spec(path: str) -> tuple[str, tuple[str, str]]:
-    """The vocabulary file (a driver-side file of fixed size), and the signs
-    that count as letters and numbers."""
-    with open(path, encoding="utf-8") as f:
-        return f.read(), letters_and_numbers()
-
-
 def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id", text_col: str = "text",
            out: str = "digests") -> DataFrame:
     """Encode every whole text.
@@ -279,7 +303,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str
     "digests" also decodes and gives `doc_id, n_tokens, ids_sha256,
     decoded_sha256`.  `vocabulary` is the path of a byte-level BPE file.
     """
-    spec = spark.sparkContext.broadcast(read_spec(vocabulary))  # a fixed file, under 2 MB
+    spec = spark.sparkContext.broadcast(read_spec(vocabulary))  # of fixed size
     more = {"ids": ", ids array<int>", "lengths": "", "digests": ", ids_sha256 string, decoded_sha256 string"}[out]
 
     def run(batches):
@@ -300,6 +324,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str
                     cols.append(pa.array([hashlib.sha256(bpe.decode(x).encode()).hexdigest() for x in ids]))
                 names = ["doc_id", "n_tokens", *(x.split()[0] for x in more.split(", ")[1:])]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        built(spec.value).trim(KEEP_BETWEEN)
 
     return docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long" + more)

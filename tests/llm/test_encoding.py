@@ -25,7 +25,7 @@ def library():
 
 @pytest.fixture(scope="module")
 def own():
-    return bpe.PairIndexBpe(*bpe.read_spec(FILE))
+    return bpe.PairIndexBpe(bpe.read_spec(FILE))
 
 
 def expected(library, doc_id, text):
@@ -63,7 +63,7 @@ def test_any_text(library, own, texts):
 
 def test_overlapping_pairs_and_long_text_in_pieces(library, monkeypatch):
     monkeypatch.setattr(bpe, "PIECE", 50)
-    small = bpe.PairIndexBpe(*bpe.read_spec(FILE))
+    small = bpe.PairIndexBpe(bpe.read_spec(FILE))
     for t in ("a" * 99, " ".join("don't stop  now" for _ in range(60)), "é " * 300 + "<|endoftext|>" + "x " * 200):
         assert small.encode_batch([t])[0].tolist() == library.encode(t, add_special_tokens=False).ids
     assert small.count_batch(["aaaa", ""]) == [len(library.encode("aaaa").ids), 0]
