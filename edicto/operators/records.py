@@ -4,7 +4,7 @@ The extraction is staged as successive projections (one per dependency
 level of the rule cascades) so every intermediate value is computed once per
 row; Catalyst keeps the stages apart because the expressions are not cheap
 to duplicate, and the whole chain still runs in one codegen stage with no
-shuffle.  Court attributes come from the (size-checked) court dimension.
+shuffle.  Court attributes come from the court dimension.
 """
 
 from __future__ import annotations
