@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from edicto.llm.common import id_of, text_of
+from edicto.llm.common import id_of, release, text_of
 
 #: Encoded words kept within a task, and by its worker for the next task.  The
 #: first ones met are kept, since frequent words come early.
@@ -325,6 +325,7 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str
                 names = ["doc_id", "n_tokens", *(x.split()[0] for x in more.split(", ")[1:])]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
         built(spec.value).trim(KEEP_BETWEEN)
+        release()
 
     return docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(
         run, "doc_id long, n_tokens long" + more)

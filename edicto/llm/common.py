@@ -8,10 +8,13 @@ their parameters and carry other columns inside one struct.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +36,16 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, known) if x)
 
 
+def release() -> None:
+    """Give a Python worker's freed memory back to the system; called at the
+    end of a task, because workers stay for later tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that `spark.checkpoint.dir` names."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

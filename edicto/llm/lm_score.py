@@ -42,7 +42,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from edicto.llm.bpe import slices
-from edicto.llm.common import id_of, scratch_path, text_of, written
+from edicto.llm.common import id_of, release, scratch_path, text_of, written
 from edicto.llm.hmm import Hmm, expected_counts, log10_likelihoods
 
 STATES = 8
@@ -101,6 +101,7 @@ def _tokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), words,
                 pa.array([count], pa.list_(pa.int64()))], names=names)
             block += 1
+    release()
 
 
 def _sequences(column: pa.Array) -> Iterator[tuple[int, int, list[np.ndarray]]]:

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from edicto.llm import bag_minhash as BM
 from edicto.llm.bpe import gather, slices
-from edicto.llm.common import SPACE_RUN, SPACES, id_of, text_of, written
+from edicto.llm.common import SPACE_RUN, SPACES, id_of, release, text_of, written
 from edicto.llm.components import components
 
 THRESHOLD = 0.8
@@ -72,6 +72,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     "sketch": pa.array([r.tobytes() for r in sketch], pa.binary())}
             part = rest.slice(i, j - i)
             yield pa.RecordBatch.from_arrays([*part.columns, *cols.values()], names=[*part.schema.names, *cols])
+    release()
 
 
 def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,6 +84,7 @@ def _multisets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             items = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(sets)))
             short = pa.array([s.astype(np.uint32).tobytes() for s in sets], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column("key").slice(i, j - i), items, short], names=["key", "items", "short"])
+    release()
 
 
 def estimated(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -182,6 +184,7 @@ def _connect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = rows.iloc[cuts[-1]:]
     if rest is not None:
         yield links(rest, [0, len(rest)])
+    release()
 
 
 def _tiles(members: DataFrame, sketches: DataFrame, sets: DataFrame) -> DataFrame:
@@ -212,14 +215,18 @@ def near_rows(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     texts = source.select("key", "text")
 
     # Texts that share a band with another text, with their buckets.
-    bucket = signed.dropDuplicates(["key"]).select("key", F.explode("bands").alias("band"))
+    # Copies collapse on the map side first, so a text held by many rows meets
+    # in no task.
+    once = signed.groupBy("key").agg(F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    bucket = once.select("key", F.explode("bands").alias("band"))
     shared = bucket.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1")
     members = written(bucket.join(shared, "band"), "buckets")
     weight = members.groupBy("key").agg(F.sum("n").alias("weight"))
     members = written(members.join(weight, "key").select("band", "key", "weight"), "bucket-members")
     candidates = members.select("key").distinct()
-    sketches = written(signed.join(candidates, "key", "left_semi").dropDuplicates(["key"]).select("key", "sketch"), "sketches")
-    sets = written(texts.join(candidates, "key", "left_semi").dropDuplicates(["key"]).mapInArrow(_multisets, "key binary, items array<long>, short binary"), "multisets")
+    sketches = written(once.select("key", "sketch").join(candidates, "key", "left_semi"), "sketches")
+    one_text = texts.groupBy("key").agg(F.first("text").alias("text"))
+    sets = written(one_text.join(candidates, "key", "left_semi").select("key", "text").mapInArrow(_multisets, "key binary, items array<long>, short binary"), "multisets")
 
     rank = F.struct("weight", "key")
     heads = members.groupBy("band").agg(F.max(rank).alias("head"))
