@@ -11,11 +11,13 @@ A vector as long as a host's pages is never built.  Each page adds a hash of
 part, and equal vectors have equal fingerprints.  So a host may have any number
 of pages; its template is bounded by the size of a page.
 
-From the template, a host's text slot is the deepest class element that holds
-most of its pages' own text.  A page's text is that of its article or main
-element where it has one, else that of the slot; elements that never hold an
-article (navigation, forms, adverts, comments ...) and template texts outside
-articles are left out.
+From the template, a host's text slot is a class element inside the body that
+holds most of its pages' own text: an article or main element if one does, else
+the deepest.  A page's text is that of the slot (of the article or main element
+in it that holds most of its text, if the template names none).  Where a page
+lacks the slot, or its host has none, the text is that of the article or main
+element, else the page without the template's texts.  Elements that never hold
+an article (navigation, forms, adverts, comments ...) are left out.
 
 Defined results: null html counts as empty and has an empty text; a null URL,
 or one without `://`, belongs to the empty host; repeated rows are extracted
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from edicto.llm.bpe import slices
 from edicto.llm.common import id_of, text_of, written
-from edicto.llm.html_parse import Page, parse
+from edicto.llm.html_parse import MAIN, TEXT_LEVEL, Block, Page, parse
 from edicto.llm.url_filter import host_of
 
 #: A class is frequent if its tokens stand in this share of a host's pages.
@@ -43,8 +45,6 @@ CLASS_SIZE = 2
 PAGES = 5
 #: Share of a host's own text that its slot must hold.
 SLOT = 0.8
-#: Elements that are parts of a text rather than hold one.
-TEXT_LEVEL = tuple("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre span b i em strong a font u small q cite code".split())
 
 _STATS = "host string, token string, is_text boolean, vector long, pages long, total long, place double, chars long"
 
@@ -84,7 +84,7 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[tuple[str, str, bool], list] = {}
             for host, key, source in zip(hosts[i:j], keys[i:j], pages[i:j]):
                 sums.setdefault((host, "", False), [0, 0, 0, 0.0, 0])[1] += 1  # the empty token counts pages
-                for (token, is_text), (n, place, chars) in _page_tokens(parse(source)).items():
+                for (token, is_text), (n, place, chars) in _page_tokens(parse(source, "")).items():
                     x = sums.setdefault((host, token, is_text), [0, 0, 0, 0.0, 0])
                     x[0] ^= _hash(key, n)
                     x[1] += 1
@@ -110,12 +110,13 @@ def templates(pages: DataFrame) -> DataFrame:
     classes = (frequent.groupBy("host", "vector", "pages", "total").agg(F.count("*").alias("size"))
                .filter(F.col("size") >= CLASS_SIZE).drop("size"))
     members = frequent.join(classes, ["host", "vector", "pages", "total"])
-    # A slot stands once in a page, and is no paragraph itself.
+    # A slot stands once in a page, and is no paragraph and not the page itself.
+    name = F.regexp_extract("path", r"([^/.]*)[^/]*$", 1)
     paired = (members.filter("NOT is_text AND total = pages").groupBy("host", "vector", start.alias("path"))
               .agg(F.count("*").alias("tags"), F.max("chars").alias("chars"), F.min(F.col("place") / F.col("pages")).alias("place"))
-              .filter("tags = 2").filter(~F.regexp_extract("path", r"([^/.]*)[^/]*$", 1).isin(*TEXT_LEVEL)))
+              .filter("tags = 2").filter(~name.isin("html", "body", *sorted(TEXT_LEVEL))))
     own = one.filter("NOT is_text AND token NOT LIKE '/%' AND token <> ''").groupBy("host").agg(F.max("chars").alias("most"))
-    deep = F.struct(F.size(F.split("path", "/")).alias("depth"), "chars", "path")
+    deep = F.struct(name.isin(*sorted(MAIN)).alias("main"), F.size(F.split("path", "/")).alias("depth"), "chars", "path")
     slot = (paired.join(own, "host").filter(F.col("chars") >= SLOT * F.col("most")).filter("most > 0")
             .groupBy("host").agg(F.max(deep).alias("deepest")).select("host", F.col("deepest.path").alias("slot")))
     # Texts of the template; their number per host is bounded by SUPPORT and the size of a page.
@@ -123,15 +124,22 @@ def templates(pages: DataFrame) -> DataFrame:
     return sizes.select("host").join(slot, "host", "left").join(texts, "host", "left")
 
 
+def page_blocks(source: str, slot: str | None, texts: set[str]) -> tuple[str, list[Block]]:
+    """What decided (`slot`, `article` or `page`), and the article's blocks."""
+    blocks = parse(source, slot).blocks
+    inside = [b for b in blocks if slot in b.within]
+    main = [b for b in inside or blocks if b.main]
+    if inside:
+        size = lambda some: sum(len(b.text) for b in some)
+        return "slot", main if size(main) >= SLOT * size(inside) else inside
+    if main:
+        return "article", main
+    return "page", [b for b in blocks if _text_token(b.path, b.text) not in texts]
+
+
 def page_text(source: str, slot: str | None, texts: set[str]) -> str:
     """The article of one page, given its host's template."""
-    blocks = parse(source).blocks
-    own = [b for b in blocks if b.main]
-    if not own:
-        own = [b for b in blocks if _text_token(b.path, b.text) not in texts]
-        inside = [b for b in own if slot in b.within]
-        own = inside or own
-    return "\n\n".join(b.text for b in own)
+    return "\n\n".join(b.text for b in page_blocks(source, slot, texts)[1])
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

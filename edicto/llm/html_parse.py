@@ -38,6 +38,9 @@ login search pagination pager toolbar contentinfo complementary dialog alert""".
 #: Words of names that tell what another element has or does.
 ABOUT = frozenset("has no with without open closed enabled disabled count toggle".split())
 MAIN = frozenset(("article", "main"))
+#: Inside a host's text slot the ids of these name a text's parts, as link targets, and hide nothing.
+TEXT_LEVEL = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre span b i em strong a font u small q cite code".split())
+PARTS = TEXT_LEVEL | {"section"}
 #: Elements nested deeper count to the path of the element at this depth.
 DEPTH = 100
 
@@ -49,6 +52,7 @@ class Element:
     hidden: bool  # not the article's text, itself or by an ancestor
     main: bool  # inside an article or main element
     depth: int
+    slot: bool = False  # the host's text slot, or inside it
 
 
 @dataclass
@@ -70,11 +74,11 @@ def _attributes(text: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTR.finditer(text)}
 
 
-def _marks(attrs: dict[str, str]) -> set[str]:
+def _marks(attrs: dict[str, str], keys: tuple[str, ...] = ("class", "id", "role")) -> set[str]:
     """Words of class, id and role.  Names that only tell of another element
     (`has-sidebar`, `comments-open`) give none."""
     out: set[str] = set()
-    for name in " ".join(attrs.get(k, "") for k in ("class", "id", "role")).split():
+    for name in " ".join(attrs.get(k, "") for k in keys).split():
         words = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower()
         words = [w for w in re.split(r"[^a-z0-9]+", words) if w]
         if not ABOUT.intersection(words):
@@ -82,24 +86,28 @@ def _marks(attrs: dict[str, str]) -> set[str]:
     return out
 
 
-def _element(name: str, attrs: dict[str, str], parent: Element | None) -> Element:
-    marks = _marks(attrs) if attrs else set()
+def _element(name: str, attrs: dict[str, str], parent: Element | None, slot: str | None) -> Element:
+    in_slot = bool(parent and parent.slot)
+    marks = _marks(attrs, ("class", "role") if (in_slot or slot == "") and name in PARTS else ("class", "id", "role")) if attrs else set()
     own = name in NOT_TEXT or name != "main" and bool(marks & HINTS) or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
         or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
     inside = bool(parent and parent.main)
-    if not inside and (name == "header" or "header" in marks) and name not in ("body", "html", "main", "article"):
+    if not inside and not in_slot and (name == "header" or "header" in marks) and name not in ("body", "html", "main", "article"):
         own = True  # a page's header; an article's own holds its title
     own = own and name not in ("html", "body")
     main = name in MAIN or "main" == attrs.get("role") or "articleBody" in attrs.get("itemprop", "")
     if parent and parent.depth >= DEPTH:  # deeper elements share their ancestor's path
-        return Element(name, parent.path, own or parent.hidden, inside or main, parent.depth)
+        return Element(name, parent.path, own or parent.hidden, inside or main, parent.depth, in_slot)
     label = name + "".join(f".{attrs[k].split()[0]}" for k in ("class", "id") if attrs.get(k, "").split())
-    return Element(name, f"{parent.path}/{label}" if parent else label, own or bool(parent and parent.hidden), inside or main,
-                   parent.depth + 1 if parent else 1)
+    path = f"{parent.path}/{label}" if parent else label
+    return Element(name, path, own or bool(parent and parent.hidden), inside or main, parent.depth + 1 if parent else 1,
+                   in_slot or path == slot)
 
 
-def parse(source: str) -> Page:
-    """All tags with their paths, and all text blocks in page order."""
+def parse(source: str, slot: str | None = None) -> Page:
+    """All tags with their paths, and all text blocks in page order.  `slot` is
+    the path of the host's text slot; empty if any element may turn out to be
+    it, None if the host has none."""
     page, stack, text, at = Page(), [], [], 0
     place = 0
 
@@ -165,7 +173,7 @@ def parse(source: str) -> Page:
             flush()
             close(ended)
         attrs = _attributes(m["attrs"] or m["attrs2"] or "") if m["attrs"] or m["attrs2"] else {}
-        e = _element(name, attrs, stack[-1] if stack else None)
+        e = _element(name, attrs, stack[-1] if stack else None, slot)
         place += 1
         page.tags.append((e.path, place))
         if name in VOID or (m["attrs"] or m["attrs2"] or "").endswith("/") and name not in BLOCK:

@@ -133,6 +133,20 @@ def test_article_extras():
     assert HX.page_text("<article>a<script>never ends </p> b", None, set()) == "a"
 
 
+def test_template_goes_before_article_element(spark):
+    """Teasers in article elements are no article; ids of headings and sections hide nothing."""
+    said = lambda i, n: " ".join(f"w{i * k * n}" for k in range(1, 60))
+
+    def page(i):
+        return (f"<body><div id=top>Our Site</div><div class=cols><div class=story><header><h1>Title {i}</h1></header><section id=search>"
+                f"<h2 id=related-work>Work {i}</h2><p>{said(i, 1)}</section><section><p>{said(i, 2)}</section><div class=share>mail</div></div>"
+                f"<div class=c2><article><p>teaser {i}</article><article><p>other {i}</article></div></div>")
+
+    rows = [(i, f"http://site.example/{i}", page(i)) for i in range(1, 9)]
+    got = {r.page_id: r.text for r in HX.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: f"Title {i}\n\nWork {i}\n\n{said(i, 1)}\n\n{said(i, 2)}" for i in got} and len(got) == 8
+
+
 # -- pipeline -----------------------------------------------------------------
 
 
