@@ -3,8 +3,10 @@
 Three fixed patterns give the base spans.  The method adds spans of kind
 `random`: runs of key-like signs that a tokenizer vocabulary compresses badly,
 that is, with few characters per token, after known digests and identifiers
-(hexadecimal digests, UUIDs, numbers, plain words, file paths and addresses)
-are set aside.  A run that overlaps a base span adds nothing.
+(hexadecimal digests, UUIDs, numbers) are set aside.  Runs of letters in one
+case count by their words in small letters, which a vocabulary knows best.  Of
+a run that is not random, each long piece between slashes is tested alone, so
+that a key behind a path counts.  What overlaps a base span adds nothing.
 
 Defined results: a null text counts as empty and has no spans; positions count
 code points, ends are exclusive; repeated rows are scanned each; an empty
@@ -33,13 +35,15 @@ HEX = re.compile(r"[0-9a-f]{24,}")  # runs are maximal, so the least length can
 LEAST = {"assign": 6, "access": 20}
 
 #: Candidates of the token test, and what is known not to be a secret.
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
-KNOWN = re.compile(r"[0-9a-f]+|[0-9A-F]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9_/+-]+"
-                   r"|[A-Za-z]?[a-z]+(?:[_/+-][A-Za-z]?[a-z]+)*|[A-Z]+(?:[_/+-][A-Z]+)*")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_-])")
+KNOWN = re.compile(r"[0-9a-f]+|[0-9A-F]+|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9_/+=-]+")
+#: The pieces of a candidate, as long as a candidate at least.
+PIECE = re.compile(r"[A-Za-z0-9+_-]{20,}={0,2}")
+#: Runs of words, each in one case but for its first letter, and the words in them that can tell.
+WORDS = re.compile(r"[^A-Za-z0-9]*+(?:(?>[A-Z]?[a-z]+|[A-Z]+)(?:[^A-Za-z0-9]++|\Z))++")
+WORD = re.compile(r"[A-Za-z]{3,}")
 #: Characters per token below which a candidate counts as random.
 RATIO = 2.0
-#: A candidate mixes at least two of: small letters, capitals, digits.
-CLASSES = tuple(map(re.compile, ("[a-z]", "[A-Z]", "[0-9]")))
 
 #: The pattern that splits text before the merges of the rank file (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -55,15 +59,25 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def is_random(run: str, n_tokens) -> bool:
+    """Whether a run has under RATIO characters per token."""
+    if KNOWN.fullmatch(run):
+        return False
+    if WORDS.fullmatch(run):
+        words = [w.lower() for w in WORD.findall(run)]
+        return sum(map(len, words)) < RATIO * sum(map(n_tokens, words))
+    return len(run) < RATIO * n_tokens(run)
+
+
 def random_spans(text: str, n_tokens, base: list[Span]) -> list[Span]:
     """Spans whose characters per token fall below RATIO."""
     out = []
+    free = lambda a, b: not any(x < b and a < z for x, _, z in base)
     for m in CANDIDATE.finditer(text):
-        s, a, b = m.group(), m.start(), m.end()
-        if KNOWN.fullmatch(s) or sum(bool(c.search(s)) for c in CLASSES) < 2 or any(x < b and a < z for x, _, z in base):
-            continue
-        if len(s) < RATIO * n_tokens(s):
-            out.append((a, 3, b))
+        if free(*m.span()) and is_random(m.group(), n_tokens):
+            out.append((m.start(), 3, m.end()))
+        elif "/" in m.group():
+            out += [(x.start(), 3, x.end()) for x in PIECE.finditer(text, *m.span()) if free(*x.span()) and is_random(x.group(), n_tokens)]
     return out
 
 

@@ -2,7 +2,9 @@
 
 import collections
 import hashlib
+import random
 import re
+import string
 
 import duckdb
 import public_tokenizers
@@ -52,6 +54,25 @@ def test_spans(spark):
     assert SE.scan(spark, empty(spark), RANKS).count() == 0
 
 
+def test_random_runs():
+    """Keys right behind '=', in one case, or behind a path; words in one case are none."""
+    with open(RANKS, encoding="ascii") as f:
+        count = SE.token_counter(f.read())
+    key, rng = "xK9fQ2mZ7vLp4RtW8bNc3YsD", random.Random(7)
+    for head in ("auth=", "client_id=", "https://x.org/f?sig=", "key: ", "x.com/account/password/reset/confirm/"):
+        (a, _, b), = SE.random_spans(head + key + "&x", count, [])
+        assert key in (head + key)[a:b] and ("/acc" in head or b - a == len(key))
+    for signs in (string.ascii_lowercase, string.ascii_uppercase, string.ascii_letters + string.digits):
+        runs = ["".join(rng.choices(signs, k=32)) for _ in range(200)]
+        assert sum(bool(SE.random_spans(f"to {x} end", count, [])) for x in runs) >= 180
+        runs = ["x.com/account/password/reset/confirm/" + x[:24] for x in runs]
+        assert sum(bool(SE.random_spans(x, count, [])) for x in runs) >= 160
+    for x in ("INTERNATIONALIZATION-OF-SOFTWARE", "counterrevolutionaries", "SPARK_SQL_SHUFFLE_PARTITIONS=8", "a-b-c-d-e-f-g-h-i-j-k-l",
+              "path=some/long/directory/names/internationalization", "id=123e4567-e89b-12d3-a456-426614174000", "sha=" + "0F" * 20,
+              "n=" + "12345678_" * 4, "-" * 40, "the-quick-brown-fox-jumps-over"):
+        assert not SE.random_spans(x, count, []), x
+
+
 def test_masking(spark):
     docs = spark.createDataFrame([(i, t, "en", "a", len(t or "")) for i, t in enumerate(SECRETS)], SCHEMA)
     rows = {r.doc_id: r for r in SE.mask_secrets(spark, docs, RANKS).collect()}
