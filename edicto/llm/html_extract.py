@@ -16,7 +16,8 @@ holds most of its pages' own text: an article or main element if one does, else
 the deepest.  A page's text is that of the slot (of the article or main element
 in it that holds most of its text, if the template names none).  Where a page
 lacks the slot, or its host has none, the text is that of the article or main
-element, else the page without the template's texts.  Elements that never hold
+element, else the page without the template's texts, which are those in a class
+with tags.  Elements that never hold
 an article (navigation, forms, adverts, comments ...) are left out.
 
 Defined results: null html counts as empty and has an empty text; a null URL,
@@ -40,7 +41,7 @@ from edicto.llm.url_filter import host_of
 
 #: A class is frequent if its tokens stand in this share of a host's pages.
 SUPPORT = 0.5
-#: Least number of a class's tokens, and of pages from which texts may be a template's.
+#: Least number of a class's tokens, and of different pages from which texts may be a template's.
 CLASS_SIZE = 2
 PAGES = 5
 #: Share of a host's own text that its slot must hold.
@@ -96,10 +97,21 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
+def distinct_pages(pages: DataFrame) -> DataFrame:
+    """`host, row, html` of each content of a host, from `host, html`.  Only
+    contents that stand twice are grouped, after a partial grouping in the
+    tasks; all other pages stay where they are."""
+    keyed = pages.select("host", F.md5("html").alias("key"), "html")
+    copied = written(keyed.groupBy("host", "key").agg(F.count("*").alias("n")).filter("n > 1").select("host", "key"), "copied-pages")
+    once = keyed.join(copied, ["host", "key"], "left_anti")
+    more = keyed.join(copied, ["host", "key"], "left_semi").groupBy("host", "key").agg(F.first("html").alias("html"))
+    return once.unionByName(more).select("host", F.xxhash64("key").alias("row"), "html")
+
+
 def templates(pages: DataFrame) -> DataFrame:
-    """`host, texts, slot` from `host, row, html`: the template's texts, and
-    the path of the element that holds most of the pages' own text."""
-    one = (pages.mapInArrow(_stats, _STATS).groupBy("host", "token", "is_text")
+    """`host, texts, slot` from `host, html`: the template's texts, and the
+    path of the element that holds most of the pages' own text."""
+    one = (distinct_pages(pages).mapInArrow(_stats, _STATS).groupBy("host", "token", "is_text")
            .agg(F.bit_xor("vector").alias("vector"), *[F.sum(c).alias(c) for c in ("pages", "total", "place", "chars")]))
     one = written(one, "page-tokens")
     sizes = one.filter("token = ''").select("host", F.col("pages").alias("all"))
@@ -107,7 +119,7 @@ def templates(pages: DataFrame) -> DataFrame:
     # Equal vectors are one class.  An element's start and end tag carry the
     # same path, so a class nests properly where it has both.
     start = F.regexp_replace("token", "^/", "")
-    classes = (frequent.groupBy("host", "vector", "pages", "total").agg(F.count("*").alias("size"))
+    classes = (frequent.groupBy("host", "vector", "pages", "total").agg(F.count("*").alias("size"), F.count_if(~F.col("is_text")).alias("class_tags"))
                .filter(F.col("size") >= CLASS_SIZE).drop("size"))
     members = frequent.join(classes, ["host", "vector", "pages", "total"])
     # A slot stands once in a page, and is no paragraph and not the page itself.
@@ -119,8 +131,8 @@ def templates(pages: DataFrame) -> DataFrame:
     deep = F.struct(name.isin(*sorted(MAIN)).alias("main"), F.size(F.split("path", "/")).alias("depth"), "chars", "path")
     slot = (paired.join(own, "host").filter(F.col("chars") >= SLOT * F.col("most")).filter("most > 0")
             .groupBy("host").agg(F.max(deep).alias("deepest")).select("host", F.col("deepest.path").alias("slot")))
-    # Texts of the template; their number per host is bounded by SUPPORT and the size of a page.
-    texts = (frequent.filter("is_text").filter(F.col("all") >= PAGES).groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("texts")))
+    # Texts of the template share a class with tags; their number per host is bounded by SUPPORT and the size of a page.
+    texts = (members.filter("is_text AND class_tags > 0").filter(F.col("all") >= PAGES).groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("texts")))
     return sizes.select("host").join(slot, "host", "left").join(texts, "host", "left")
 
 
@@ -146,7 +158,7 @@ def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
     """One row per input row: `page_id, url, text, n_chars`."""
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(id_of(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"), text_of(html_col).alias("html"))
-    found = written(templates(rows.select("host", F.xxhash64("page_id", "url", "html").alias("row"), "html")), "templates")
+    found = written(templates(rows.select("host", "html")), "templates")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

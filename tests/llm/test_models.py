@@ -147,6 +147,27 @@ def test_template_goes_before_article_element(spark):
     assert got == {i: f"Title {i}\n\nWork {i}\n\n{said(i, 1)}\n\n{said(i, 2)}" for i in got} and len(got) == 8
 
 
+def test_copies_are_one_page(spark):
+    """Copies neither become a template nor cancel out."""
+    said = lambda i, k: " ".join(f"w{i * 100 + k * 10 + j}" for j in range(20))
+    copy = "<body><p>Once said</p><p>and told</p></body>"
+    rows = [(i, None, copy) for i in range(5)] + [(10 + i, "http://m.example/a", copy) for i in range(6)]
+    rows += [(20 + i, f"http://m.example/{i}", f"<body><p>{said(i, 1)}</p><p>{said(i, 2)}</p></body>") for i in range(4)]
+    # A mirror whose rows differ in a date only: its paragraphs are in no class with tags.
+    rows += [(30 + i, f"http://n.example/{i}", f"<body><p>{i}</p><p>Once said</p><p>and told</p></body>") for i in range(6)]
+    rows += [(40 + i, f"http://n.example/x{i}", f"<body><p>{said(i, 1)}</p></body>") for i in range(4)]
+    # Each page twice, with the same id, url and html.
+    twice = [(50 + i, f"http://t.example/{i}", template_page(i, [said(i, k) for k in range(1, 8)])) for i in range(6)]
+    got = {r.page_id: r.text for r in HX.extract(spark.createDataFrame(rows + twice * 2, "page_id long, url string, html string")).collect()}
+    assert len(got) == 31 and all(got[i] == "Once said\n\nand told" for i in [*range(5), *range(10, 16)])
+    assert all(got[20 + i] == f"{said(i, 1)}\n\n{said(i, 2)}" and got[40 + i] == said(i, 1) for i in range(4))
+    assert all(got[30 + i] == f"{i}\n\nOnce said\n\nand told" for i in range(6))
+    assert all(got[50 + i] == "\n\n".join([f"Title {i}", *(said(i, k) for k in range(1, 8))]) for i in range(6))
+    pages = spark.createDataFrame(twice, "page_id long, host string, html string").select(HX.F.lit("h").alias("host"), "html")
+    one, two = (HX.templates(x).first().asDict() for x in (pages, pages.unionByName(pages)))
+    assert one == two and one["slot"].endswith("div.c1")
+
+
 # -- pipeline -----------------------------------------------------------------
 
 
