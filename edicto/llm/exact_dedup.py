@@ -57,18 +57,21 @@ def append_new(groups: DataFrame, table: str, batch: str, buckets: int) -> None:
     spark.catalog.refreshTable(table)
 
 
-def dedup_rows(docs: DataFrame, table: str | None = None, buckets: int | None = None, *,
+def dedup_rows(docs: DataFrame, table: str | None = None, buckets: int | None = None, *, batch: str | None = None,
                id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """One row per input row: `doc_id, keep_id, group_size, kept, digest, row_id`,
     and with `carry` the input row as struct `doc`.
 
     `table` names the index; without one a new index is made.  `group_size`
-    counts the rows of this batch with the same text.
+    counts the rows of this batch with the same text.  `batch` names the batch
+    in the index; a job that is repeated after a failure gives the same name
+    and the same rows, and keeps what the first run would have kept.  Without
+    a name each call is a batch of its own.
     """
     spark = docs.sparkSession
     table = table or new_index_name()
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    batch = uuid.uuid4().hex
+    batch = batch or uuid.uuid4().hex
     rows = docs.select(id_of(id_col).alias("doc_id"), digest(text_of(text_col)).alias("digest"),
                        F.monotonically_increasing_id().alias("row_id"),
                        *([F.struct("*").alias("doc")] if carry else []))
@@ -99,7 +102,7 @@ def dedup_rows(docs: DataFrame, table: str | None = None, buckets: int | None =
     return rows.join(dropped, "row_id", "left_anti").select("doc", "digest", "row_id")
 
 
-def exact_dedup(docs: DataFrame, table: str | None = None, buckets: int | None = None, *,
+def exact_dedup(docs: DataFrame, table: str | None = None, buckets: int | None = None, *, batch: str | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows that stay, with the input's columns."""
-    return dedup_rows(docs, table, buckets, id_col=id_col, text_col=text_col, carry=True).select("doc.*")
+    """The input rows that stay, with the input's columns; parameters as in `dedup_rows`."""
+    return dedup_rows(docs, table, buckets, batch=batch, id_col=id_col, text_col=text_col, carry=True).select("doc.*")

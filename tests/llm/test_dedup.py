@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from edicto.llm import bag_minhash as BM
@@ -56,6 +57,26 @@ def test_index_persists(spark):
     assert spark.table(table).count() == len(set(texts.values()))
 
 
+def test_repeat_after_failure(spark, monkeypatch):
+    """A batch that failed behind the append keeps its rows when it is repeated under its name."""
+    docs, table, append = read(spark, "documents"), XD.new_index_name(), XD.append_new
+    XD.dedup_rows(docs.filter("doc_id < 60"), table, 4, batch="one")
+    want = XD.dedup_rows(docs.filter("doc_id < 60"), batch="one").filter("kept").count()
+
+    def fails(*args):
+        append(*args)
+        raise RuntimeError("behind the append")
+
+    monkeypatch.setattr(XD, "append_new", fails)
+    with pytest.raises(RuntimeError):
+        XD.exact_dedup(docs, table, 4, batch="two")
+    monkeypatch.undo()
+    size = spark.table(table).count()
+    again = ids(XD.exact_dedup(docs, table, 4, batch="two").collect())
+    assert spark.table(table).count() == size and len(again) == size - want > 0
+    assert not XD.exact_dedup(docs, table, 4, batch="three").count()
+
+
 def test_index_side_is_not_shuffled(spark):
     table = XD.new_index_name()
     XD.dedup_rows(read(spark, "documents"), table, 8)
