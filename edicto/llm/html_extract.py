@@ -21,8 +21,9 @@ with tags.  Elements that never hold
 an article (navigation, forms, adverts, comments ...) are left out.
 
 Defined results: null html counts as empty and has an empty text; a null URL,
-or one without `://`, belongs to the empty host; repeated rows are extracted
-each; an empty table gives no rows.
+or one without `://`, belongs to the empty host; a host with under PAGES
+different pages has a slot but no template texts, so pages without slot and
+article keep all that no name hides; repeated rows are extracted each; an empty table gives no rows.
 """
 
 from __future__ import annotations
