@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from edicto.llm import align as AL
 from edicto.llm import bpe as BP
 from edicto.llm import exact_dedup as XD
 from edicto.llm import html_extract as HX
@@ -43,6 +44,7 @@ def register(name: str, sql: str | None = None):
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 @register("op1_bpe")
@@ -136,6 +138,11 @@ def op8_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return HX.extract(read_table(spark, sf_dir, "pages"))
 
 
+@register("op12_align_tokens")
+def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return AL.align_documents(spark, read_table(spark, sf_dir, "documents"), BPE_FILE, PIECE_FILE, pattern=public_tokenizers.PATTERN)
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
