@@ -60,6 +60,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def text_of(name: str) -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from edicto.llm import align as AL
+from edicto.llm import ball_codes as BC
 from edicto.llm import bpe as BP
 from edicto.llm import exact_dedup as XD
 from edicto.llm import html_extract as HX
@@ -18,6 +19,7 @@ from edicto.llm import near_dedup as ND
 from edicto.llm import packing as PK
 from edicto.llm import quality_rules as QR
 from edicto.llm import secrets as SE
+from edicto.llm import top_k as TK
 from edicto.llm import toxicity as TX
 from edicto.llm import url_filter as UF
 from edicto.llm.common import importable, read_table
@@ -143,6 +145,55 @@ def op12_align_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return AL.align_documents(spark, read_table(spark, sf_dir, "documents"), BPE_FILE, PIECE_FILE, pattern=public_tokenizers.PATTERN)
 
 
+def vectors_sql(scale: int) -> str:
+    """Vectors that take part, as whole numbers."""
+    return f"""v AS MATERIALIZED (
+  SELECT vec_id, label, row_number() OVER () AS row_no, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)"""
+
+
+OP11_SQL = f"""
+WITH {vectors_sql(256)},
+s AS (SELECT q.vec_id AS query_id, q.row_no AS q_row, p.vec_id,
+             list_sum(list_transform(list_zip(q.x, p.x), lambda z: z[1] * z[2]))::BIGINT AS score
+      FROM v q JOIN v p ON q.row_no <> p.row_no WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY q_row ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@register("op11_top_k", OP11_SQL)
+def op11_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TK.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % TK.EVERY == 0)
+
+
+def codes_sql(rounds: int = BC.ROUNDS) -> str:
+    """Plain k-means on every part, one step after the other."""
+    steps = [f"""WITH {vectors_sql(4096)},
+p AS MATERIALIZED (SELECT row_no, part, list_slice(x, part * len(x) // 8 + 1, (part + 1) * len(x) // 8) AS s FROM v, range(8) t(part)),
+b0 AS MATERIALIZED (SELECT part, entry, s AS c FROM p JOIN (SELECT row_no, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v) USING (row_no) WHERE entry < 16)"""]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT row_no, part, min(struct_pack(d := list_sum(list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e := entry)) AS m
+  FROM p JOIN b{r} USING (part) GROUP BY row_no, part)""")
+        steps.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(n.c, b{r}.c) AS c FROM b{r} LEFT JOIN (
+    SELECT part, entry, list(mean ORDER BY i) AS c FROM (
+      SELECT part, entry, i, floor(sum(x) / count(*))::BIGINT AS mean FROM (
+        SELECT part, m.e AS entry, unnest(range(len(s))) AS i, unnest(s) AS x FROM a{r} JOIN p USING (row_no, part)) GROUP BY part, entry, i)
+    GROUP BY part, entry) n USING (part, entry))""")
+    return ",\n".join(steps) + f"""
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM v JOIN (SELECT row_no, string_agg(printf('%02x', m.e), '' ORDER BY part) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY row_no) USING (row_no)
+"""
+
+
+@register("op13_vector_codes", codes_sql())
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return BC.coded_rows(read_table(spark, sf_dir, "embeddings"))
+
+
 @register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
