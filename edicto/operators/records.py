@@ -32,9 +32,9 @@ RECORD_COLUMNS = tuple(f for f in RECORD_FIELDS if f != "fecha_insercion")
 REJECT_COLUMN = "reject_reason"
 
 
-def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> DataFrame:
-    """Court attributes (name, subject, municipality) onto each row.
-    The dimension is written first; Spark broadcasts it if it is small enough."""
+def court_dimension(courts: DataFrame, on: str = "court_no") -> DataFrame:
+    """The court attributes that records carry, cleaned once per court and
+    written, so that its size is known."""
     attrs = [c for c in ("court_no", "juzgado", "court_url", "juz_id", "entidad_code") if c != on]
     dim = courts.select(
         on,
@@ -42,9 +42,14 @@ def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> Data
         classify_subject("juzgado").alias("materia"),
         map_code("entidad_code").alias("entidad_name"),
     )
-    # Court-level fields are cleaned once per court, not once per row.
-    dim = with_clean(dim, {"_clean_juzgado": "juzgado", "_clean_entidad": "entidad_name"})
-    return rows.join(sized(dim), on, "inner")
+    return sized(with_clean(dim, {"_clean_juzgado": "juzgado", "_clean_entidad": "entidad_name"}))
+
+
+def with_court(rows: DataFrame, courts: DataFrame, on: str = "court_no") -> DataFrame:
+    """Court attributes (name, subject, municipality) onto each row.
+    The dimension is written first (unless it is one already); Spark broadcasts
+    it if it is small enough."""
+    return rows.join(courts if "_clean_juzgado" in courts.columns else court_dimension(courts, on), on, "inner")
 
 
 def extract_fields(

@@ -31,7 +31,8 @@ from edicto.plans.fixtures import (
     with_nodes,
 )
 from edicto.session import shared_path
-from edicto.sources.io import append_records, export_json, read_records
+from edicto.sources import key_index as KI
+from edicto.sources.io import append_records, export_json, read_records, with_month
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -398,6 +399,32 @@ def duplicate_report_q(spark, sf_dir):
     return present_in(_batch(spark, sf_dir), _stored(spark, sf_dir), DEDUP_KEYS)
 
 
+def _indexed(spark, sf_dir) -> tuple[DataFrame, str]:
+    """The batch with its months, and the key index of what is stored: built
+    from the records of even ids, the others' keys appended."""
+    stored, path = _stored(spark, sf_dir), shared_path(spark, "keys", uuid.uuid4().hex)
+    odd = F.pmod(F.crc32(F.concat_ws("|", *DEDUP_KEYS).cast("binary")), F.lit(2)) == 1
+    KI.rebuild(stored.filter(~odd), path, DEDUP_KEYS)
+    KI.add_keys(stored.filter(odd), path, DEDUP_KEYS)
+    KI.compact(spark, path, max_files=1)
+    return with_month(sized(_batch(spark, sf_dir), "batch")), KI.open_index(spark, path)
+
+
+@register("append_by_index", ORACLE["append_if_absent"])
+def append_by_index_q(spark, sf_dir):
+    """J4 + S5: as `append_if_absent`, against the lasting key index: the
+    stored records aren't read."""
+    new, table = _indexed(spark, sf_dir)
+    return KI.absent_by_index(new, table, DEDUP_KEYS).drop("anio_mes")
+
+
+@register("duplicates_by_index", ORACLE["duplicate_report"])
+def duplicates_by_index_q(spark, sf_dir):
+    """J5 + S5: as `duplicate_report`, against the lasting key index."""
+    new, table = _indexed(spark, sf_dir)
+    return KI.present_by_index(new, table, DEDUP_KEYS).drop("anio_mes")
+
+
 # Every part of this key is null in some rows, and each part decides for some pair of rows.
 NULL_KEYS = ("numero", "td2_rest", "td3_first", "court_no")
 

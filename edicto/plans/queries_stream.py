@@ -120,7 +120,7 @@ def ingest_records_q(spark, sf_dir):
         pages.filter(F.col("fecha") >= F.lit(RECAPTURE_FROM)),
     ):
         write_captures(part, caps)
-        ingest_captures(spark, caps, recs, quar, ckpt, courts, page_ledger_path=seen)
+        ingest_captures(spark, caps, recs, quar, ckpt, courts, page_ledger_path=seen, key_index_path=f"{base}/keys")
     return read_records(spark, recs).select(*R.RECORD_COLUMNS, "anio_mes")
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,9 +67,42 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """Copies that `written` makes inside go to one folder, which is deleted at
+    the end.  Nothing that is lazy may leave the block."""
+    path = shared_path(spark, f"run-{uuid.uuid4().hex}")
+    token = _SCRATCH.set(path)
+    try:
+        yield path
+    finally:
+        _SCRATCH.reset(token)
+        discard(spark, path)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """`df` written to a new folder under the shared one and read back: it is
     computed once, survives the loss of executors, and has a known size."""
-    path = shared_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    spark, name = df.sparkSession, f"{name}-{uuid.uuid4().hex}"
+    path = f"{_SCRATCH.get()}/{name}" if _SCRATCH.get() else shared_path(spark, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
