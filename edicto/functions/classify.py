@@ -40,10 +40,12 @@ def classify_subject(
 
 @memo
 def map_code(
-    c: ColumnOrName, mapping: Mapping[str, str] = MUNICIPALITIES
+    c: ColumnOrName, mapping: Mapping[str, str] = MUNICIPALITIES, default: str | None = None
 ) -> Column:
-    """L2: code -> display name; unknown code -> null."""
+    """L2: code -> display name; an unknown or null code -> `default` (null: the
+    row becomes a reject)."""
     kv = []
     for k, v in mapping.items():
         kv += [F.lit(k), F.lit(v)]
-    return F.try_element_at(F.create_map(*kv), col(c))
+    name = F.try_element_at(F.create_map(*kv), col(c))
+    return name if default is None else F.coalesce(name, F.lit(default))

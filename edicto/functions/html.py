@@ -1,11 +1,14 @@
 """HTML-to-values Column functions (regex over stored page text).
 
 Pages are plain strings; elements are located with linear, case-insensitive,
-dot-all patterns that stay in the JVM.  Comments, scripts and styles are
+dot-all patterns that stay in the JVM.  All of them are built from one token
+pattern, a tag with its attributes as the HTML standard reads them: a quoted
+value may hold any sign, so a '>' or a '<td>' in it ends and opens nothing.  Comments, scripts and styles are
 removed before links or text are read, because their content is not part
 of the document tree.  Elements nested in their own kind (tables in tables)
-are paired by depth: `pieces` cuts a page at the tags of that kind and
-`fold_depth` counts along the pieces, so any nesting depth is exact.
+are paired by depth: `pieces` cuts a page at the tags of that kind and a fold
+in blocks counts along the pieces, so any nesting depth is exact and the time
+linear in the page.
 """
 
 from __future__ import annotations
@@ -22,17 +25,59 @@ from edicto.functions.text import ColumnOrName, col, let
 NAMED = {name: chr(code) for name, code in sorted(name2codepoint.items())} | {"apos": "'"}
 
 RX_NOISE = r"(?is)<!--.*?-->|<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>"
-RX_A = r"(?is)<a\b[^>]*>.*?</a\s*>"
-RX_TAG = r"<[^>]*>"
+
+# A tag's attributes: blanks, names, and values in quotes or without.  A quote
+# that is never closed counts as a sign like others, and a '<' outside quotes
+# tells that the tag before it is broken.  So all of it takes linear time.
+ATTR = r"""[^\s/><][^\s/>=<]*+(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'><][^\s><]*+)?+)?+"""
+ATTRS = rf"(?:[\s/]++|{ATTR})*+"
+NAME_END = r"(?=[\s/>])"
+ATTR_END = r"(?=[\s/>=])"
+# Any tag behind its '<'.
+ANY_TAG = rf"/?[a-zA-Z][^\s/><]*+{ATTRS}>"
+# Tags, declarations and broken end tags; other '<' are text.
+RX_TAG = rf"<(?:{ANY_TAG}|[!?/][^>]*+>)"
+
+
+def start_tag(names: str) -> str:
+    """A start tag of one of the elements `names` (alternatives)."""
+    return rf"<(?:{names}){NAME_END}{ATTRS}>"
+
+
+def up_to(names: str) -> str:
+    """Everything before the next start or end tag of `names`, tag by tag."""
+    return rf"(?:[^<]++|<(?!/?(?:{names}){NAME_END})(?:{ANY_TAG})?+)*+"
+
+
+def before_attr(attr: str) -> str:
+    """The attributes before the first one called `attr`."""
+    return rf"(?:[\s/]++|(?!{attr}{ATTR_END}){ATTR})*+"
+
+
+def each(names: str, wanted: str) -> str:
+    """Pattern for `regexp_extract_all` that reads a page tag by tag, from match
+    to match: group 1 of `wanted` where it fits at a tag of `names`, else ''."""
+    return rf"(?i)\G{up_to(names)}(?:{wanted}|<(?:{ANY_TAG})?+)"
+
+
+def find_all(html: ColumnOrName, names: str, wanted: str) -> Column:
+    """Group 1 of `wanted` (never empty) at each tag of `names` where it fits."""
+    return F.array_remove(F.regexp_extract_all(col(html), F.lit(each(names, wanted)), F.lit(1)), "")
+
+
+def contents(html: ColumnOrName, name: str, ends: str, having: str | None = None) -> Column:
+    """What follows each start tag `name` (with an attribute `having`), up to the
+    next tag of `ends`."""
+    h = re.escape(having or "")
+    attr = "" if having is None else rf"(?={before_attr(h)}{h}{ATTR_END})"
+    found = find_all(html, name, rf"<(?:{name}){NAME_END}{attr}{ATTRS}(>{up_to(ends)})")
+    return F.transform(found, lambda x: F.substring(x, 2, 1 << 30))
 
 
 def attr_pattern(attr: str) -> str:
     """Value of `attr` in an opening tag (double, single or no quotes)."""
     a = re.escape(attr)
-    return (
-        r"(?is)^<[a-z0-9]+\b[^>]*?\s" + a
-        + r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    )
+    return rf"""(?is)^<[a-z][^\s/>]*+{before_attr(a)}{a}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))"""
 
 
 RX_NOISE_START = r"(?i)<(?:!--|script\b|style\b)"
@@ -74,7 +119,7 @@ def unescape(c: ColumnOrName) -> Column:
 
 def open_tag(element: ColumnOrName) -> Column:
     """The opening tag of an element string."""
-    return F.regexp_extract(col(element), r"(?s)^(<[^>]*>)", 1)
+    return F.regexp_extract(col(element), rf"^(<{ANY_TAG})", 1)
 
 
 def tag_attr(element: ColumnOrName, attr: str) -> Column:
@@ -87,23 +132,29 @@ def tag_attr(element: ColumnOrName, attr: str) -> Column:
 
 
 def has_attr(element: ColumnOrName, attr: str) -> Column:
-    return open_tag(element).rlike(r"(?is)^<[a-z0-9]+\b[^>]*?\s" + re.escape(attr) + r"\b")
+    a = re.escape(attr)
+    return open_tag(element).rlike(rf"(?is)^<[a-z][^\s/>]*+{before_attr(a)}{a}{ATTR_END}")
 
 
 def inner(element: ColumnOrName) -> Column:
     """Content between the opening and the closing tag."""
-    return F.regexp_extract(col(element), r"(?s)^<[^>]*>(.*)</[^>]*>\s*$", 1)
+    return F.regexp_extract(col(element), rf"(?s)^<{ANY_TAG}(.*)</[^>]*>\s*$", 1)
 
 
 def elements(html: ColumnOrName, tag: str) -> Column:
     """All `tag` elements (whole strings, lazy pairing) in document order."""
     t = re.escape(tag)
-    return F.regexp_extract_all(col(html), F.lit(r"(?is)<" + t + r"\b[^>]*>.*?</" + t + r"\s*>"), F.lit(0))
+    return find_all(html, t, rf"({start_tag(t)}(?s:.*?)</{t}\s*>)")
+
+
+def anchors(html: ColumnOrName) -> Column:
+    """All links."""
+    return elements(html, "a")
 
 
 def open_tag_with_id(tag: str, id_: str) -> str:
     t, i = re.escape(tag), re.escape(id_)
-    return r"<" + t + r"\b[^>]*\sid\s*=\s*(?:\"" + i + r"\"|'" + i + r"'|" + i + r"(?=[\s/>]))[^>]*>"
+    return rf"<{t}{NAME_END}{before_attr('id')}id\s*+=\s*+(?:\"{i}\"|'{i}'|{i}{NAME_END}){ATTRS}>"
 
 
 # Joins pieces or text nodes of one fragment (a NUL cannot occur in HTML text).
@@ -112,9 +163,11 @@ _NODE_SEP = "\u0000"
 
 def pieces(html: ColumnOrName, tags: str) -> Column:
     """The page cut before every start and end tag of `tags` (alternatives of
-    a pattern); the first piece is what stands before all of them."""
-    marked = F.regexp_replace(F.replace(col(html), F.lit(_NODE_SEP)), r"(?i)<(?=/?(?:" + tags + r")\b)", _NODE_SEP + "<")
-    return F.split(marked, _NODE_SEP)
+    a pattern); the first piece is what stands before all of them.  The page is
+    read tag by tag, so signs in attribute values cut nothing."""
+    plain = F.replace(col(html), F.lit(_NODE_SEP))
+    marked = F.regexp_replace(plain, rf"(?i)({up_to(tags)})(?:(<(?:{ANY_TAG})?+)|\z)", f"$1{_NODE_SEP}$2")
+    return F.split(F.rtrim(marked, F.lit(_NODE_SEP)), _NODE_SEP)
 
 
 def with_delta(parts: Column) -> Column:
@@ -124,14 +177,30 @@ def with_delta(parts: Column) -> Column:
         x.alias("x"), F.when(i == 0, 0).when(x.startswith("</"), -1).otherwise(1).alias("d")))
 
 
-def fold_depth(parts: Column, keep, start: Column, step) -> Column:
-    """Aggregate over the `pieces` of a page with their depth:
-    `step(state, piece, delta)` gives the next state, `keep` the result."""
-    return F.aggregate(with_delta(parts), start, lambda a, p: step(a, p["x"], p["d"]), keep)
+# Pieces taken at a time: appending to a list copies it, so long lists are built in blocks.
+BLOCK = 64
 
 
-# Pieces joined at a time: appending to a list copies it, so long lists are built in blocks.
-BLOCK = 64
+def fold_blocks(parts: Column, start: Column, step, emit) -> Column:
+    """Walk along the structs `parts` with a small state: `step(state, part)`
+    is the next state and `emit(state, part)` what this part gives.  One list,
+    as long as `parts`; built block by block, in time linear in it."""
+
+    def one(b: Column, p: Column) -> Column:
+        return let(step(b["s"], p), lambda s: F.struct(s.alias("s"), F.array_append(b["out"], emit(s, p)).alias("out")))
+
+    def block(a: Column, all_: Column, i: Column) -> Column:
+        some = F.slice(all_, i * BLOCK + 1, BLOCK)
+        return let(F.aggregate(some, F.struct(a["s"].alias("s"), F.slice(a["none"], 1, 0).alias("out")), one), lambda b: F.struct(
+            b["s"].alias("s"), F.array_append(a["out"], b["out"]).alias("out"), a["none"].alias("none")))
+
+    def run(all_: Column) -> Column:
+        none = F.slice(F.transform(F.slice(all_, 1, 1), lambda p: emit(start, p)), 1, 0)
+        return F.aggregate(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / BLOCK).cast("int")),
+                           F.struct(start.alias("s"), F.slice(F.array(none), 1, 0).alias("out"), none.alias("none")),
+                           lambda a, i: block(a, all_, i), lambda a: F.flatten(a["out"]))
+
+    return let(parts, run)
 
 
 # Tags of a nested table are renamed, so that patterns for the outer table's
@@ -145,7 +214,7 @@ def table_body(html: ColumnOrName, id_: str) -> Column:
     none).  Tables nested in it, to any depth, stay as content with the names
     of their tags prefixed by 'x-'.  A missing end tag is read up to the end
     of the page."""
-    opens = r"(?is)^" + open_tag_with_id("table", id_)
+    opens = r"(?i)^" + open_tag_with_id("table", id_)
     none = F.array().cast("array<string>")
 
     def step(a: Column, x: Column, delta: Column) -> Column:
@@ -154,7 +223,7 @@ def table_body(html: ColumnOrName, id_: str) -> Column:
 
         def at(depth: Column) -> Column:
             # the outer start tag goes; after a nested table's end the outer one goes on
-            inside = F.when(a["depth"] == 0, F.substring(x, F.locate(">", x) + 1, 1 << 30)).when(
+            inside = F.when(a["depth"] == 0, F.regexp_replace(x, rf"^<{ANY_TAG}", "")).when(
                 (depth == 1) & (delta == -1), F.concat(F.lit("</x-"), F.substring(x, 3, 1 << 30))).otherwise(
                 F.regexp_replace(x, RX_TABLE_PARTS, NESTED))
             out = F.when(depth > 0, F.array_append(a["out"], inside)).otherwise(a["out"])
@@ -172,7 +241,7 @@ def table_body(html: ColumnOrName, id_: str) -> Column:
     found = let(with_delta(pieces(html, "table")), lambda parts: F.aggregate(
         F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / BLOCK).cast("int")), F.struct(F.lit(0).alias("depth"), none.alias("out")),
         lambda a, i: block(a, parts, i), lambda a: F.array_join(a["out"], "")))
-    return F.when(col(html).rlike(r"(?is)" + open_tag_with_id("table", id_)), found).otherwise(F.lit(""))
+    return F.when(col(html).rlike(r"(?i)" + open_tag_with_id("table", id_)), found).otherwise(F.lit(""))
 
 
 def text_nodes(fragment: ColumnOrName) -> Column:
@@ -187,7 +256,7 @@ def text_nodes(fragment: ColumnOrName) -> Column:
 
 # A child element with its content (one level), removed to keep only the
 # direct text of an element.
-RX_CHILD_ELEMENT = r"(?is)<[a-z][a-z0-9]*\b[^>]*>.*?</[a-z][a-z0-9]*\s*>"
+RX_CHILD_ELEMENT = rf"(?is)<[a-z][^\s/>]*+{ATTRS}>.*?</[a-z][a-z0-9]*\s*>"
 
 
 def link_text(a: ColumnOrName) -> Column:
@@ -198,9 +267,5 @@ def link_text(a: ColumnOrName) -> Column:
 
 def html_attr(html: ColumnOrName, tag: str, attr: str, id_: str | None = None) -> Column:
     """H7: `attr` of the first `tag` (optionally with a given id)."""
-    t = re.escape(tag)
-    if id_ is None:
-        tag_rx = r"(?is)(<" + t + r"\b[^>]*>)"
-    else:
-        tag_rx = r"(?is)(<" + t + r"\b[^>]*\sid\s*=\s*[\"']" + re.escape(id_) + r"[\"'][^>]*>)"
-    return tag_attr(F.regexp_extract(col(html), tag_rx, 1), attr)
+    tag_rx = start_tag(re.escape(tag)) if id_ is None else open_tag_with_id(tag, id_)
+    return tag_attr(F.coalesce(F.get(find_all(html, re.escape(tag), f"({tag_rx})"), 0), F.lit("")), attr)

@@ -7,7 +7,6 @@ the output position (`pos`) preserves document order.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -24,7 +23,7 @@ def links(html: str | Column, css_class: str | None = None,
     """Array of `<a>` elements (comments/scripts removed), optionally only
     those whose class equals `css_class` and whose href contains a token;
     filtering happens before numbering, as in `(//a[...])[n]`."""
-    arr = F.regexp_extract_all(H.strip_noise(html), F.lit(H.RX_A), F.lit(0))
+    arr = H.anchors(H.strip_noise(html))
     if css_class is None and href_contains is None:
         return arr
 
@@ -57,35 +56,37 @@ def section_links(df: DataFrame, html: str = "html",
                   keep: Sequence[str] = ()) -> DataFrame:
     """H3: links with the section element around them: the tag of the
     outermost open section, and the id of the outermost open section that has
-    one.  Sections may nest to any depth.  The page is cut at section tags and
-    the open sections are counted along the pieces, inside one row."""
+    one.  Sections may nest to any depth.  The page is cut at section tags; a
+    fold in blocks carries the depth, and the section and id in force, along
+    the pieces, in time linear in the page."""
     alt = "|".join(tags)
     none = F.lit(None).cast("string")
-    state = "struct<depth:int,at:int,section:string,id:string,out:array<struct<frag:string,section:string,section_id:string>>>"
-    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), none.alias("section"), none.alias("id"),
-                     F.array().alias("out")).cast(state)
+    state = "struct<depth:int,at:int,section:string,id:string>"
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("at"), none.alias("section"), none.alias("id")).cast(state)
 
-    def step(a: Column, x: Column, delta: Column) -> Column:
-        opened = delta == 1
-        facts = F.struct(F.greatest(a["depth"] + delta, F.lit(0)).alias("depth"), F.when(opened, H.tag_attr(x, "id")).alias("own"))
+    def step(a: Column, p: Column) -> Column:
+        x, opened = p["x"], p["d"] == 1
+        facts = F.struct(F.greatest(a["depth"] + p["d"], F.lit(0)).alias("depth"), F.when(opened, H.tag_attr(x, "id")).alias("own"))
 
         def at_depth(f: Column) -> Column:
             depth, own = f["depth"], f["own"]
-            section = F.when(opened & (a["depth"] == 0), F.lower(F.regexp_extract(x, r"(?i)^<(" + alt + r")\b", 1))).when(
+            section = F.when(opened & (a["depth"] == 0), F.lower(F.regexp_extract(x, rf"(?i)^<({alt}){H.NAME_END}", 1))).when(
                 depth == 0, none).otherwise(a["section"])
             takes = a["id"].isNull() & own.isNotNull()
             id_ = F.when(takes, own).when(depth < a["at"], none).otherwise(a["id"])
             at = F.when(takes, depth).when(depth < a["at"], 0).otherwise(a["at"])
-            out = F.array_append(a["out"], F.struct(x.alias("frag"), section.alias("section"), id_.alias("section_id")))
-            return F.struct(depth.alias("depth"), at.alias("at"), section.alias("section"), id_.alias("id"), out.alias("out")).cast(state)
+            return F.struct(depth.alias("depth"), at.alias("at"), section.alias("section"), id_.alias("id")).cast(state)
 
         return let(facts, at_depth)
 
-    found = H.fold_depth(H.pieces(H.strip_noise(html), alt), lambda a: a["out"], start, step)
+    def emit(s: Column, p: Column) -> Column:
+        return F.struct(p["x"].alias("frag"), s["section"].alias("section"), s["id"].alias("section_id"))
+
+    found = H.fold_blocks(H.with_delta(H.pieces(H.strip_noise(html), alt)), start, step, emit)
     out = df.select(*keep, F.posexplode(found).alias("piece", "p"))
     out = out.select(
         *keep, "piece", "p.section", "p.section_id",
-        F.posexplode(F.regexp_extract_all("p.frag", F.lit(H.RX_A), F.lit(0))).alias("i", "a"),
+        F.posexplode(H.anchors("p.frag")).alias("i", "a"),
     )
     return out.select(
         *keep,
@@ -154,9 +155,8 @@ def result_rows(html: str | Column, table_id: str = RESULTS_TABLE_ID, require_tb
     end tags of rows, cells and bodies may be missing."""
     body = let(H.strip_noise(html), lambda h: H.table_body(h, table_id))
     if require_tbody:
-        inside = F.regexp_extract_all(body, F.lit(r"(?is)<tbody\b[^>]*>((?:[^<]++|<(?!/?tbody\b))*+)"), F.lit(1))
-        body = F.array_join(inside, "</tr>")
-    return F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>((?:[^<]++|<(?!/?(?:tr|tbody|thead|tfoot)\b))*+)"), F.lit(1))
+        body = F.array_join(H.contents(body, "tbody", "tbody"), "</tr>")
+    return H.contents(body, "tr", "tr|tbody|thead|tfoot")
 
 
 def table_rows(df: DataFrame, html: str = "html", table_id: str = RESULTS_TABLE_ID,
@@ -167,10 +167,8 @@ def table_rows(df: DataFrame, html: str = "html", table_id: str = RESULTS_TABLE_
 
 def row_cells(row_html: str | Column, having_attr: str | None = "valign") -> Column:
     """H5: inner html of the row's cells (`td`), only those having
-    `having_attr` when given (tested inside the pattern, no lambda)."""
-    attr = "" if having_attr is None else r"(?=[^>]*?\s" + re.escape(having_attr) + r"\b)"
-    pattern = r"(?is)<td\b" + attr + r"[^>]*>((?:[^<]++|<(?!/?t[dhr]\b))*+)"
-    return F.regexp_extract_all(H.col(row_html), F.lit(pattern), F.lit(1))
+    `having_attr` when given."""
+    return H.contents(row_html, "td", "t[dhr]", having_attr)
 
 
 def cell_nodes(cells: str | Column, i: int) -> Column:
@@ -198,7 +196,7 @@ def page_reject(html: str | Column) -> Column:
     h = H.col(html)
     return (
         F.when(h.isNull() | (F.btrim(h) == ""), F.lit("empty_page"))
-        .when(F.size(H.pieces(h, "table")) < 2, F.lit("no_table"))
+        .when(~h.rlike(rf"(?i){H.start_tag('table')}"), F.lit("no_table"))
         .when(F.coalesce(F.size(result_rows(h)), F.lit(0)) == 0, F.lit("no_rows"))
     )
 
@@ -212,19 +210,19 @@ def _calendar_body(html) -> Column:
 
 def _calendar_header(html) -> Column:
     """Inner html of the header table nested in the calendar's first row."""
-    return F.regexp_extract(_calendar_body(html), r"(?is)<x-table\b[^>]*>(.*?)</x-table\s*>", 1)
+    return F.regexp_extract(_calendar_body(html), rf"(?is){H.start_tag('x-table')}(.*?)</x-table\s*>", 1)
 
 
 def calendar_year(html: str | Column) -> Column:
     """H9: last 4 characters of the first text node of the header's 2nd cell."""
-    tds = F.regexp_extract_all(_calendar_header(html), F.lit(r"(?is)<x-td\b[^>]*>(.*?)(?=</?x-t[dr]\b|\z)"), F.lit(1))
+    tds = H.contents(_calendar_header(html), "x-td", "x-t[dr]")
     first_text = F.get(H.text_nodes(F.get(tds, 1)), 0)
     return F.right(first_text, F.lit(4))
 
 
 def calendar_nav(html: str | Column) -> tuple[Column, Column]:
     """(previous-month code, next-month code) from the header links."""
-    a = F.regexp_extract_all(_calendar_header(html), F.lit(H.RX_A), F.lit(0))
+    a = H.anchors(_calendar_header(html))
     prev = month_code(H.tag_attr(F.get(a, 0), "href"))
     nxt = month_code(H.tag_attr(F.get(a, 1), "href"))
     return F.nullif(prev, F.lit("")), F.nullif(nxt, F.lit(""))
@@ -235,12 +233,12 @@ def calendar_days(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
     title, href, day code, the date from title + header year (D1) and the
     date from the code."""
     body = F.regexp_replace(_calendar_body(html), r"(?is)<x-table\b.*?</x-table\s*>", "")
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>((?:[^<]++|<(?!/?tr\b))*+)"), F.lit(1))
+    rows = H.contents(body, "tr", "tr")
     out = df.select(*keep, calendar_year(html).alias("year"), F.posexplode(rows).alias("week", "tr"))
     out = out.filter(F.col("week") >= 2)
     out = out.select(
         *keep, "year", "week",
-        F.posexplode(F.regexp_extract_all("tr", F.lit(H.RX_A), F.lit(0))).alias("i", "a"),
+        F.posexplode(H.anchors("tr")).alias("i", "a"),
     )
     out = out.select(
         *keep, "year", "week", "i",

@@ -12,6 +12,7 @@ from edicto.constants import RESULTS_TABLE_ID
 from edicto.functions import html as H
 from edicto.functions import text as TX
 from edicto.functions import urls as U
+from edicto.functions.charset import decode_page, encode_page
 from edicto.functions.classify import classify_subject
 from edicto.functions.dates import (
     code_to_date,
@@ -32,7 +33,7 @@ from edicto.operators.worklist import pending, plan_units
 from edicto.plans import oracle as O
 from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_rows, read_table, spread, with_nodes
 from edicto.plans.queries import FX, FX_COURTS, _records_sql_all, register
-from edicto.plans.render import POSTBACK, ROWS_PER_PAGE, calendar_pages, day_pages
+from edicto.plans.render import IDS_PER_MONTH_PAGE, PARTS_PER_PAGE, POSTBACK, ROWS_PER_PAGE, calendar_pages, day_pages, link_pages
 from edicto.session import shared_path
 from edicto.sources.io import append_ledger, read_captures, read_ledger, retry_candidates, write_captures
 
@@ -40,6 +41,14 @@ q = O.q
 EPOCH_SQL = "DATE '2000-01-01'"
 
 # --- DuckDB helpers for the HTML keys --------------------------------------------
+# Patterns of the oracle's own, for the given pages (no '>' in attribute values).
+SQL_A = r"(?is)<a\b[^>]*>.*?</a\s*>"
+SQL_TAG = r"<[^>]*>"
+SQL_CHILD = r"(?is)<[a-z][a-z0-9]*\b[^>]*>.*?</[a-z][a-z0-9]*\s*>"
+
+
+def sql_attr(attr: str) -> str:
+    return r"(?is)^<[a-z0-9]+\b[^>]*?\s" + attr + r"""\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 # References that occur in the `pages` table, '&amp;' last.
@@ -62,7 +71,7 @@ def open_tag_sql(e: str) -> str:
 
 def tag_attr_sql(e: str, attr: str) -> str:
     t = open_tag_sql(e)
-    p = H.attr_pattern(attr)
+    p = sql_attr(attr)
     return (
         f"(CASE WHEN {O.rx_match(t, p)} THEN {unescape_sql(f'({O.rx(t, p, 1)} || {O.rx(t, p, 2)} || {O.rx(t, p, 3)})')} END)"
     )
@@ -74,17 +83,17 @@ def inner_sql(e: str) -> str:
 
 def text_nodes_sql(frag: str) -> str:
     return (
-        f"list_transform(list_filter(regexp_split_to_array({frag}, {q(H.RX_TAG)}), lambda x: x <> ''), "
+        f"list_transform(list_filter(regexp_split_to_array({frag}, {q(SQL_TAG)}), lambda x: x <> ''), "
         f"lambda x: {unescape_sql('x')})"
     )
 
 
 def link_text_sql(a: str) -> str:
-    return f"({text_nodes_sql(O.rx_replace(inner_sql(a), H.RX_CHILD_ELEMENT, ''))})[1]"
+    return f"({text_nodes_sql(O.rx_replace(inner_sql(a), SQL_CHILD, ''))})[1]"
 
 
 def links_sql(html: str) -> str:
-    return f"regexp_extract_all({strip_noise_sql(html)}, {q(H.RX_A)}, 0)"
+    return f"regexp_extract_all({strip_noise_sql(html)}, {q(SQL_A)}, 0)"
 
 
 def unnest_pos(arr: str, pos: str = "pos", val: str = "a") -> str:
@@ -99,16 +108,49 @@ def postback_sql(code: str) -> str:
 # --- S1: page scan ------------------------------------------------------------------
 
 
-@register("scan_pages", "SELECT url, CAST(page_id AS VARCHAR) AS fecha, sha256(html) AS html_sha256 FROM pages WHERE page_id % 3 > 0")
+SCAN_KIND_SQL = "CASE WHEN page_id % 3 = 0 THEN 'other' ELSE 'day' END"
+
+
+@register("scan_pages", f"SELECT url, {SCAN_KIND_SQL} AS kind, CAST(page_id AS VARCHAR) AS fecha, sha256(html) AS html_sha256 FROM pages")
 def scan_pages(spark, sf_dir):
-    """Pages stored as captures (partitioned by kind) and scanned again, one kind only."""
+    """Pages stored as captures (partitioned by kind) and scanned again."""
     path = shared_path(spark, "captures", uuid.uuid4().hex)
     none = F.lit(None).cast("string")
     write_captures(read_table(spark, sf_dir, "pages").select(
-        "url", none.alias("court_url"), none.alias("calendar_url"), F.when(F.col("page_id") % 3 == 0, "other").otherwise("day").alias("kind"),
+        "url", none.alias("court_url"), none.alias("calendar_url"), F.expr(SCAN_KIND_SQL).alias("kind"),
         F.col("page_id").cast("string").alias("fecha"), F.lit(None).cast("timestamp_ntz").alias("captured_at"),
         F.lit(200).alias("status"), "html"), path)
-    return read_captures(spark, path).filter(F.col("kind") == "day").select("url", "fecha", F.sha2("html", 256).alias("html_sha256"))
+    return read_captures(spark, path).select("url", "kind", "fecha", F.sha2("html", 256).alias("html_sha256"))
+
+
+# Pages as bytes: the encoding, the byte-order mark, and what stands in the
+# place of the page's own declaration (None: as it is, and the mark wins).
+BYTE_PAGES = (
+    ("UTF-8", b"\xef\xbb\xbf", None), ("windows-1252", b"", 'charset="iso-8859-1"'), ("windows-1252", b"", "charset=windows-1252"),
+    ("UTF-16LE", b"\xff\xfe", None), ("UTF-16BE", b"\xfe\xff", None), ("UTF-8", b"", 'name="none"'), ("windows-1252", b"", 'name="none"'),
+    ("iso-8859-15", b"", "http-equiv=Content-Type content='text/html; charset=ISO-8859-15'"),
+)
+OWN_META = 'charset="utf-8"'
+
+
+def _byte_page_sql() -> str:
+    whens = " ".join(f"WHEN {i} THEN replace(html, {q(OWN_META)}, {q(meta)})" for i, (_, _, meta) in enumerate(BYTE_PAGES) if meta)
+    text = f"(CASE page_id % {len(BYTE_PAGES)} {whens} ELSE html END)"
+    return f"replace({text}, '</title>', ' €</title>')"
+
+
+@register("scan_page_bytes", f"SELECT page_id, url, {_byte_page_sql()} AS html FROM pages")
+def scan_page_bytes(spark, sf_dir):
+    """Every page as bytes in one of several encodings, told by a
+    byte-order mark, a declaration, or nothing, decoded to the text it was."""
+    turn, data = F.col("page_id") % len(BYTE_PAGES), F.lit(None).cast("binary")
+    for i, (charset, mark, _) in enumerate(BYTE_PAGES):
+        own = F.concat(F.lit(mark), encode_page("text", charset))
+        data = F.when(turn == i, F.coalesce(own, F.concat(F.lit(BYTE_PAGES[0][1]), F.encode("text", "UTF-8")))).otherwise(data)
+    path = shared_path(spark, "bytes", uuid.uuid4().hex)
+    (read_table(spark, sf_dir, "pages").select("page_id", "url", F.expr(_byte_page_sql()).alias("text"))
+     .select("page_id", "url", data.alias("content")).write.parquet(path))
+    return spark.read.parquet(path).select("page_id", "url", decode_page("content").alias("html"))
 
 
 # --- H1-H3, H6, H7 on the pages table -------------------------------------------------
@@ -141,7 +183,7 @@ def html_links_skip3(spark, sf_dir):
 def _sections_sql() -> str:
     alt = "nav|article|footer"
     inside = O.rx("chunk", r"(?is)^(.*?)</(?:" + alt + r")\s*>")
-    frag_links = "regexp_extract_all(coalesce(frag, ''), " + q(H.RX_A) + ", 0)"
+    frag_links = "regexp_extract_all(coalesce(frag, ''), " + q(SQL_A) + ", 0)"
     return (
         f"WITH b AS (SELECT page_id, {strip_noise_sql('html')} AS body FROM pages),\n"
         f"c AS (SELECT page_id, regexp_split_to_array(body, {q('(?i)<(?:' + alt + r')\b')}) AS chunks, "
@@ -166,6 +208,20 @@ def html_sections(spark, sf_dir):
     return df.select("page_id", pos.cast("long").alias("pos"), "section", "href", "text")
 
 
+@register(
+    "html_links_known",
+    f"SELECT p_partkey // {PARTS_PER_PAGE} AS page_no, row_number() OVER (PARTITION BY p_partkey // {PARTS_PER_PAGE} ORDER BY p_partkey) - 1 AS pos, "
+    "CASE p_partkey % 5 WHEN 1 THEN 'nav' WHEN 2 THEN 'article' WHEN 3 THEN 'footer' WHEN 4 THEN 'article' END AS section, "
+    "CASE p_partkey % 5 WHEN 2 THEN 'top' WHEN 3 THEN 'in' END AS section_id, "
+    "'/p?k=' || CAST(p_partkey AS VARCHAR) || '&b=1' AS href, p_name AS text FROM part",
+)
+def html_links_known(spark, sf_dir):
+    """H1 + H3 + H7 on pages made of known links: the oracle is the raw data."""
+    df = HO.section_links(link_pages(spark, sf_dir), "html", keep=("page_no",))
+    pos = F.row_number().over(Window.partitionBy("page_no").orderBy("order_key")) - 1  # links of one page
+    return df.select("page_no", pos.cast("long").alias("pos"), "section", "section_id", "href", "text")
+
+
 ARTICLE_RX = r"(?is)<article\b[^>]*>(.*?)</article\s*>"
 
 
@@ -289,8 +345,8 @@ def _page_url_sql() -> str:
 @register(
     "html_rows",
     FX_COURTS
-    + "SELECT c.court_url || '&Fecha=' || substring(f.fecha, 1, 7) || '/01&Pagina=0' AS url, "
-    "CAST(row_number() OVER (PARTITION BY f.court_no, substring(f.fecha, 1, 7) ORDER BY f.row_id) - 1 AS BIGINT) AS row_pos, "
+    + f"SELECT c.court_url || '&Fecha=' || substring(f.fecha, 1, 7) || '/01&Pagina=' || CAST(f.row_id // {IDS_PER_MONTH_PAGE} AS VARCHAR) AS url, "
+    f"CAST(row_number() OVER (PARTITION BY f.court_no, substring(f.fecha, 1, 7), f.row_id // {IDS_PER_MONTH_PAGE} ORDER BY f.row_id) - 1 AS BIGINT) AS row_pos, "
     "f.row_id, CAST(4 AS BIGINT) AS n_cells, CAST(3 AS BIGINT) AS n_valign, coalesce(f.numero, '') AS numero, "
     "concat_ws('|', f.td2_first, f.td2_rest) AS n2, coalesce(f.td3_first, '') AS n3 "
     "FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",

@@ -137,23 +137,33 @@ def ingest_replay_q(spark, sf_dir):
     return count(read_records(spark, recs), "records").unionByName(count(spark.read.parquet(quar), "rejects"))
 
 
-@register(
-    "page_quarantine",
-    "SELECT url, sha256(CASE page_id % 3 WHEN 0 THEN '' ELSE html END) AS content_hash FROM pages",
-)
+def _unread_sql() -> str:
+    kinds = ("html", "''", "'<html><table id=\"other\"><tr><td>' || html || '</td></tr></table></html>'")
+    reasons = ("no_table", "empty_page", "no_rows")
+    return " UNION ALL ".join(
+        f"SELECT url || '#{i}-' || CAST(page_id AS VARCHAR) AS url, sha256({html}) AS content_hash, '{why}' AS reason FROM pages"
+        for i, (html, why) in enumerate(zip(kinds, reasons)))
+
+
+@register("page_quarantine", _unread_sql())
 def page_quarantine_q(spark, sf_dir):
-    """G1 for pages: none of these pages has a result table, so all are
-    quarantined, once, and none enters the page ledger."""
+    """G1 for pages: none of these pages has result rows (each as it is, empty,
+    and inside another table), so all are quarantined with the reason, once,
+    and none enters the page ledger."""
     base = shared_path(spark, "unread", uuid.uuid4().hex)
     none = F.lit(None).cast("string")
+    html = F.col("html")
+    table = F.concat(F.lit('<html><table id="other"><tr><td>'), html, F.lit("</td></tr></table></html>"))
     pages = read_table(spark, sf_dir, "pages").select(
-        "url", none.alias("court_url"), none.alias("calendar_url"), F.lit("day").alias("kind"), none.alias("fecha"),
-        F.lit(None).cast("timestamp_ntz").alias("captured_at"), F.lit(200).alias("status"),
-        F.when(F.col("page_id") % 3 == 0, "").otherwise(F.col("html")).alias("html"))
+        "page_id", "url", F.posexplode(F.array(html, F.lit(""), table)).alias("n", "html"))
+    pages = pages.select(
+        F.concat("url", F.lit("#"), F.col("n").cast("string"), F.lit("-"), F.col("page_id").cast("string")).alias("url"),
+        none.alias("court_url"), none.alias("calendar_url"), F.lit("day").alias("kind"), none.alias("fecha"),
+        F.lit(None).cast("timestamp_ntz").alias("captured_at"), F.lit(200).alias("status"), "html")
     write_captures(pages, f"{base}/captures")
     for run in ("first", "second"):
         ingest_captures(spark, f"{base}/captures", f"{base}/records", f"{base}/quarantine", f"{base}/{run}", fixture_courts(spark),
                         f"{base}/ledger", f"{base}/pages")
-    unread = spark.read.parquet(f"{base}/pages").select("url", "content_hash")
-    ledger = spark.read.schema("url string, content_hash string").parquet(f"{base}/ledger")
+    unread = spark.read.parquet(f"{base}/pages").select("url", "content_hash", "reason")
+    ledger = spark.read.schema("url string, content_hash string").parquet(f"{base}/ledger").withColumn("reason", F.lit("ledger"))
     return unread.unionByName(ledger)

@@ -22,6 +22,8 @@ from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_r
 # rows by (court, day, row_id div ROWS_PER_PAGE), so no page holds more than
 # this many rows however skewed the (court, day) distribution is.
 ROWS_PER_PAGE = 64
+# The same for month pages: ids that one page spans.
+IDS_PER_MONTH_PAGE = 4096
 POSTBACK = "javascript:__doPostBack('ctl00$ContentPlaceHolder1$Calendar1','{}')"
 
 
@@ -56,19 +58,20 @@ def _postback(code: Column) -> Column:
 
 def day_pages(spark: SparkSession, sf_dir: str, per: str = "day") -> DataFrame:
     """Captured day pages: one per (court, day, block of row ids), or with
-    `per="month"` one per (court, month), dated its first day, with many rows.
-    The second cell of a row holds its id, its own day and nested tables."""
+    `per="month"` one per (court, month, wider block), dated its first day,
+    with more rows.  The second cell of a row holds its id, its own day and
+    nested tables; attribute values hold signs of tags."""
     k = F.col("row_id")
     row_html = F.concat(
-        F.lit('<tr><td valign="top">'), F.coalesce(esc(F.col("numero")), F.lit("")),
-        _end("td", k), F.lit('<td class="n">'), k.cast("string"), F.lit("<br>"), F.col("fecha"), _nested(k),
-        _end("td", k), F.lit('<td valign="top">'),
-        F.concat_ws("<br>", esc(F.col("td2_first")), esc(F.col("td2_rest"))),
-        _end("td", k), F.lit('<td valign="top">'), F.coalesce(esc(F.col("td3_first")), F.lit("")),
+        F.lit('<tr data-from="0 > 1"><td title="a > b" valign="top">'), F.coalesce(esc(F.col("numero")), F.lit("")),
+        _end("td", k), F.lit("""<td class="n" data-also='<td valign="top">'>"""), k.cast("string"), F.lit("<br>"), F.col("fecha"), _nested(k),
+        _end("td", k), F.lit("""<td valign='top' title='</td></tr><table id="no">'>"""),
+        F.concat_ws('<br title=">">', esc(F.col("td2_first")), esc(F.col("td2_rest"))),
+        _end("td", k), F.lit('<td valign=top title=">>">'), F.coalesce(esc(F.col("td3_first")), F.lit("")),
         _end("td", k), _end("tr", k),
     )
     day = F.col("fecha") if per == "day" else F.concat(F.substring("fecha", 1, 7), F.lit("/01"))
-    block = (k / ROWS_PER_PAGE).cast("long") if per == "day" else F.lit(0).cast("long")
+    block = (k / (ROWS_PER_PAGE if per == "day" else IDS_PER_MONTH_PAGE)).cast("long")
     rows = fixture_rows(spark, sf_dir).select(
         "court_no", day.alias("fecha"), block.alias("page_no"), F.struct("row_id", row_html.alias("h")).alias("r"),
     )
@@ -81,7 +84,7 @@ def day_pages(spark: SparkSession, sf_dir: str, per: str = "day") -> DataFrame:
               '<form method="post"><input type="hidden" name="__VIEWSTATE" id="__VIEWSTATE" value="'),
         _state("v"), F.lit('"/><input value=\''), _state("e"),
         F.lit("' id='__EVENTVALIDATION' name=\"__EVENTVALIDATION\" type=hidden>"
-              f'<table id="{RESULTS_TABLE_ID}" width="100%"><tbody>'),
+              f'<table summary="1 > 0 <table>" id="{RESULTS_TABLE_ID}" width="100%"><tbody class=">">'),
         F.col("body"),
         F.lit("</tbody></table></form></body></html>"),
     )
@@ -124,7 +127,7 @@ def calendar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     day_td = F.transform(
         days,
         lambda d: F.concat(
-            F.lit('<td align="center"><a href="'), _postback(date_to_code(d)),
+            F.lit('<td align="center" axis="<tr>"><a rel="x > y" href="'), _postback(date_to_code(d)),
             F.lit('" style="color:Black" title="'), F.dayofmonth(d).cast("string"),
             F.lit(" de "), name, F.lit('">'), F.dayofmonth(d).cast("string"), F.lit("</a></td>"),
         ),
@@ -186,7 +189,7 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.col("s_name"), F.lit(" "), subj)
     href = F.concat(F.lit("LiAcuerdosBusqueda.aspx?MpioId="), F.col("n_nationkey").cast("string"),
                     F.lit("&amp;JuzId="), F.col("s_suppkey").cast("string"), F.lit("&amp;JuzDescrip=X"))
-    link = F.concat(F.lit('<tr><td><a class="a" href="'), href, F.lit('">'), esc(name), F.lit("</a></td></tr>"))
+    link = F.concat(F.lit("""<tr><td><a class="a" title='</a> > <a class="a">' href=\""""), href, F.lit('">'), esc(name), F.lit("</a></td></tr>"))
     again = F.when(
         F.col("s_suppkey") % 7 == 0,
         F.concat(F.lit('<tr><td><a class="a" href="'), href, F.lit('">'), esc(name), F.lit(" Nuevo</a></td></tr>")),
@@ -215,4 +218,32 @@ def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+PARTS_PER_PAGE = 40
+
+
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of known links, one per `part`: in no section, in one, or in
+    sections nested in each other, with signs of tags in attribute values and
+    links in comments and scripts, which are none."""
+    part = read_table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    link = F.concat(F.lit("""<a title="x > y" data-q='<a href="no">' href="/p?k="""), k.cast("string"), F.lit("""&amp;b=1"><b class=">">bold</b>"""),
+                    esc(F.col("p_name")), F.lit("</a> 1 < 2 "))
+    opens, ends = F.element_at(F.array(*[F.lit(x) for x, _ in LINK_SECTIONS]), (k % len(LINK_SECTIONS) + 1).cast("int")), F.element_at(
+        F.array(*[F.lit(x) for _, x in LINK_SECTIONS]), (k % len(LINK_SECTIONS) + 1).cast("int"))
+    rows = part.select((k / PARTS_PER_PAGE).cast("long").alias("page_no"), F.struct("p_partkey", F.concat(opens, link, ends).alias("h")).alias("r"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["h"]), "<!-- <nav><a href='c'>c</a> -->\n")
+    return rows.groupBy("page_no").agg(F.concat(F.lit("<html><script>'<a href=s>s</a><article>'</script><body>"), body, F.lit("</body></html>")).alias("html"))
+
+
+# Start and end tags around a link; the outermost section is the one that counts.
+LINK_SECTIONS = (
+    ("<p>", "</p>"),
+    ('<nav title="</nav>">', "</nav>"),
+    ("<article data-a='1 > 0' id=\"top\"><p>", "</p></article>"),
+    ("<footer><nav id='in'>", "</nav></footer>"),
+    ('<article title="<footer>"><footer></footer><nav><article>', "</article></nav></article>"),
+)
+
+
 EPOCH = CALENDAR_EPOCH
