@@ -179,3 +179,46 @@ def _build_translit() -> tuple[str, str, tuple[tuple[str, str], ...]]:
 
 
 TRANSLIT_FROM, TRANSLIT_TO, TRANSLIT_MULTI = _build_translit()
+
+
+# Blocks whose signs have a Latin reading by rule: letters with marks, forms,
+# full-width and mathematical signs, digits of all scripts, punctuation.
+_SIGN_BLOCKS = ((0x80, 0x3400), (0xA640, 0xAB70), (0xF900, 0x10000), (0x10000, 0x12000), (0x1D400, 0x1D800), (0x1F100, 0x1F200))
+
+
+_KNOWN_READINGS = dict(_TRANSLIT_SPECIAL) | dict(zip(TRANSLIT_FROM, TRANSLIT_TO))
+
+
+def _sign(ch: str) -> str | None:
+    """The ASCII reading of a sign, or None if it has none by rule: what its
+    compatibility decomposition leaves without marks, its value if it is a
+    digit, '-' for a dash, a quote for a quotation mark."""
+    out = ""
+    for c in unicodedata.normalize("NFKD", ch):
+        kind, name = unicodedata.category(c), unicodedata.name(c, "")
+        if ord(c) < 128:
+            out += c
+        elif kind == "Nd":
+            out += str(unicodedata.digit(c))
+        elif kind == "Pd" or c == "\u2212":
+            out += "-"
+        elif c == "\u2044":
+            out += "/"
+        elif "QUOTATION MARK" in name and kind in ("Pi", "Pf", "Ps", "Pe"):
+            out += "'" if "SINGLE" in name else '"'
+        elif c in _KNOWN_READINGS:
+            out += _KNOWN_READINGS[c]
+        elif kind not in ("Mn", "Me"):
+            return None
+    return out or None
+
+
+def _build_signs() -> tuple[str, tuple[str, ...]]:
+    """All signs with an ASCII reading that the tables above don't have, and their readings."""
+    done = {*TRANSLIT_FROM, *TRANSLIT_KEEP, *(ch for ch, _ in TRANSLIT_MULTI)}
+    signs = [chr(cp) for a, b in _SIGN_BLOCKS for cp in range(a, b) if not 0xD800 <= cp < 0xE000 and chr(cp) not in done]
+    pairs = [(ch, reading) for ch in signs if (reading := _sign(ch)) is not None]
+    return "".join(ch for ch, _ in pairs), tuple(r for _, r in pairs)
+
+
+SIGNS, SIGN_READINGS = _build_signs()

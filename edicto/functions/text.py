@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edicto.constants import (
+    SIGN_READINGS,
+    SIGNS,
     TRANSLIT_FROM,
     TRANSLIT_KEEP,
     TRANSLIT_MULTI,
@@ -32,6 +34,8 @@ RX_WS_RUN = WS + "{2,}"
 RX_MASKED_EMAIL = r"\*.*@.*\.[a-zA-Z]{2,4}"
 RX_STAR_Y_STAR = r"[*]{5}" + WS + "Y" + WS + r"[*]{5}"
 RX_EDGE_WS = "^" + WS + "+|" + WS + r"+\z"
+# Between the readings of signs; no reading holds it.
+_READING_SEP = "\x01"
 RX_NON_ASCII = r"[^\x00-\x7F" + TRANSLIT_KEEP + "]"
 RX_MULTI = "[" + "".join(ch for ch, _ in TRANSLIT_MULTI) + "]"
 
@@ -100,14 +104,25 @@ def t6_strip(c: ColumnOrName) -> Column:
 
 
 def t7_ascii_upper(c: ColumnOrName) -> Column:
-    """Transliterate to ASCII (Latin-1 + Latin Extended-A + common
-    punctuation), keep Ñ, drop other non-ASCII, upper-case."""
+    """Transliterate to ASCII (letters with marks, compatibility forms, digits
+    of all scripts, common punctuation), keep Ñ, drop what has no ASCII reading,
+    upper-case."""
     s = col(c)
     for ch, rep in TRANSLIT_MULTI:
         s = F.replace(s, F.lit(ch), F.lit(rep))
-    s = F.translate(s, TRANSLIT_FROM, TRANSLIT_TO)
-    s = F.regexp_replace(s, RX_NON_ASCII, "")
-    return F.upper(s)
+    return F.upper(let(F.translate(s, TRANSLIT_FROM, TRANSLIT_TO), _signs))
+
+
+def _signs(s: Column) -> Column:
+    """The signs that are left, one by one: looked up by their place in one
+    string of signs, and dropped where it lacks them.  Rare, so behind a test."""
+    readings = F.split(F.lit(_READING_SEP.join(SIGN_READINGS)), _READING_SEP)
+
+    def read(x: Column) -> Column:
+        at = F.instr(F.lit(SIGNS), x)
+        return F.when((F.octet_length(x) == 1) | x.isin(*TRANSLIT_KEEP), x).when(at > 0, F.get(readings, at - 1)).otherwise(F.lit(""))
+
+    return F.when(s.rlike(RX_NON_ASCII), F.array_join(F.transform(F.split(s, ""), read), "")).otherwise(s)
 
 
 def t8_trailing_comma(c: ColumnOrName) -> Column:
@@ -166,7 +181,7 @@ def _ascii(s: Column) -> Column:
     for ch, rep in TRANSLIT_MULTI:
         multi = F.replace(multi, F.lit(ch), F.lit(rep))
     t = F.when(s.rlike(RX_MULTI), multi).otherwise(s)
-    t = F.regexp_replace(F.translate(t, TRANSLIT_FROM, TRANSLIT_TO), RX_NON_ASCII, "")
+    t = let(F.translate(t, TRANSLIT_FROM, TRANSLIT_TO), _signs)
     return F.when(F.length(s) != F.octet_length(s), t).otherwise(s)
 
 

@@ -101,7 +101,7 @@ def section_links(df: DataFrame, html: str = "html",
 
 def build_courts(listing: DataFrame, html: str = "html", url: str = "url",
                  css_class: str = "a", href_contains: str = "LiAcuerdos", skip: int = 3,
-                 calendar_url: str | Column | None = None, captured_at: str = "captured_at") -> DataFrame:
+                 calendar_url: str | Column | None = None, captured_at: str = "captured_at", history: bool = False) -> DataFrame:
     """Court dimension from listing pages: links of class `css_class`
     whose href contains `href_contains`, minus the first `skip` of each
     capture; municipality = id of the outermost table around the link,
@@ -110,7 +110,8 @@ def build_courts(listing: DataFrame, html: str = "html", url: str = "url",
 
     A listing may be captured often: links are numbered within each capture
     (inside its row, without a shuffle), and a later capture wins over an
-    earlier one.  `calendar_url` names the calendar that governs the courts;
+    earlier one.  With `history` every capture keeps its own row of a court,
+    with its time as `seen_at` (for `operators.asof`).  `calendar_url` names the calendar that governs the courts;
     by default the listing's own column of that name, else null."""
     from edicto.functions.classify import classify_subject
     from edicto.functions.urls import query_param, url_join
@@ -143,10 +144,11 @@ def build_courts(listing: DataFrame, html: str = "html", url: str = "url",
         classify_subject("l.text").alias("materia"),
         "listing_url",
         "calendar_url",
+        "seen_at",
         F.struct("seen_at", "listing_url", "pos").alias("_order"),
     )
-    courts = last_by_key(courts, ["court_url"], "_order").drop("_order")
-    return courts.select("court_url", "juzgado", "entidad_code", "juz_id", "materia", "listing_url", "calendar_url")
+    courts = last_by_key(courts, ["court_url", *(["seen_at"] if history else [])], "_order").drop("_order")
+    return courts.select("court_url", "juzgado", "entidad_code", "juz_id", "materia", "listing_url", "calendar_url", *(["seen_at"] if history else []))
 
 
 def result_rows(html: str | Column, table_id: str = RESULTS_TABLE_ID, require_tbody: bool = True) -> Column:

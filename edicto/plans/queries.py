@@ -447,3 +447,23 @@ def export_json_q(spark, sf_dir):
     path = shared_path(spark, "json", uuid.uuid4().hex)
     export_json(fixture_rows(spark, sf_dir).select("row_id", "fecha", "numero", "td2_first"), path)
     return spark.read.schema("row_id long, fecha string, numero string, td2_first string").json(path)
+
+
+# Signs and what is left of them, as literal values.
+SIGN_CASES = (
+    ("ﬁ", "FI"), ("Ａｚ９", "AZ9"), ("ệ", "E"), ("½", " 1/2 "), ("⅔", "2/3"), ("①", "1"), ("𝐀𝓫", "AB"), ("№", "NO"), ("™", "TM"), ("ǅ", "DZ"),
+    ("ǽ", "AE"), ("Ǿ", "O"), ("٣", "3"), ("−", "-"), ("‐", "-"), ("‟", '"'), ("e\u0301", "E"), ("ñÑ", "ÑÑ"), ("日本", ""), ("\U0001f642", ""),
+    ("\u3000", " "), ("㎏", "KG"), ("ſt", "ST"), ("ﬄ", "FFL"), ("Ⅷ", "VIII"), ("\u200b", ""), ("ø", "O"), ("œ", "OE"), ("Đ", "D"),
+)
+
+
+@register(
+    "transliterate",
+    "SELECT doc_id, " + O.t7_sql("text") + " || c.reading AS upper_text FROM documents JOIN (VALUES "
+    + ", ".join(f"({i}, {O.q(r)})" for i, (_, r) in enumerate(SIGN_CASES)) + f") c(n, reading) ON doc_id % {len(SIGN_CASES)} = c.n",
+)
+def transliterate_q(spark, sf_dir):
+    """T7 on every document, with signs of all kinds behind its text."""
+    sign = F.element_at(F.array(*[F.lit(s) for s, _ in SIGN_CASES]), (F.col("doc_id") % len(SIGN_CASES) + 1).cast("int"))
+    docs = spread(read_table(spark, sf_dir, "documents")).select("doc_id", F.concat("text", sign).alias("t"))
+    return docs.select("doc_id", CLEAN_STEPS["t7_ascii_upper"]("t").alias("upper_text"))

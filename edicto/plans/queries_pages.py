@@ -26,6 +26,7 @@ from edicto.functions.dates import (
     spanish_date_text,
 )
 from edicto.operators import html as HO
+from edicto.operators.asof import as_of, versions
 from edicto.operators import records as R
 from edicto.operators.joins import sized
 from edicto.operators.load import distinct_keys, last_by_key, progress_by_day, work_key
@@ -504,6 +505,28 @@ def rows_with_court_q(spark, sf_dir):
     )
 
 
+# The courts' listing is captured three times; the second time each court has another name.
+RENAMED, RENAMED_AGAIN = "1997-06-15", "1999-02-20"
+
+
+@register(
+    "rows_with_court_asof",
+    FX_COURTS + "SELECT f.row_id, f.court_no, CASE WHEN strptime(f.fecha, '%Y/%m/%d') < TIMESTAMP '1996-01-10' THEN NULL "
+    f"WHEN strptime(f.fecha, '%Y/%m/%d') >= TIMESTAMP '{RENAMED}' AND strptime(f.fecha, '%Y/%m/%d') < TIMESTAMP '{RENAMED_AGAIN}' "
+    "THEN c.juzgado || ' Bis' ELSE c.juzgado END AS juzgado FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",
+)
+def rows_with_court_asof_q(spark, sf_dir):
+    """Each row with its court's name as of the day it was captured: none
+    before the first capture of the listing, another between two captures."""
+    courts = fixture_courts(spark).select("court_no", "juzgado")
+    seen = lambda when, name: courts.select("court_no", name.alias("juzgado"), F.lit(when).cast("timestamp_ntz").alias("seen_at"))
+    old = F.col("juzgado")
+    captures = seen("1996-01-10", old).unionByName(seen("1996-08-01", old)).unionByName(
+        seen(RENAMED, F.concat(old, F.lit(" Bis")))).unionByName(seen(RENAMED_AGAIN, old))
+    rows = fixture_rows(spark, sf_dir).select("row_id", "court_no", F.to_timestamp("fecha", "yyyy/MM/dd").cast("timestamp_ntz").alias("at"))
+    return as_of(rows, versions(captures, "court_no", "seen_at", ["juzgado"]), "court_no", "at", ["juzgado"]).select("row_id", "court_no", "juzgado")
+
+
 def _progress_sql() -> str:
     from edicto.plans.queries import _records_oracle
 
