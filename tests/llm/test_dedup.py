@@ -77,6 +77,31 @@ def test_repeat_after_failure(spark, monkeypatch):
     assert not XD.exact_dedup(docs, table, 4, batch="three").count()
 
 
+@pytest.mark.parametrize("partitions", [3, 8, 40])
+def test_index_lasts_across_shuffle_settings(spark, partitions):
+    docs, table, was = read(spark, "documents"), XD.new_index_name(), spark.conf.get("spark.sql.shuffle.partitions")
+    first = XD.dedup_rows(docs.filter("doc_id < 120"), table, 5).filter("kept").count()
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+        later = XD.dedup_rows(docs, table).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", was)
+    assert first + sum(r.kept for r in later) == len({sha(r.text) for r in docs.collect()}) == spark.table(table).count()
+    assert XD.index_buckets(spark, table, 99) == 5
+
+
+def test_batches_equal_one_run(spark):
+    """Batches in the order of their ids give the rows of one run, whatever they share, and leave no index."""
+    tables = {t.name for t in spark.catalog.listTables()}
+    for docs in (odd(spark), read(spark, "documents"), empty(spark)):
+        cols = ["doc_id", "keep_id", "group_size", "kept", "digest"]
+        cut = [F.col("doc_id") <= 3, F.col("doc_id").between(4, 90), F.coalesce(F.col("doc_id") > 90, F.lit(True))]
+        got = XD.dedup_batches([docs.filter(c) for c in cut]).select(*cols)
+        key = lambda r: str(tuple(r))
+        assert sorted(got.collect(), key=key) == sorted(XD.dedup_rows(docs).select(*cols).collect(), key=key)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
 def test_index_side_is_not_shuffled(spark):
     table = XD.new_index_name()
     XD.dedup_rows(read(spark, "documents"), table, 8)
