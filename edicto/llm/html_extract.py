@@ -1,35 +1,44 @@
 """Main text by template deduction over equivalence classes (operator 8).
 
 Pages of a host come from templates.  A token (a tag with its element path, or
-a whole text outside articles) has an occurrence vector: how often it stands in
-each page of its host.  Tokens with the same vector form an equivalence class;
-large, frequent classes whose tokens nest properly are the template, and what
-lies between them are slots with the pages' own text.
+a whole text) has an occurrence vector: how often it stands in each page of its
+host.  Tokens with the same vector form an equivalence class; large, frequent
+classes whose tokens nest properly are the template, and what lies between them
+are slots with the pages' own text.  The deduction runs over all tokens; names
+of elements, classes and ids take no part in it.
 
 A vector as long as a host's pages is never built.  Each page adds a hash of
 (page, count), the hashes are combined by exclusive or, which tasks can do in
 part, and equal vectors have equal fingerprints.  So a host may have any number
 of pages; its template is bounded by the size of a page.
 
-From the template, a host's text slot is a class element inside the body that
-holds most of its pages' own text: an article or main element if one does, else
-the deepest.  A page's text is that of the slot (of the article or main element
-in it that holds most of its text, if the template names none).  Where a page
-lacks the slot, or its host has none, the text is that of the article or main
-element, else the page without the template's texts, which are those in a class
-with tags.  Elements that never hold
-an article (navigation, forms, adverts, comments ...) are left out.
+Every class element that stands once in a page is a slot with the text that
+lies in it and in no class element inside it, less the template's own texts.
+The article is the slot with the most text; near ties go to one in an article
+or main element.  It grows to a parent as long as that adds text: a slot beside
+it that holds at least SHARE of the article's text, or is a paragraph or
+heading; inside an article or main element also smaller ones.  Left out of the
+article are: texts of the template; slots that vary in nothing or are mostly
+links; and elements whose names tell of menus, adverts, forms, comments and the
+like, but only if the template has them, too: a name on some page alone hides
+nothing.
+
+A host with under PAGES different pages is read by the template of its parent
+domain, and if that has as few, by that of all such hosts.  A page that lacks
+the article slot, or whose template has none, is read by its own article or main
+element, and else whole; there names decide alone.
 
 Defined results: null html counts as empty and has an empty text; a null URL,
-or one without `://`, belongs to the empty host; a host with under PAGES
-different pages has a slot but no template texts, so pages without slot and
-article keep all that no name hides; repeated rows are extracted each; an empty table gives no rows.
+or one without `://`, belongs to the empty host; elements nested deeper than
+DEPTH share their ancestor's path; repeated rows are extracted each; an empty
+table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -40,15 +49,22 @@ from edicto.llm.common import id_of, text_of, written
 from edicto.llm.html_parse import MAIN, TEXT_LEVEL, Block, Page, parse
 from edicto.llm.url_filter import host_of
 
-#: A class is frequent if its tokens stand in this share of a host's pages.
+#: A class is frequent if its tokens stand in this share of a host's pages;
+#: its texts are the template's if it has elements and stands in ALMOST_ALL.
 SUPPORT = 0.5
-#: Least number of a class's tokens, and of different pages from which texts may be a template's.
+ALMOST_ALL = 0.8
+#: Least number of a class's tokens, and of different pages that make a template.
 CLASS_SIZE = 2
 PAGES = 5
-#: Share of a host's own text that its slot must hold.
-SLOT = 0.8
+#: Slots with this share of the greatest tie with it.
+TIE = 0.8
+#: Share of the article's text that makes a slot beside it part of it.
+SHARE = 0.05
+#: Elements beside the article that belong to it whatever their length.
+HEADS = TEXT_LEVEL | {"header", "hgroup", "figure"}
 
-_STATS = "host string, token string, is_text boolean, vector long, pages long, total long, place double, chars long"
+_STATS = "host string, token string, is_text boolean, vector long, pages long, total long, chars long, links long, named boolean"
+_ELEMENT = "array<struct<path:string,chars:bigint,links:bigint,named:boolean,once:boolean>>"
 
 
 def _hash(*parts: object) -> int:
@@ -60,20 +76,21 @@ def _text_token(path: str, text: str) -> str:
     return f"{path}#{_hash(text):x}"
 
 
-def _page_tokens(page: Page) -> dict[tuple[str, bool], list[float]]:
-    """Of each token of a page: count, sum of places, characters of own text inside."""
-    out: dict[tuple[str, bool], list[float]] = {}
-    for path, place in page.tags:
-        x = out.setdefault((path, False), [0, 0.0, 0])
+def _page_tokens(page: Page) -> dict[tuple[str, bool], list]:
+    """Of each token of a page: count, characters of text inside, those of them in links, named."""
+    out: dict[tuple[str, bool], list] = {}
+    for path, _, named in page.tags:
+        x = out.setdefault((path, False), [0, 0, 0, False])
         x[0] += 1
-        x[1] += place
+        x[3] |= named
     for b in page.blocks:
-        if not b.main:
-            x = out.setdefault((_text_token(b.path, b.text), True), [0, 0.0, 0])
-            x[0] += 1
-            x[1] += b.place
+        x = out.setdefault((_text_token(b.path, b.text), True), [0, 0, 0, False])
+        x[0] += 1
+        x[1] += len(b.text)
         for path in dict.fromkeys(b.within):
-            out[path, False][2] += len(b.text)
+            x = out[path, False]
+            x[1] += len(b.text)
+            x[2] += b.links
     return out
 
 
@@ -85,16 +102,17 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j in slices(pages, 16_000_000):
             sums: dict[tuple[str, str, bool], list] = {}
             for host, key, source in zip(hosts[i:j], keys[i:j], pages[i:j]):
-                sums.setdefault((host, "", False), [0, 0, 0, 0.0, 0])[1] += 1  # the empty token counts pages
-                for (token, is_text), (n, place, chars) in _page_tokens(parse(source, "")).items():
-                    x = sums.setdefault((host, token, is_text), [0, 0, 0, 0.0, 0])
+                sums.setdefault((host, "", False), [0, 0, 0, 0, 0, False])[1] += 1  # the empty token counts pages
+                for (token, is_text), (n, chars, links, named) in _page_tokens(parse(source)).items():
+                    x = sums.setdefault((host, token, is_text), [0, 0, 0, 0, 0, False])
                     x[0] ^= _hash(key, n)
                     x[1] += 1
                     x[2] += n
-                    x[3] += place / n
-                    x[4] += int(chars)
+                    x[3] += chars
+                    x[4] += links
+                    x[5] |= named
             rows = [(*k, *v) for k, v in sums.items()]
-            kinds = [pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 3, pa.float64(), pa.int64()]
+            kinds = [pa.string(), pa.string(), pa.bool_(), *[pa.int64()] * 5, pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
 
@@ -106,73 +124,146 @@ def distinct_pages(pages: DataFrame) -> DataFrame:
     copied = written(keyed.groupBy("host", "key").agg(F.count("*").alias("n")).filter("n > 1").select("host", "key"), "copied-pages")
     once = keyed.join(copied, ["host", "key"], "left_anti")
     more = keyed.join(copied, ["host", "key"], "left_semi").groupBy("host", "key").agg(F.first("html").alias("html"))
-    return once.unionByName(more).select("host", F.xxhash64("key").alias("row"), "html")
+    return once.unionByName(more).select("host", F.xxhash64("host", "key").alias("row"), "html")
+
+
+def grouped(pages: DataFrame) -> DataFrame:
+    """`host, team` for each host: the host itself if it has PAGES different
+    pages, else its parent domain (`*.` and its last two labels) if that has
+    them in hosts of the kind, else `*`."""
+    n = pages.groupBy("host").agg(F.count("*").alias("n"))
+    domain = F.concat(F.lit("*."), F.substring_index("host", ".", -2))
+    few = n.filter(F.col("n") < PAGES).withColumn("domain", domain)
+    domains = few.groupBy("domain").agg(F.sum("n").alias("all"))
+    team = F.when(F.col("all") >= PAGES, F.col("domain")).otherwise(F.lit("*"))
+    return n.filter(F.col("n") >= PAGES).select("host", F.col("host").alias("team")).unionByName(
+        few.join(domains, "domain").select("host", team.alias("team")))
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """`host, texts, slot` from `host, html`: the template's texts, and the
-    path of the element that holds most of the pages' own text."""
-    one = (distinct_pages(pages).mapInArrow(_stats, _STATS).groupBy("host", "token", "is_text")
-           .agg(F.bit_xor("vector").alias("vector"), *[F.sum(c).alias(c) for c in ("pages", "total", "place", "chars")]))
+    """`team, elements, texts` from `host, row, html`, where `host` is a team:
+    the class elements with their text, and the template's texts."""
+    one = (pages.mapInArrow(_stats, _STATS).groupBy("host", "token", "is_text")
+           .agg(F.bit_xor("vector").alias("vector"), *[F.sum(c).alias(c) for c in ("pages", "total", "chars", "links")], F.bool_or("named").alias("named")))
     one = written(one, "page-tokens")
-    sizes = one.filter("token = ''").select("host", F.col("pages").alias("all"))
+    sizes = one.filter("token = ''").select("host", F.col("pages").alias("all")).filter(F.col("all") >= PAGES)
     frequent = one.filter("token <> ''").join(sizes, "host").filter(F.col("pages") >= SUPPORT * F.col("all"))
     # Equal vectors are one class.  An element's start and end tag carry the
     # same path, so a class nests properly where it has both.
-    start = F.regexp_replace("token", "^/", "")
     classes = (frequent.groupBy("host", "vector", "pages", "total").agg(F.count("*").alias("size"), F.count_if(~F.col("is_text")).alias("class_tags"))
                .filter(F.col("size") >= CLASS_SIZE).drop("size"))
     members = frequent.join(classes, ["host", "vector", "pages", "total"])
-    # A slot stands once in a page, and is no paragraph and not the page itself.
-    name = F.regexp_extract("path", r"([^/.]*)[^/]*$", 1)
-    paired = (members.filter("NOT is_text AND total = pages").groupBy("host", "vector", start.alias("path"))
-              .agg(F.count("*").alias("tags"), F.max("chars").alias("chars"), F.min(F.col("place") / F.col("pages")).alias("place"))
-              .filter("tags = 2").filter(~name.isin("html", "body", *sorted(TEXT_LEVEL))))
-    own = one.filter("NOT is_text AND token NOT LIKE '/%' AND token <> ''").groupBy("host").agg(F.max("chars").alias("most"))
-    deep = F.struct(name.isin(*sorted(MAIN)).alias("main"), F.size(F.split("path", "/")).alias("depth"), "chars", "path")
-    slot = (paired.join(own, "host").filter(F.col("chars") >= SLOT * F.col("most")).filter("most > 0")
-            .groupBy("host").agg(F.max(deep).alias("deepest")).select("host", F.col("deepest.path").alias("slot")))
-    # Texts of the template share a class with tags; their number per host is bounded by SUPPORT and the size of a page.
-    texts = (members.filter("is_text AND class_tags > 0").filter(F.col("all") >= PAGES).groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("texts")))
-    return sizes.select("host").join(slot, "host", "left").join(texts, "host", "left")
-
-
-def page_blocks(source: str, slot: str | None, texts: set[str]) -> tuple[str, list[Block]]:
+    path = F.regexp_replace("token", "^/", "").alias("path")
+    # Their number per host is bounded by SUPPORT and the size of a page.
+    paired = (members.filter("NOT is_text").groupBy("host", "vector", path)
+              .agg(F.count("*").alias("tags"), F.max("chars").alias("chars"), F.max("links").alias("links"), F.bool_or("named").alias("named"),
+                   F.bool_and(F.col("total") == F.col("pages")).alias("once"))
+              .filter("tags = 2 AND (once OR named)").groupBy("host")
+              .agg(F.sort_array(F.collect_list(F.struct("path", "chars", "links", "named", "once"))).cast(_ELEMENT).alias("elements")))
+    texts = (members.filter("is_text AND class_tags >= 2").filter(F.col("pages") >= ALMOST_ALL * F.col("all")).groupBy("host")
+             .agg(F.sort_array(F.collect_list(F.struct("token", "chars"))).alias("texts")))
+    return sizes.select(F.col("host").alias("team")).join(paired.withColumnRenamed("host", "team"), "team", "left").join(
+        texts.withColumnRenamed("host", "team"), "team", "left")
+
+
+@dataclass(frozen=True)
+class Template:
+    root: str | None = None  # path of the article
+    out: frozenset[str] = frozenset()  # elements in it that are none of it
+    texts: frozenset[str] = frozenset()
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1].split(".", 1)[0].split("~", 1)[0]
+
+
+def decide(elements: list[dict], texts: list[dict]) -> Template:
+    """Where the article is, from a team's class elements and template texts."""
+    slots = {e["path"]: [e["chars"], e["links"], e["named"]] for e in elements if e["once"]}
+    above = lambda p: [q for q in ("/".join(p.split("/")[:i]) for i in range(p.count("/"), 0, -1)) if q in slots]
+    for t in texts:  # only what varies counts
+        path = t["token"].rsplit("#", 1)[0]
+        for q in ([path] if path in slots else []) + above(path):
+            slots[q][0] -= t["chars"]
+    parent = {p: next(iter(above(p)), None) for p in slots}
+    kids: dict[str | None, list[str]] = {}
+    for p, q in parent.items():
+        kids.setdefault(q, []).append(p)
+    own = {p: slots[p][0] - sum(slots[k][0] for k in kids.get(p, ())) for p in slots}
+
+    def boiler(p: str) -> bool:
+        chars, links, named = slots[p]
+        return named or chars <= 0 or 2 * links > chars
+
+    said = frozenset(t["token"] for t in texts)
+    named = {e["path"] for e in elements if e["named"]}
+    able = [p for p in slots if own[p] > 0 and not boiler(p) and not any(boiler(q) for q in above(p))]
+    if not able:
+        return Template(texts=said)
+    most = max(own[p] for p in able)
+    in_main = lambda p: any(_name(q) in MAIN for q in [p, *above(p)])
+    root = at = max((p for p in able if own[p] >= TIE * most), key=lambda p: (in_main(p), own[p], p))
+    out: set[str] = set()
+    while (up := parent[at]) is not None and not slots[up][2]:
+        beside = [k for k in kids[up] if k != at]
+        real = [k for k in beside if not boiler(k)]
+        large = [k for k in real if _name(k) in HEADS or slots[k][0] >= SHARE * slots[root][0]]
+        whole = any(_name(q) in MAIN for q in [up, *above(up)])
+        if large or own[up] >= SHARE * slots[root][0] or whole and (real or own[up] > 0):
+            out.update(k for k in beside if k not in (real if whole else large))
+            root = up
+        at = up
+    out.update(k for p in slots if p == root or p.startswith(root + "/") for k in kids.get(p, ()) if 2 * slots[k][1] > slots[k][0] > 0 and _name(k) not in HEADS)
+    out.update(p for p in named if p.startswith(root + "/"))
+    return Template(root, frozenset(p for p in out if p != root and not root.startswith(p + "/")), said)
+
+
+def page_blocks(source: str, template: Template = Template()) -> tuple[str, list[Block]]:
     """What decided (`slot`, `article` or `page`), and the article's blocks."""
-    blocks = parse(source, slot).blocks
-    inside = [b for b in blocks if slot in b.within]
-    main = [b for b in inside or blocks if b.main]
-    if inside:
-        size = lambda some: sum(len(b.text) for b in some)
-        return "slot", main if size(main) >= SLOT * size(inside) else inside
+    blocks = [b for b in parse(source).blocks if _text_token(b.path, b.text) not in template.texts]
+    if template.root is not None:
+        inside = [b for b in blocks if template.root in b.within]
+        if inside:
+            return "slot", [b for b in inside if template.out.isdisjoint(b.within)]
+    main = [b for b in blocks if b.main and not b.aside]
     if main:
         return "article", main
-    return "page", [b for b in blocks if _text_token(b.path, b.text) not in texts]
+    return "page", [b for b in blocks if not b.aside]
 
 
-def page_text(source: str, slot: str | None, texts: set[str]) -> str:
+def page_text(source: str, template: Template = Template()) -> str:
     """The article of one page, given its host's template."""
-    return "\n\n".join(b.text for b in page_blocks(source, slot, texts)[1])
+    return "\n\n".join(b.text for b in page_blocks(source, template)[1])
 
 
-def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per input row: `page_id, url, text, n_chars`."""
+def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", decided: bool = False) -> DataFrame:
+    """One row per input row: `page_id, url, text, n_chars`, and with `decided`
+    what decided: `slot`, `article` or `page`."""
     url = F.col(f"`{url_col}`").cast("string")
     rows = pages.select(id_of(id_col).alias("page_id"), url.alias("url"), host_of(url).alias("host"), text_of(html_col).alias("html"))
-    found = written(templates(rows.select("host", "html")), "templates")
+    contents = distinct_pages(rows.select("host", "html"))
+    teams = written(grouped(contents.select("host")), "teams")  # a known size: one row per host
+    found = written(templates(contents.join(teams, "host").select(F.col("team").alias("host"), "row", "html")), "templates")
+    names = ["page_id", "url", "text", "n_chars", *(["decided_by"] if decided else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, Template] = {}
         for batch in batches:
-            sources, slots, texts = (batch.column(c).to_pylist() for c in ("html", "slot", "texts"))
-            sets: dict[tuple, set[str]] = {}
+            sources, team, elements, texts = (batch.column(c) for c in ("html", "team", "elements", "texts"))
+            sources, team = sources.to_pylist(), team.to_pylist()
+            if len(known) > 1000:
+                known.clear()
             for i, j in slices(sources):
-                said = []
+                by, said = [], []
                 for k in range(i, j):
-                    key = tuple(texts[k] or ())
-                    said.append(page_text(sources[k], slots[k], sets.setdefault(key, set(key))))
+                    if team[k] not in known:
+                        known[team[k]] = decide(elements[k].as_py() or [], texts[k].as_py() or [])
+                    how, blocks = page_blocks(sources[k], known[team[k]])
+                    by.append(how)
+                    said.append("\n\n".join(b.text for b in blocks))
                 ids, urls = batch.column("page_id").slice(i, j - i), batch.column("url").slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([ids, urls, pa.array(said, pa.string()), pa.array(map(len, said), pa.int64())],
-                                                 names=["page_id", "url", "text", "n_chars"])
+                cols = [ids, urls, pa.array(said, pa.string()), pa.array(map(len, said), pa.int64())]
+                yield pa.RecordBatch.from_arrays(cols + ([pa.array(by, pa.string())] if decided else []), names=names)
 
-    joined = rows.join(found, "host", "left").select("page_id", "url", "html", "slot", "texts")
-    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    joined = rows.join(teams, "host", "left").join(found, "team", "left").select("page_id", "url", "html", "team", "elements", "texts")
+    return joined.mapInArrow(run, "page_id long, url string, text string, n_chars long" + (", decided_by string" if decided else ""))

@@ -28,9 +28,11 @@ ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td",
         "option": {"option"}, "tbody": {"tbody", "thead", "tr", "td", "th"}}
 BARRIER = frozenset("ul ol dl table select body article section div main nav".split())
 
-#: Elements that never hold an article's text, and words of class, id and role that mark such elements.
-NOT_TEXT = frozenset("""nav footer aside form script style noscript template iframe object svg button select input textarea head title
-dialog menu canvas audio video map""".split())
+#: Elements whose content is never shown as text.
+UNSEEN = frozenset("""script style noscript template iframe object svg button select input textarea head title canvas audio video map""".split())
+#: Elements, and words of class, id and role, that name what is no article.  They
+#: say nothing alone: a template must confirm them, or be missing.
+NOT_TEXT = frozenset("nav footer aside form dialog menu".split())
 HINTS = frozenset("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent
 notice notices gdpr popup modal overlay newsletter subscribe signup sidebar widget widgets menu nav navbar navigation breadcrumb
 breadcrumbs masthead footer copyright comment comments reply replies respond disqus share sharing social related recommended
@@ -38,7 +40,7 @@ login search pagination pager toolbar contentinfo complementary dialog alert""".
 #: Words of names that tell what another element has or does.
 ABOUT = frozenset("has no with without open closed enabled disabled count toggle".split())
 MAIN = frozenset(("article", "main"))
-#: Inside a host's text slot the ids of these name a text's parts, as link targets, and hide nothing.
+#: Ids of these name a text's parts, as link targets.
 TEXT_LEVEL = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt blockquote pre span b i em strong a font u small q cite code".split())
 PARTS = TEXT_LEVEL | {"section"}
 #: Elements nested deeper count to the path of the element at this depth.
@@ -49,10 +51,13 @@ DEPTH = 100
 class Element:
     name: str
     path: str
-    hidden: bool  # not the article's text, itself or by an ancestor
+    unseen: bool  # no text, itself or by an ancestor
+    named: bool  # its own names tell of something else than an article
+    aside: bool  # named, or a page's header, itself or by an ancestor
     main: bool  # inside an article or main element
+    link: bool  # inside a link
     depth: int
-    slot: bool = False  # the host's text slot, or inside it
+    seen: dict[str, int] = field(default_factory=dict)  # children by label
 
 
 @dataclass
@@ -60,13 +65,15 @@ class Block:
     path: str
     text: str
     main: bool
+    aside: bool
+    links: int  # characters inside links
     place: int
     within: tuple[str, ...]  # paths of the open elements
 
 
 @dataclass
 class Page:
-    tags: list[tuple[str, int]] = field(default_factory=list)  # path token, place
+    tags: list[tuple[str, int, bool]] = field(default_factory=list)  # path token, place, named
     blocks: list[Block] = field(default_factory=list)
 
 
@@ -86,40 +93,43 @@ def _marks(attrs: dict[str, str], keys: tuple[str, ...] = ("class", "id", "role"
     return out
 
 
-def _element(name: str, attrs: dict[str, str], parent: Element | None, slot: str | None) -> Element:
-    in_slot = bool(parent and parent.slot)
-    marks = _marks(attrs, ("class", "role") if (in_slot or slot == "") and name in PARTS else ("class", "id", "role")) if attrs else set()
-    own = name in NOT_TEXT or name != "main" and bool(marks & HINTS) or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
-        or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
+def _element(name: str, attrs: dict[str, str], parent: Element | None) -> Element:
+    marks = _marks(attrs, ("class", "role") if name in PARTS else ("class", "id", "role")) if attrs else set()
+    root = name in ("html", "body")
+    unseen = not root and (name in UNSEEN or "hidden" in attrs or attrs.get("aria-hidden") == "true"
+                           or bool(re.search(r"display\s*:\s*none", attrs.get("style", ""))))
+    named = not root and (name in NOT_TEXT or name != "main" and bool(marks & HINTS))
     inside = bool(parent and parent.main)
-    if not inside and not in_slot and (name == "header" or "header" in marks) and name not in ("body", "html", "main", "article"):
-        own = True  # a page's header; an article's own holds its title
-    own = own and name not in ("html", "body")
+    # a page's header; an article's own holds its title
+    header = not inside and not root and name not in MAIN and (name == "header" or "header" in marks)
     main = name in MAIN or "main" == attrs.get("role") or "articleBody" in attrs.get("itemprop", "")
-    if parent and parent.depth >= DEPTH:  # deeper elements share their ancestor's path
-        return Element(name, parent.path, own or parent.hidden, inside or main, parent.depth, in_slot)
+    up = parent or Element("", "", False, False, False, False, False, 0)
+    facts = (unseen or up.unseen, named, named or header or up.aside, inside or main, name == "a" or up.link)
+    if up.depth >= DEPTH:  # deeper elements share their ancestor's path
+        return Element(name, up.path, *facts, up.depth)
     label = name + "".join(f".{attrs[k].split()[0]}" for k in ("class", "id") if attrs.get(k, "").split())
-    path = f"{parent.path}/{label}" if parent else label
-    return Element(name, path, own or bool(parent and parent.hidden), inside or main, parent.depth + 1 if parent else 1,
-                   in_slot or path == slot)
+    if name not in TEXT_LEVEL:  # elements that look alike are told apart by their order
+        up.seen[label] = n = up.seen.get(label, 0) + 1
+        label += f"~{n}" if n > 1 else ""
+    return Element(name, f"{up.path}/{label}" if parent else label, *facts, up.depth + 1)
 
 
-def parse(source: str, slot: str | None = None) -> Page:
-    """All tags with their paths, and all text blocks in page order.  `slot` is
-    the path of the host's text slot; empty if any element may turn out to be
-    it, None if the host has none."""
+def parse(source: str) -> Page:
+    """All tags with their paths, and all text blocks in page order."""
     page, stack, text, at = Page(), [], [], 0
     place = 0
 
     def flush() -> None:
         nonlocal place
         if text:
-            said = " ".join("".join(text).split())
+            said = " ".join("".join(t for t, _ in text).split())
+            links = sum(len("".join(t.split())) for t, link in text if link)
             text.clear()
             if said:
                 top = next((e for e in reversed(stack) if e.name in BLOCK), None)
                 place += 1
-                page.blocks.append(Block(top.path if top else "", said, bool(stack and stack[-1].main), place,
+                last = stack[-1] if stack else Element("", "", False, False, False, False, False, 0)
+                page.blocks.append(Block(top.path if top else "", said, last.main, last.aside, links, place,
                                          tuple(e.path for e in stack[:DEPTH])))
 
     def close(k: int) -> None:
@@ -130,12 +140,12 @@ def parse(source: str, slot: str | None = None) -> Page:
                 flush()
             stack.pop()
             place += 1
-            page.tags.append((f"/{e.path}", place))
+            page.tags.append((f"/{e.path}", place, e.named))
 
     while at < len(source):
         m = TOKEN.search(source, at)
-        if not (stack and stack[-1].hidden):  # what is hidden takes no part in any block
-            text.append(html.unescape(source[at:m.start() if m else len(source)]))
+        if not (stack and stack[-1].unseen):
+            text.append((html.unescape(source[at:m.start() if m else len(source)]), bool(stack and stack[-1].link)))
         if not m:
             break
         at = m.end()
@@ -154,7 +164,7 @@ def parse(source: str, slot: str | None = None) -> Page:
         if name in BLOCK:
             flush()
         elif name == "br":
-            text.append(" ")
+            text.append((" ", False))
         if stack and name not in IN_HEAD:
             k = next((i for i, e in enumerate(stack) if e.name == "head"), None)
             if k is not None:
@@ -173,9 +183,9 @@ def parse(source: str, slot: str | None = None) -> Page:
             flush()
             close(ended)
         attrs = _attributes(m["attrs"] or m["attrs2"] or "") if m["attrs"] or m["attrs2"] else {}
-        e = _element(name, attrs, stack[-1] if stack else None, slot)
+        e = _element(name, attrs, stack[-1] if stack else None)
         place += 1
-        page.tags.append((e.path, place))
+        page.tags.append((e.path, place, e.named))
         if name in VOID or (m["attrs"] or m["attrs2"] or "").endswith("/") and name not in BLOCK:
             continue
         if name in RAW:

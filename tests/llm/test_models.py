@@ -122,15 +122,93 @@ def test_template_without_article_element(spark):
     assert HX.extract(pages.filter("1 = 0")).count() == 0
 
 
-def test_article_extras():
+def test_pages_without_template():
+    """Names decide alone where there is no template."""
     page = ("<main><header><h1>T</h1></header><article><p>a &lt;b&gt; <i>c</i>d<aside>no</aside><ul><li>x<li>y</ul>"
-            "<div class='ad-box'>buy</div><pre>p\n q</pre><section id=comments><article>hi</article></section></article></main>"
+            "<div class='ad-box'>buy</div><pre>p\n q</pre><section><article>hi</article></section></article></main>"
             "<p>after</p><!-- <article>z</article> -->")
-    assert HX.page_text(page, None, set()) == "T\n\na <b> cd\n\nx\n\ny\n\np q"
-    assert HX.page_text("<p title='a>b'>q</p><p>r", None, set()) == "q\n\nr"
-    assert HX.page_text("<div class='content has-sidebar comments-open'>t<div id=sideBar>s</div><div class='side_bar'>u</div>", None, set()) == "t"
-    assert HX.page_text("<div>" * 5000 + "deep", None, set()) == "deep"
-    assert HX.page_text("<article>a<script>never ends </p> b", None, set()) == "a"
+    assert HX.page_blocks(page)[0] == "article" and HX.page_text(page) == "T\n\na <b> cd\n\nx\n\ny\n\np q\n\nhi"
+    assert HX.page_text("<p title='a>b'>q</p><p>r") == "q\n\nr"
+    assert HX.page_text("<div class='content has-sidebar comments-open'>t<div id=sideBar>s</div><div class='side_bar'>u</div>") == "t"
+    assert HX.page_text("<div>" * 5000 + "deep") == "deep"
+    assert HX.page_text("<article>a<script>never ends </p> b") == "a"
+
+
+def site(spark, pages, host="site.example"):
+    rows = [(i, f"http://{host}/{i}", h) for i, h in enumerate(pages)]
+    got = HX.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), decided=True).orderBy("page_id").collect()
+    return [r.text for r in got], [r.decided_by for r in got]
+
+
+def says(i, n, words=40):
+    return " ".join(f"w{i}x{n}y{k}" for k in range(words))
+
+
+def test_names_hide_nothing_that_the_template_lacks(spark):
+    """Names of elements on single pages hide no text of the article."""
+    extra = ["<div class='social history'>S {}</div>", "<div class='ad-hoc'>H {}</div>", "<ul class='menu'><li>R {}</ul>",
+             "<figure class='banner'><figcaption>C {}</figcaption></figure>", "<aside>Q {}</aside>", "<form>F {}</form>", "<nav>N {}</nav>", ""]
+    pages = [f"<body><nav><a href=/>Home {i}</a></nav><div class=a1><article><h1>T {i}</h1><p>{says(i, 1)}{x.format(i)}<p>{says(i, 2)}</article></div>"
+             f"<footer>foot {i}</footer>" for i, x in enumerate(extra)]
+    texts, by = site(spark, pages)
+    for i, x in enumerate(extra):
+        own = [re.sub("<[^>]*>", "", x).format(i)] if x else []
+        assert texts[i] == "\n\n".join([f"T {i}", says(i, 1), *own, says(i, 2)])
+    assert set(by) == {"slot"}
+
+
+def test_leads_beside_the_article_stay_and_template_texts_go(spark):
+    """A lead in a sibling, a stand-first outside the article element, and
+    texts that every page has, inside the article."""
+    pages = [f"<body><div class=top>Site {i}</div><div class=wrap><p class=first>First {i}</p><article><div class=lead>{says(i, 1, 12)}</div>"
+             f"<div class=text><p>{says(i, 2)}<p>Brought to you by Site A staff<p>{says(i, 3)}<div class=call>Call us on 555 0100</div></div>"
+             f"<div class=comments><p>me {i}</div><form>Write {i}</form><div class='ad'>Buy {i}</div></article></div>" for i in range(8)]
+    texts, _ = site(spark, pages)
+    assert texts == ["\n\n".join([f"First {i}", says(i, 1, 12), says(i, 2), says(i, 3)]) for i in range(8)]
+
+
+def test_small_hosts_are_read_by_their_domain(spark):
+    page = lambda i: f"<body><div>Welcome to the site</div><div>{says(i, 1)}<p>{says(i, 2)}</div><div>Made with care</div>"
+    rows = [(i, f"http://h{i}.d.example/", page(i)) for i in range(6)] + [(10 + i, f"http://o{i}.e{i}.example/", page(10 + i)) for i in range(7)]
+    for r in HX.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), decided=True).collect():
+        assert r.text == f"{says(r.page_id, 1)}\n\n{says(r.page_id, 2)}" and r.decided_by == "slot"
+    teams = {r.host: r.team for r in HX.grouped(spark.createDataFrame(
+        [("a.x.org",)] * 5 + [("b.x.org",)] * 2 + [("c.x.org",)] * 3 + [("d.y.org",), ("",)], "host string")).collect()}
+    assert teams == {"a.x.org": "a.x.org", "b.x.org": "*.x.org", "c.x.org": "*.x.org", "d.y.org": "*", "": "*"}
+
+
+def brute_classes(pages):
+    """Tokens with equal occurrence vectors, written out, that stand in half of the pages."""
+    counts = [{t: n for (t, _), (n, *_) in HX._page_tokens(HX.parse(h)).items()} for h in pages]
+    classes = collections.defaultdict(set)
+    for token in set().union(*counts):
+        vector = tuple(c.get(token, 0) for c in counts)
+        if 2 * sum(map(bool, vector)) >= len(pages):
+            classes[vector].add(token)
+    return {v: ts for v, ts in classes.items() if len(ts) >= HX.CLASS_SIZE}
+
+
+def test_classes_equal_written_out_vectors(spark):
+    pages = sorted({template_page(i, [says(i, k) for k in range(1, 3 + i % 3)]) + ("<aside>x</aside>" if i % 4 else "") for i in range(12)})
+    df = spark.createDataFrame([("h", i, p) for i, p in enumerate(pages)], "host string, row long, html string")
+    got = HX.templates(df).first()
+    want = brute_classes(pages)
+    ends = {(v, t) for v, ts in want.items() for t in ts if t.startswith("/")}
+    once = {t[1:] for v, t in ends if t[1:] in want[v] and max(v) == 1}
+    assert {e.path for e in got.elements if e.once} == once and len(once) > 8
+    texts = {t for v, ts in want.items() for t in ts if "#" in t and sum(map(bool, v)) >= 0.8 * len(pages) and sum("#" not in x for x in ts) >= 2}
+    assert {t.token for t in got.texts} == texts and len(texts) == 5
+
+
+def test_given_pages_without_their_names(spark):
+    """With article, nav, footer and all classes taken away the template still finds the article."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    bare = pages.withColumn("html", HX.F.regexp_replace(HX.F.regexp_replace("html", "<(/?)(article|nav|footer)>", "<$1div>"), ' class="[^"]*"', ""))
+    want = {r.page_id: r.text for r in HX.extract(pages).collect()}
+    got = HX.extract(bare, decided=True).collect()
+    # where a host's adverts are a fair share of its text, nothing else tells them from a lead
+    assert sum(r.text == want[r.page_id] for r in got) >= 0.8 * len(got) and {r.decided_by for r in got} == {"slot"}
+    assert all(want[r.page_id] in r.text for r in got)
 
 
 def test_template_goes_before_article_element(spark):
@@ -164,8 +242,8 @@ def test_copies_are_one_page(spark):
     assert all(got[30 + i] == f"{i}\n\nOnce said\n\nand told" for i in range(6))
     assert all(got[50 + i] == "\n\n".join([f"Title {i}", *(said(i, k) for k in range(1, 8))]) for i in range(6))
     pages = spark.createDataFrame(twice, "page_id long, host string, html string").select(HX.F.lit("h").alias("host"), "html")
-    one, two = (HX.templates(x).first().asDict() for x in (pages, pages.unionByName(pages)))
-    assert one == two and one["slot"].endswith("div.c1")
+    one, two = (HX.templates(HX.distinct_pages(x)).first() for x in (pages, pages.unionByName(pages)))
+    assert one == two and HX.decide(one.elements, one.texts).root.endswith("div.c1")
 
 
 # -- pipeline -----------------------------------------------------------------
