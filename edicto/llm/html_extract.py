@@ -103,9 +103,12 @@ def _stats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums: dict[tuple[str, str, bool], list] = {}
             for host, key, source in zip(hosts[i:j], keys[i:j], pages[i:j]):
                 sums.setdefault((host, "", False), [0, 0, 0, 0, 0, False])[1] += 1  # the empty token counts pages
+                mark: dict[int, int] = {}  # the page's hash with each count
                 for (token, is_text), (n, chars, links, named) in _page_tokens(parse(source)).items():
                     x = sums.setdefault((host, token, is_text), [0, 0, 0, 0, 0, False])
-                    x[0] ^= _hash(key, n)
+                    if n not in mark:
+                        mark[n] = _hash(key, n)
+                    x[0] ^= mark[n]
                     x[1] += 1
                     x[2] += n
                     x[3] += chars
@@ -171,6 +174,7 @@ class Template:
     root: str | None = None  # path of the article
     out: frozenset[str] = frozenset()  # elements in it that are none of it
     texts: frozenset[str] = frozenset()
+    places: frozenset[str] = frozenset()  # paths of these texts
 
 
 def _name(path: str) -> str:
@@ -196,10 +200,11 @@ def decide(elements: list[dict], texts: list[dict]) -> Template:
         return named or chars <= 0 or 2 * links > chars
 
     said = frozenset(t["token"] for t in texts)
+    places = frozenset(t.rsplit("#", 1)[0] for t in said)
     named = {e["path"] for e in elements if e["named"]}
     able = [p for p in slots if own[p] > 0 and not boiler(p) and not any(boiler(q) for q in above(p))]
     if not able:
-        return Template(texts=said)
+        return Template(texts=said, places=places)
     most = max(own[p] for p in able)
     in_main = lambda p: any(_name(q) in MAIN for q in [p, *above(p)])
     root = at = max((p for p in able if own[p] >= TIE * most), key=lambda p: (in_main(p), own[p], p))
@@ -215,12 +220,12 @@ def decide(elements: list[dict], texts: list[dict]) -> Template:
         at = up
     out.update(k for p in slots if p == root or p.startswith(root + "/") for k in kids.get(p, ()) if 2 * slots[k][1] > slots[k][0] > 0 and _name(k) not in HEADS)
     out.update(p for p in named if p.startswith(root + "/"))
-    return Template(root, frozenset(p for p in out if p != root and not root.startswith(p + "/")), said)
+    return Template(root, frozenset(p for p in out if p != root and not root.startswith(p + "/")), said, places)
 
 
 def page_blocks(source: str, template: Template = Template()) -> tuple[str, list[Block]]:
     """What decided (`slot`, `article` or `page`), and the article's blocks."""
-    blocks = [b for b in parse(source).blocks if _text_token(b.path, b.text) not in template.texts]
+    blocks = [b for b in parse(source).blocks if b.path not in template.places or _text_token(b.path, b.text) not in template.texts]
     if template.root is not None:
         inside = [b for b in blocks if template.root in b.within]
         if inside:

@@ -96,8 +96,8 @@ def _marks(attrs: dict[str, str], keys: tuple[str, ...] = ("class", "id", "role"
 def _element(name: str, attrs: dict[str, str], parent: Element | None) -> Element:
     marks = _marks(attrs, ("class", "role") if name in PARTS else ("class", "id", "role")) if attrs else set()
     root = name in ("html", "body")
-    unseen = not root and (name in UNSEEN or "hidden" in attrs or attrs.get("aria-hidden") == "true"
-                           or bool(re.search(r"display\s*:\s*none", attrs.get("style", ""))))
+    unseen = not root and (name in UNSEEN or bool(attrs) and (
+        "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))))
     named = not root and (name in NOT_TEXT or name != "main" and bool(marks & HINTS))
     inside = bool(parent and parent.main)
     # a page's header; an article's own holds its title
@@ -107,7 +107,9 @@ def _element(name: str, attrs: dict[str, str], parent: Element | None) -> Elemen
     facts = (unseen or up.unseen, named, named or header or up.aside, inside or main, name == "a" or up.link)
     if up.depth >= DEPTH:  # deeper elements share their ancestor's path
         return Element(name, up.path, *facts, up.depth)
-    label = name + "".join(f".{attrs[k].split()[0]}" for k in ("class", "id") if attrs.get(k, "").split())
+    label = name
+    if attrs:
+        label += "".join(f".{attrs[k].split()[0]}" for k in ("class", "id") if attrs.get(k, "").split())
     if name not in TEXT_LEVEL:  # elements that look alike are told apart by their order
         up.seen[label] = n = up.seen.get(label, 0) + 1
         label += f"~{n}" if n > 1 else ""
@@ -144,8 +146,9 @@ def parse(source: str) -> Page:
 
     while at < len(source):
         m = TOKEN.search(source, at)
-        if not (stack and stack[-1].unseen):
-            text.append((html.unescape(source[at:m.start() if m else len(source)]), bool(stack and stack[-1].link)))
+        stop = m.start() if m else len(source)
+        if stop > at and not (stack and stack[-1].unseen):
+            text.append((html.unescape(source[at:stop]), bool(stack and stack[-1].link)))
         if not m:
             break
         at = m.end()
