@@ -183,7 +183,8 @@ def day_page_rows(df: DataFrame, html: str = "html", keep: Sequence[str] = ()) -
     """H4-H6 for a day page: one row per result row with the node lists
     `numero_nodes`, `n2`, `n3` the extraction operators read."""
     rows = table_rows(df, html, RESULTS_TABLE_ID, True, keep)
-    cells = row_cells("row_html", "valign")
+    rows = rows.select(*keep, "row_pos", row_cells("row_html", "valign").alias("_cells"))  # once per row
+    cells = "_cells"
     return rows.select(
         *keep,
         "row_pos",

@@ -323,8 +323,8 @@ def last_by_key_q(spark, sf_dir):
 def _page_rows(spark, sf_dir) -> DataFrame:
     rows = HO.table_rows(day_pages(spark, sf_dir, per="month"), "html", RESULTS_TABLE_ID, True,
                          keep=("url", "court_url"))
-    cells = HO.row_cells("row_html", "valign")
-    all_cells = HO.row_cells("row_html", None)
+    rows = rows.select("url", "court_url", "row_pos", HO.row_cells("row_html", "valign").alias("cells"), HO.row_cells("row_html", None).alias("all_cells"))
+    cells, all_cells = F.col("cells"), F.col("all_cells")
     marks = H.text_nodes(F.get(all_cells, 1))
     return rows.select(
         "url", "court_url", F.get(marks, 1).alias("fecha"), F.col("row_pos").cast("long").alias("row_pos"),

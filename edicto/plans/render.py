@@ -23,7 +23,7 @@ from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_r
 # this many rows however skewed the (court, day) distribution is.
 ROWS_PER_PAGE = 64
 # The same for month pages: ids that one page spans.
-IDS_PER_MONTH_PAGE = 4096
+IDS_PER_MONTH_PAGE = 1 << 16
 POSTBACK = "javascript:__doPostBack('ctl00$ContentPlaceHolder1$Calendar1','{}')"
 
 
