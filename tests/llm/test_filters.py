@@ -198,7 +198,8 @@ def test_toxicity_odd_rows(spark):
 @pytest.mark.parametrize("name", sorted(Q.ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     got = Q.QUERIES[name](spark, SF)
     cur = con.execute(Q.ORACLE[name])
     cols = sorted(got.columns)
