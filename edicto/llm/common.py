@@ -13,8 +13,10 @@ import gc
 import os
 import re
 import uuid
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,31 @@ def release() -> None:
         trim(0)
 
 
+_HELD: dict[str, object] = {}
+
+
+def held(key: str, build: Callable[[], object]):
+    """What a Python worker keeps for its later tasks, one thing at a time:
+    what an earlier stage left goes before the next is built."""
+    if key not in _HELD:
+        _HELD.clear()
+        release()
+        _HELD[key] = build()
+    return _HELD[key]
+
+
+def text_slices(column: pa.Array, limit: int) -> Iterator[tuple[int, int, list[str]]]:
+    """`start, end, texts` for ranges of about `limit` bytes of a text column;
+    only one range at a time is held as strings.  Null counts as empty."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    start = total = 0
+    for end, n in enumerate(sizes, 1):
+        total += n
+        if total >= limit or end == len(sizes):
+            yield start, end, [t or "" for t in column.slice(start, end - start).to_pylist()]
+            start, total = end, 0
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that `spark.checkpoint.dir` names."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"

@@ -1,6 +1,8 @@
 """Packing into optimal length buckets (operator 7).
 
-A global histogram of lengths goes to a dynamic program that chooses the
+Lengths are token counts of a byte-level BPE vocabulary, taken by a rank encoder
+(the same ids); texts that it can't take, or that hold a special token, go
+through the pair index of operator 1.  A global histogram of lengths goes to a dynamic program that chooses the
 bucket boundaries with the least padding.  Batches of a token budget then form
 inside each bucket: a document's place in its bucket is the number of such
 documents in earlier shards plus its place in its own shard, so batches are
@@ -18,18 +20,66 @@ a batch of its own; repeated rows are packed each; an empty table gives none.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
+import pyarrow as pa
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from edicto.llm.bpe import encode
-from edicto.llm.common import written
+from edicto.llm.bpe import Vocabulary, built, read_spec
+from edicto.llm.common import held, id_of, release, text_of, text_slices, written
+from edicto.llm.secrets import PATTERN
 
 BUCKETS = 16
 BUDGET = 65_536
 EXACT = 2048
 STEPS = 64
+#: Bytes of texts counted at once.
+SLICE = 4_000_000
+#: tiktoken's splitter recurses along white space.
+LONG_SPACE = re.compile(r"\s{2000}")
+
+
+def rank_encoder(v: Vocabulary) -> tiktoken.Encoding | None:
+    """The vocabulary as a rank encoder; None where an id isn't its entry's rank."""
+    n = 256 + len(v.made)
+    if sorted(v.of_byte.tolist()) != list(range(256)) or (v.made != np.arange(256, n)).any():
+        return None
+    data, ends = v.token_bytes.tobytes(), np.cumsum(v.token_len)[:n]
+    ranks = {data[a:b]: i for i, (a, b) in enumerate(zip((ends - v.token_len[:n]).tolist(), ends.tolist()))}
+    if len(ranks) < n:
+        return None
+    return tiktoken.Encoding("lengths", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def count_tokens(v: Vocabulary, texts: list[str]) -> list[int]:
+    """The number of tokens of each text."""
+    fast = held(f"lengths {v.name}", lambda: rank_encoder(v))
+
+    def count(t: str) -> int:
+        if fast is None or any(s in t for s in v.special) or LONG_SPACE.search(t):
+            return built(v).count_batch([t])[0]
+        return len(fast.encode_ordinary(t))
+
+    return [count(t) for t in texts]
+
+
+def token_lengths(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id",
+                  text_col: str = "text") -> DataFrame:
+    """`doc_id, n_tokens` of every whole text."""
+    spec = spark.sparkContext.broadcast(read_spec(vocabulary))  # of fixed size
+
+    def run(batches):
+        for batch in batches:
+            for i, j, texts in text_slices(batch.column(1), SLICE):
+                lens = pa.array(count_tokens(spec.value, texts), pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lens], names=["doc_id", "n_tokens"])
+        release()
+
+    return docs.select(id_of(id_col).alias("doc_id"), text_of(text_col).alias("text")).mapInArrow(run, "doc_id long, n_tokens long")
 
 
 def length_bin(n: Column) -> Column:
@@ -95,4 +145,4 @@ def pack(lengths: DataFrame, *, buckets: int = BUCKETS, budget: int = BUDGET) ->
 def pack_documents(spark: SparkSession, docs: DataFrame, vocabulary: str, *, id_col: str = "doc_id",
                    text_col: str = "text", buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
     """Pack documents by their number of BPE tokens."""
-    return pack(encode(spark, docs, vocabulary, id_col=id_col, text_col=text_col, out="lengths"), buckets=buckets, budget=budget)
+    return pack(token_lengths(spark, docs, vocabulary, id_col=id_col, text_col=text_col), buckets=buckets, budget=budget)

@@ -24,8 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edicto.llm.bpe import slices
-from edicto.llm.common import id_of, text_of
+from edicto.llm.bpe import SLICE
+from edicto.llm.common import held, id_of, release, text_of, text_slices
 
 # The base patterns, and the least length of what they match.
 KINDS = ("assign", "access", "hex")
@@ -85,19 +85,15 @@ def joined(spans: list[Span]) -> str:
     return ",".join(f"{(*KINDS, 'random')[k]}:{a}:{b}" for a, k, b in spans)
 
 
-_ENCODERS: dict[int, object] = {}
-
-
 def token_counter(ranks: str):
     """Token count under a tiktoken vocabulary, built once per Python worker."""
-    key = hash(ranks)
-    if key not in _ENCODERS:
+    def build():
         import tiktoken
 
         table = {base64.b64decode(a): int(b) for a, b in map(str.split, ranks.splitlines())}
-        _ENCODERS.clear()
-        _ENCODERS[key] = tiktoken.Encoding("secret-scan", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
-    encoder = _ENCODERS[key]
+        return tiktoken.Encoding("secret-scan", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+
+    encoder = held(f"secret-scan {hash(ranks)}", build)
     return lambda s: len(encoder.encode_ordinary(s))
 
 
@@ -123,10 +119,9 @@ def scan(spark: SparkSession, docs: DataFrame, ranks_path: str, *, id_col: str =
         for batch in batches:
             count = token_counter(ranks.value)
             texts = batch.column(1) if mask is None else batch.column(0).field(text_col)
-            texts = [t or "" for t in texts.cast(pa.string()).to_pylist()]
-            for i, j in slices(texts):
+            for i, j, part in text_slices(texts.cast(pa.string()), SLICE):
                 rows = []
-                for t in texts[i:j]:
+                for t in part:
                     base = base_spans(t)
                     every = base + random_spans(t, count, base)
                     every.sort()
@@ -137,6 +132,7 @@ def scan(spark: SparkSession, docs: DataFrame, ranks_path: str, *, id_col: str =
                     rows.append((*n, hashlib.sha256(joined(base).encode()).hexdigest(), joined(every)))
                 cols = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), *cols], names=names)
+        release()
 
     if mask is not None:
         names, kinds = ["doc", "masked", "n_spans"], [pa.string(), pa.int64()]

@@ -6,6 +6,7 @@ import struct
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tokenizers
 from hypothesis import given, settings
@@ -13,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from edicto.llm import bpe, packing
+from edicto.llm.common import text_slices
 from tests.llm.util import ODD_IDS, empty, ids, odd, read
 
 FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +71,32 @@ def test_overlapping_pairs_and_long_text_in_pieces(library, monkeypatch):
     assert small.count_batch(["aaaa", ""]) == [len(library.encode("aaaa").ids), 0]
 
 
+def test_lengths_equal_the_pair_index(spark, own):
+    docs = [r.text for r in read(spark, "documents").collect()]
+    odd_texts = ["", "a<|endoftext|>b <|endoftext|>", "x" + " " * 5000 + "y", "\n\t " * 1500, "é🙂 ß" * 50, "don't  stop\u3000now"]
+    texts = [t or "" for t in docs] + odd_texts
+    v = bpe.read_spec(FILE)
+    assert packing.rank_encoder(v) is not None
+    assert packing.count_tokens(v, texts) == own.count_batch(texts)
+    v.made = v.made[::-1].copy()  # ids that aren't ranks: no rank encoder
+    assert packing.rank_encoder(v) is None
+
+
+def test_lengths_cover_odd_rows(spark):
+    got = packing.token_lengths(spark, odd(spark), FILE).collect()
+    want = bpe.encode(spark, odd(spark), FILE, out="lengths").collect()
+    assert sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_text_slices_cover_a_column():
+    column = pa.array(["ab", None, "", "cdefgh", "i", "é"])
+    for limit in (1, 3, 100):
+        parts = list(text_slices(column, limit))
+        assert [t for *_, p in parts for t in p] == ["ab", "", "", "cdefgh", "i", "é"]
+        assert [0, *(j for _, j, _ in parts)] == [*(i for i, *_ in parts), 6]
+    assert list(text_slices(pa.array([], pa.string()), 3)) == []
+
+
 def test_boundaries_are_optimal():
     rng = np.random.default_rng(3)
     for _ in range(30):
