@@ -36,6 +36,7 @@ from edicto.plans.fixtures import SHARED_CALENDAR_URL, fixture_courts, fixture_r
 from edicto.plans.queries import FX, FX_COURTS, _records_sql_all, register
 from edicto.plans.render import IDS_PER_MONTH_PAGE, PARTS_PER_PAGE, POSTBACK, ROWS_PER_PAGE, calendar_pages, day_pages, link_pages
 from edicto.session import shared_path
+from edicto.sources import manifest as M
 from edicto.sources.io import append_ledger, read_captures, read_ledger, retry_candidates, write_captures
 
 q = O.q
@@ -460,6 +461,28 @@ def pending_units_q(spark, sf_dir):
     return pending(units, _fx_work_keys(spark, sf_dir))
 
 
+@register(
+    "pending_units_merged",
+    f"WITH {_MONTHS_CTE}, {_DAYS_CTE}, {O.FX_CTE}, {O.COURTS_CTE}, {_UNITS_CTE}, "
+    f"seen AS (SELECT DISTINCT {_FX_KEY_SQL} AS work_key FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no) "
+    "SELECT * FROM u WHERE work_key NOT IN (SELECT work_key FROM seen)",
+)
+def pending_units_merged_q(spark, sf_dir):
+    """J3 against a ledger in levels (S2, S3): each year's work keys arrive as
+    a batch of their own, and full levels are merged."""
+    base = shared_path(spark, "ledger", uuid.uuid4().hex)
+    path, manifest = f"{base}/ledger", f"{base}/manifest"
+    keys = sized(_fx_work_keys(spark, sf_dir).select("work_key", F.substring("fecha", 1, 4).alias("year")).distinct(), "ledger-keys")
+    schema = keys.select("work_key").schema
+    for (year,) in sorted(keys.select("year").distinct().collect()):
+        commit = M.begin(spark, manifest, [path])
+        M.append(keys.filter(F.col("year") == year).select("work_key"), path, commit)
+        M.publish(spark, manifest, commit, [path], year)
+        M.merge(spark, manifest, path, schema, ["work_key"], fan=3)
+    units = _units(spark, sf_dir).select("work_key", "court_url", "fecha", "day_arg", "materia")
+    return pending(units, M.read(spark, manifest, path, schema))
+
+
 @register(
     "work_key",
     FX_COURTS + f"SELECT f.row_id, {_FX_KEY_SQL} AS work_key FROM fixture_rows f JOIN fixture_courts c ON f.court_no = c.court_no",

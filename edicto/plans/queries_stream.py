@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +16,11 @@ from edicto.plans.fixtures import fixture_courts, read_table
 from edicto.plans.queries import _records_oracle, register
 from edicto.plans.render import ROWS_PER_PAGE, day_pages
 from edicto.session import shared_path
-from edicto.sources.io import read_records, write_captures
+from edicto.sources import manifest as M
+from edicto.sources.io import RECORDS_SINK_SCHEMA, read_records, write_captures
 from edicto.streaming.ingest import (
+    PAGE_KEY,
+    PAGE_LEDGER_SCHEMA,
     dedup_within_watermark,
     ingest_captures,
     stream_append_if_absent,
@@ -137,6 +141,51 @@ def ingest_replay_q(spark, sf_dir):
     return count(read_records(spark, recs), "records").unionByName(count(spark.read.parquet(quar), "rejects"))
 
 
+class Crash:
+    """Fails once `n` tables have been written."""
+
+    def __init__(self, n: int):
+        self.left = n
+
+    def __call__(self, path: str) -> None:
+        self.left -= 1
+        if self.left == 0:
+            raise RuntimeError(f"planned failure after writing {path}")
+
+
+def _ingest_crash_sql() -> str:
+    url = f"c.court_url || '&Fecha=' || f.fecha || '&Pagina=' || CAST(f.row_id // {ROWS_PER_PAGE} AS VARCHAR)"
+    return (
+        _ingest_replay_sql()
+        + f" UNION ALL SELECT 'pages', count(DISTINCT {url}) FROM fixture_rows f JOIN fixture_courts c ON c.court_no = f.court_no "
+        "UNION ALL SELECT 'torn', 0"
+    )
+
+
+@register("ingest_crash", _ingest_crash_sql())
+def ingest_crash_q(spark, sf_dir):
+    """G2 as one commit: runs that die after each table's write, in the first
+    batch and in the second, then a run to the end.  `torn` counts the pages
+    that readers saw in the quarantine, but not in the ledger, after a crash."""
+    base = shared_path(spark, "crash", uuid.uuid4().hex)
+    recs, quar, seen, manifest = (f"{base}/{n}" for n in ("records", "rejects", "pages", "manifest"))
+    write_captures(day_pages(spark, sf_dir), f"{base}/captures")
+    torn = 0
+    for n in (1, 2, 3, 4, 0):  # 0: to the end
+        try:
+            ingest_captures(spark, f"{base}/captures", recs, quar, f"{base}/ckpt", fixture_courts(spark), page_ledger_path=seen,
+                            manifest_path=manifest, max_files=4, after_write=Crash(n))
+        except StreamingQueryException:
+            if n == 0:
+                raise
+        ledger = M.read(spark, manifest, seen, PAGE_LEDGER_SCHEMA)
+        torn += M.read(spark, manifest, quar, PAGE_LEDGER_SCHEMA).join(ledger, PAGE_KEY, "left_anti").select(*PAGE_KEY).distinct().count()
+    count = lambda df, kind: df.groupBy().agg(F.lit(kind).alias("kind"), F.count("*").alias("n"))
+    return (count(M.read(spark, manifest, recs, RECORDS_SINK_SCHEMA), "records")
+            .unionByName(count(M.read(spark, manifest, quar, PAGE_LEDGER_SCHEMA), "rejects"))
+            .unionByName(count(ledger, "pages")).unionByName(spark.createDataFrame([("torn", torn)], "kind string, n long")))
+
+
 def _unread_sql() -> str:
     kinds = ("html", "''", "'<html><table id=\"other\"><tr><td>' || html || '</td></tr></table></html>'")
     reasons = ("no_table", "empty_page", "no_rows")

@@ -67,19 +67,20 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([ensure_checkpoint_dir(spark).rstrip("/"), *parts])
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
+    """The file system that holds `path`, and the path in its terms."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     return fs.exists(p)
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
-    fs, p = _file_system(spark, path)
+    fs, p = file_system(spark, path)
     fs.delete(p, True)
 
 
