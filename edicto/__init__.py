@@ -37,6 +37,7 @@ from edicto.operators.html import (
     table_rows,
 )
 from edicto.operators.joins import absent_from, sized, present_in
+from edicto.operators.keywords import classify_words
 from edicto.operators.load import count_matches, first_by_key, last_by_key, progress_by_day, work_key
 from edicto.operators.records import extract_records, rejected, valid
 from edicto.operators.worklist import pending, plan_units
@@ -54,8 +55,10 @@ from edicto.sources.io import (
 from edicto.streaming.ingest import (
     content_keyed,
     dedup_within_watermark,
+    first_captures,
     ingest_captures,
     stream_append_if_absent,
+    stream_first_captures,
 )
 
 __all__ = sorted(n for n, v in list(globals().items()) if not n.startswith("_") and callable(v))

@@ -9,6 +9,7 @@ decides.  Beyond it the join is a sort-merge join with skew handling.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -24,6 +25,28 @@ def sized(df: DataFrame, name: str = "dimension") -> DataFrame:
     return written(df, name)
 
 
+def is_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's limit lets a side of a known size be broadcast."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+
+
+def grid_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join whose result is a product per key, with hot keys dealt out.
+
+    A key's rows form a grid: a left row takes one line and goes to every
+    column, a right row takes one column and goes to every line.  Each pair of
+    rows meets in just one cell, and a key that holds everything fills all
+    cells alike.  Four cells per shuffle partition; each side is copied only as
+    often as the grid is wide, the square root of that."""
+    side = math.ceil(math.sqrt(4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    dealt = lambda df: F.pmod(F.xxhash64(*df.columns), F.lit(side)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(side - 1)))
+    rows = left.withColumn("_line", dealt(left)).withColumn("_column", every)
+    cols = right.withColumn("_column", dealt(right)).withColumn("_line", every)
+    return rows.join(cols, [*keys, "_line", "_column"], "inner").drop("_line", "_column")
+
+
 def null_safe_condition(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return reduce(
         lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys]

@@ -4,7 +4,8 @@ A court's work days come from the calendar that governs it, so units are an
 equi-join of calendar days with courts on `calendar_url` (on the bulletin
 site every court shares one calendar, which makes this the full days x
 courts list).  The courts are written first and broadcast if their bytes are
-under Spark's limit; beyond it the join is a shuffle join whose skew AQE splits.
+under Spark's limit; beyond it days and courts of a calendar are dealt over a
+grid of cells, so that one calendar that governs all courts fills all tasks.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edicto.functions.classify import classify_subject
-from edicto.operators.joins import absent_from, sized
+from edicto.operators.joins import absent_from, grid_join, is_broadcast, sized
 from edicto.operators.load import work_key
 
 
@@ -23,13 +24,12 @@ def plan_units(days: DataFrame, courts: DataFrame) -> DataFrame:
 
     days: calendar_url, day_arg, fecha.  courts: calendar_url, court_url,
     juz_id, entidad_code, juzgado."""
-    c = courts.select(
+    c = sized(courts.select(
         "calendar_url", "court_url", "juz_id", "entidad_code", "juzgado",
         classify_subject("juzgado").alias("materia"),
-    )
-    units = days.select("calendar_url", "day_arg", "fecha").join(
-        sized(c), "calendar_url", "inner"
-    )
+    ))
+    d = days.select("calendar_url", "day_arg", "fecha")
+    units = d.join(c, "calendar_url", "inner") if is_broadcast(c) else grid_join(d, c, ["calendar_url"])
     return units.withColumn(
         "work_key", work_key("juz_id", "entidad_code", "day_arg", "juzgado")
     )

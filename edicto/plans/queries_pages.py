@@ -29,6 +29,7 @@ from edicto.operators import html as HO
 from edicto.operators.asof import as_of, versions
 from edicto.operators import records as R
 from edicto.operators.joins import sized
+from edicto.operators.keywords import classify_words
 from edicto.operators.load import distinct_keys, last_by_key, progress_by_day, work_key
 from edicto.operators.worklist import pending, plan_units
 from edicto.plans import oracle as O
@@ -756,6 +757,26 @@ def classify_keywords_q(spark, sf_dir):
     return spread(read_table(spark, sf_dir, "documents")).select("doc_id", classify_subject("text").alias("materia"))
 
 
+_WORDS_SQL = (
+    "SELECT w AS word, min(conv_id) AS priority FROM (SELECT conv_id, unnest(regexp_extract_all(lower(text), '[a-z]{7,}')) AS w "
+    "FROM conversations) GROUP BY w"
+)
+
+
+@register(
+    "classify_words",
+    f"SELECT doc_id, (SELECT min(priority) FROM ({_WORDS_SQL}) WHERE contains(lower(text), word)) AS conv_id FROM documents",
+)
+def classify_words_q(spark, sf_dir):
+    """L1 + L4 with thousands of words: the first conversation any of whose
+    longer words is a substring of the document."""
+    said = read_table(spark, sf_dir, "conversations")
+    words = said.select("conv_id", F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{7,}"), F.lit(0))).alias("word"))
+    words = words.groupBy("word").agg(F.min("conv_id").alias("priority")).withColumn("label", F.col("priority"))
+    docs = spread(read_table(spark, sf_dir, "documents")).select("doc_id", F.lower("text").alias("t"))
+    return classify_words(docs, "t", words, "conv_id").drop("t")
+
+
 @register(
     "html_hidden_inputs",
     FX_COURTS

@@ -24,6 +24,7 @@ from edicto.streaming.ingest import (
     dedup_within_watermark,
     ingest_captures,
     stream_append_if_absent,
+    stream_first_captures,
 )
 
 EVENT_KEYS = ("user_id", "event_type", "day")
@@ -75,6 +76,30 @@ def stream_dedup_watermark_q(spark, sf_dir):
     return spark.read.parquet(sink)
 
 
+@register(
+    "stream_first_capture",
+    "SELECT user_id, event_type, min_by(event_id, ts) AS event_id, min(ts) AS ts FROM (SELECT *, sum(CASE WHEN ts <= before + "
+    "INTERVAL 2 DAY THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS run FROM (SELECT *, "
+    "lag(ts) OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS before FROM events)) GROUP BY user_id, event_type, run",
+)
+def stream_first_capture_q(spark, sf_dir):
+    """R3 under late data: events arrive up to three days late and out of
+    order, in one file per four days of arrival; the first of each run of a
+    (user, type) wins.  A last file without keys moves the watermark past all."""
+    base = shared_path(spark, "stream_first", uuid.uuid4().hex)
+    ev = read_table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts")
+    late = F.pmod(F.xxhash64("event_id"), F.lit(3)).cast("int")
+    ev = ev.withColumn("_slot", F.floor((F.unix_date(F.to_date("ts")) + late) / 4))
+    for (slot,) in sorted(ev.select("_slot").distinct().collect()):
+        ev.filter(F.col("_slot") == slot).drop("_slot").coalesce(1).write.mode("append").parquet(f"{base}/src")
+    none = lambda c: F.lit(None).cast(ev.schema[c].dataType).alias(c)
+    end = ev.agg((F.max("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"))
+    end.select(none("user_id"), none("event_type"), none("event_id"), "ts").write.mode("append").parquet(f"{base}/src")
+    stream_first_captures(spark, f"{base}/src", ev.drop("_slot").schema, f"{base}/sink", f"{base}/ckpt", ("user_id", "event_type"),
+                          "ts", "event_id", "2 days", "4 days", max_files=1)
+    return spark.read.parquet(f"{base}/sink").select("user_id", "event_type", "event_id", "ts")
+
+
 # Day pages dated before this arrive first; the second arrival re-captures
 # the month before it too (the source re-reads the previous month each run).
 CAPTURE_CUTOFF = "1998/01/01"
