@@ -5,8 +5,10 @@ thousandths, feed a mergeable quantile sketch: a histogram of bins with a
 relative width of 1 % at most, whose counts add up over tasks, sources and
 languages.  The quartiles of a document's language and source set a fence,
 `q75 + REACH * (q75 - q25) + slack`; documents beyond a fence are rejected.
-A (language, source) with fewer than MIN_ROWS documents uses the sketch of its
-language, and that of all documents if the language has too few as well.
+A language's sketch takes in that of all documents with the weight of PRIOR
+documents, a source's sketch its language's likewise, so a small group leans on
+the larger one and no size switches between them.  The weights are whole
+numbers, so the blend is exact.
 
 Defined results: a null text counts as empty and fails the base rule; null
 language or source form a group of their own; an empty table gives no rows.
@@ -24,7 +26,8 @@ MIN_WORDS = 20
 WINDOW = 8
 SYMBOLS = r"[#*$%&|<>]"
 REACH = 6
-MIN_ROWS = 50
+#: Documents that the larger group's sketch counts for in the smaller one's.
+PRIOR = 50
 #: Ratio in thousandths -> slack beyond the fence, in thousandths.
 SLACK = {"symbol": 100, "dup_line": 100, "repeat": 300, "word_len": 4000}
 
@@ -94,27 +97,48 @@ def thresholds(counted: DataFrame) -> DataFrame:
     """
     cells = (counted.filter("NOT base_failed").select("lang", "source", F.explode(_ratios()).alias("r"))
              .groupBy("lang", "source", "r.metric", "r.bin").agg(F.count("*").alias("n")))
-    cells = written(cells, "quality-sketch")  # bounded per group by its bins
-    groups = counted.select("lang", "source").distinct()
-    levels = []
-    for depth, keys in ((2, ["lang", "source"]), (1, ["lang"]), (0, [])):
-        sketch = cells.groupBy(*keys, "metric", "bin").agg(F.sum("n").alias("n"))
-        part = W.partitionBy(*keys, "metric")
-        ranked = sketch.withColumn("upto", F.sum("n").over(part.orderBy("bin"))).withColumn("all", F.sum("n").over(part))
-        at = lambda q: F.min(F.when(100 * F.col("upto") >= q * F.col("all"), F.col("bin")))
-        q = ranked.groupBy(*keys, "metric").agg(at(25).alias("q25"), at(75).alias("q75"), F.max("all").alias("rows"))
-        slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("metric")]
-        q = q.withColumn("f", F.col("q75") + REACH * (F.col("q75") - F.col("q25")) + slack)
-        levels.append(q.groupBy(*keys).agg(F.max("rows").alias(f"n{depth}"),
-                                           F.map_from_entries(F.collect_list(F.struct("metric", "f"))).alias(f"f{depth}")))
-    by_source, by_lang = (x.withColumnRenamed("lang", "l").withColumnRenamed("source", "s") for x in levels[:2])
-    overall = levels[2].first()  # one row with one number per ratio
-    rest = F.create_map(*[F.lit(x) for kv in overall["f0"].items() for x in kv]) if overall else F.lit(None).cast("map<string,bigint>")
-    out = (groups.join(by_source, F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s")), "left").drop("l", "s")
-           .join(by_lang, F.col("lang").eqNullSafe(F.col("l")), "left").drop("l"))
-    enough = lambda n: F.coalesce(F.col(n) >= MIN_ROWS, F.lit(False))
-    return out.select("lang", "source", F.when(enough("n2"), F.col("f2")).when(enough("n1"), F.col("f1"))
-                      .otherwise(rest).alias("fence"))
+    groups = counted.select(_filled("lang"), _filled("source")).distinct()
+    cells = written(cells.select(_filled("lang"), _filled("source"), "metric", "bin", "n"), "quality-sketch")  # bounded per group by its bins
+    overall = _with_total(cells, ["metric"]).select("metric", "bin", F.col("n").alias("above"), F.col("all").alias("above_all"))
+    by_lang = _blend(groups.select("lang").distinct(), overall, cells, ["lang"])
+    by_lang = by_lang.withColumnsRenamed({"n": "above", "all": "above_all"})
+    by_source = _blend(groups, by_lang, cells, ["lang", "source"])
+    part = W.partitionBy("lang", "source", "metric")
+    ranked = by_source.withColumn("upto", F.sum("n").over(part.orderBy("bin")))
+    at = lambda q: F.min(F.when(100 * F.col("upto") >= q * F.col("all"), F.col("bin")))
+    q = ranked.groupBy("lang", "source", "metric").agg(at(25).alias("q25"), at(75).alias("q75"))
+    slack = F.create_map(*[F.lit(x) for kv in SLACK.items() for x in kv])[F.col("metric")]
+    q = q.withColumn("f", F.col("q75") + REACH * (F.col("q75") - F.col("q25")) + slack)
+    fences = q.groupBy("lang", "source").agg(F.map_from_entries(F.collect_list(F.struct("metric", "f"))).alias("fence"))
+    plain = lambda c: F.when(F.col(c) != "", F.substring(c, 2, 2**31 - 1)).alias(c)
+    return groups.join(fences, ["lang", "source"], "left").select(plain("lang"), plain("source"), "fence")
+
+
+def _filled(c: str) -> Column:
+    """A group's name as a key that is never null."""
+    return F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")).alias(c)
+
+
+def _with_total(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """The sketches of the groups `keys`: `n` per bin and `all` of the group."""
+    big = "decimal(38,0)"
+    return (cells.groupBy(*dict.fromkeys([*keys, "metric"]), "bin").agg(F.sum("n").cast(big).alias("n"))
+            .withColumn("all", F.sum("n").over(W.partitionBy(*dict.fromkeys([*keys, "metric"])))))
+
+
+def _blend(groups: DataFrame, above: DataFrame, cells: DataFrame, keys: list[str]) -> DataFrame:
+    """The sketches of `groups`, each with that of its larger group (`above`,
+    which shares all keys but the last) as PRIOR documents: bins of `above`
+    with the weight `n * above_all + PRIOR * above` of `all`."""
+    own = _with_total(cells, keys).withColumnRenamed("n", "own")
+    total = own.groupBy(*keys, "metric").agg(F.max("all").alias("own_all"))
+    metrics = groups.withColumn("metric", F.explode(F.array(*[F.lit(m) for m in SLACK])))
+    none = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return (metrics.join(above, [*keys[:-1], "metric"]).join(total, [*keys, "metric"], "left")
+            .join(own.drop("all"), [*keys, "metric", "bin"], "left")
+            .select(*keys, "metric", "bin",
+                    (none("own") * F.col("above_all") + PRIOR * F.col("above")).cast("decimal(38,0)").alias("n"),
+                    ((none("own_all") + PRIOR) * F.col("above_all")).cast("decimal(38,0)").alias("all")))
 
 
 def judge(counted: DataFrame, limits: DataFrame) -> DataFrame:

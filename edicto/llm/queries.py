@@ -88,16 +88,25 @@ f AS (SELECT doc_id, lang, source, n_words, coalesce(wc, 0) AS word_chars, n_sym
 r AS (SELECT doc_id, lang, source, base_failed, m, v - v % (10 ** greatest(length(v::VARCHAR) - 3, 0))::BIGINT AS bin FROM (
         SELECT doc_id, lang, source, base_failed, unnest(['symbol', 'dup_line', 'repeat', 'word_len']) AS m,
                1000 * unnest([n_symbols, n_dup_lines, n_repeat_words, word_chars]) // greatest(n_words, 1) AS v FROM f)),
-q AS (SELECT lang, source, m, grouping(lang, source) AS lvl, count(*) AS n,
-             quantile_disc(bin, 0.25) AS q25, quantile_disc(bin, 0.75) AS q75
-      FROM r WHERE NOT base_failed GROUP BY GROUPING SETS ((lang, source, m), (lang, m), (m))),
+k AS (SELECT lang, source, m, bin, count(*)::HUGEINT AS n FROM r WHERE NOT base_failed GROUP BY lang, source, m, bin),
+a AS (SELECT m, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY m) AS t FROM k GROUP BY m, bin),
+kl AS (SELECT lang, m, bin, sum(n) AS n, sum(sum(n)) OVER (PARTITION BY lang, m) AS t FROM k GROUP BY lang, m, bin),
+ks AS (SELECT *, sum(n) OVER (PARTITION BY lang, source, m) AS t FROM k),
+l AS (SELECT g.lang, a.m, a.bin, coalesce(x.n, 0) * a.t + 50 * a.n AS n, (coalesce(y.t, 0) + 50) * a.t AS t
+      FROM (SELECT DISTINCT lang FROM f) g CROSS JOIN a
+      LEFT JOIN kl x ON x.lang IS NOT DISTINCT FROM g.lang AND x.m = a.m AND x.bin = a.bin
+      LEFT JOIN (SELECT DISTINCT lang, m, t FROM kl) y ON y.lang IS NOT DISTINCT FROM g.lang AND y.m = a.m),
+o AS (SELECT g.lang, g.source, l.m, l.bin, coalesce(x.n, 0) * l.t + 50 * l.n AS n, (coalesce(y.t, 0) + 50) * l.t AS t
+      FROM (SELECT DISTINCT lang, source FROM f) g JOIN l ON l.lang IS NOT DISTINCT FROM g.lang
+      LEFT JOIN ks x ON x.lang IS NOT DISTINCT FROM g.lang AND x.source IS NOT DISTINCT FROM g.source AND x.m = l.m AND x.bin = l.bin
+      LEFT JOIN (SELECT DISTINCT lang, source, m, t FROM ks) y ON y.lang IS NOT DISTINCT FROM g.lang
+           AND y.source IS NOT DISTINCT FROM g.source AND y.m = l.m),
+q AS (SELECT lang, source, m, min(CASE WHEN 100 * upto >= 25 * t THEN bin END) AS q25, min(CASE WHEN 100 * upto >= 75 * t THEN bin END) AS q75
+      FROM (SELECT *, sum(n) OVER (PARTITION BY lang, source, m ORDER BY bin) AS upto FROM o) GROUP BY lang, source, m),
 s(m, slack) AS (VALUES ('symbol', 100), ('dup_line', 100), ('repeat', 300), ('word_len', 4000)),
-v AS (SELECT r.doc_id, bool_and(coalesce(bin <= CASE WHEN a.n >= 50 THEN a.q75 + 6 * (a.q75 - a.q25)
-                WHEN b.n >= 50 THEN b.q75 + 6 * (b.q75 - b.q25) ELSE o.q75 + 6 * (o.q75 - o.q25) END + slack, true)) AS ok
+v AS (SELECT r.doc_id, bool_and(coalesce(bin <= q75 + 6 * (q75 - q25) + slack, true)) AS ok
       FROM r JOIN s USING (m)
-      LEFT JOIN q a ON a.lvl = 0 AND a.m = r.m AND a.lang IS NOT DISTINCT FROM r.lang AND a.source IS NOT DISTINCT FROM r.source
-      LEFT JOIN q b ON b.lvl = 1 AND b.m = r.m AND b.lang IS NOT DISTINCT FROM r.lang
-      LEFT JOIN q o ON o.lvl = 3 AND o.m = r.m GROUP BY r.doc_id)
+      LEFT JOIN q ON q.m = r.m AND q.lang IS NOT DISTINCT FROM r.lang AND q.source IS NOT DISTINCT FROM r.source GROUP BY r.doc_id)
 SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ok AS kept
 FROM f JOIN v ON f.doc_id = v.doc_id
 """

@@ -117,6 +117,17 @@ def test_adaptive_verdict(spark):
     assert not got.pop(300) and all(got.values())
 
 
+def test_small_sources_lean_on_their_language(spark):
+    """No size switches the sketch: the fence moves with every document, and a source of one leans on its language."""
+    plain = " ".join(f"word{i}" for i in range(40))
+    table = " | ".join(f"cell{i}" for i in range(40))
+    rows = [(i, plain + f" {i}", "en", "prose", 0) for i in range(200)]
+    for n, kept in ((1, False), (10, False), (49, True), (50, True), (51, True)):
+        few = [(1000 + i, table + f" {i}", "en", "few", 0) for i in range(n)]
+        got = {r.doc_id: r.kept for r in QR.quality_rows(spark.createDataFrame(rows + few, SCHEMA)).collect()}
+        assert all(got[i] for i in range(200)) and {got[1000 + i] for i in range(n)} == {kept}
+
+
 def test_quality_filter(spark):
     out = QR.quality_filter(odd(spark))
     assert out.columns == odd(spark).columns
