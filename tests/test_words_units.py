@@ -100,3 +100,22 @@ def test_earlier_capture_that_arrives_late_wins(spark):
 def test_runs_meet_at_the_gap(spark):
     rows = [("a", "2024-01-01", 1), ("a", "2024-01-03", 2), ("a", "2024-01-05 00:00:01", 3)]
     assert {r["id"] for r in first_captures(_rows(spark, rows), "ts", ["k"], "id", "2 days").collect()} == {1, 3}
+
+
+def test_words_beyond_the_broadcast_limit_send_runs_not_places(spark, monkeypatch):
+    """Each different run of letters is searched once, however often texts hold it."""
+    from edicto.operators import keywords as K
+
+    searched, written = [], K.written
+    monkeypatch.setattr(K, "written", lambda df, name: (lambda w: (name == "word-pieces" and searched.append(w.count()), w)[1])(written(df, name)))
+    words = spark.createDataFrame([("w%sord" % c * 2, i, c) for i, c in enumerate("abcdefg")] + [("zulu" * 5, 8, "z")], WORDS)
+    rows = [(i, f"{i} " + "no 12 " * 50 + f"w{c}ordw{c}ord! " * 20 + "zulu" * 100) for i in range(40) for c in "abcdefg"]
+    df = spark.createDataFrame(rows, "id long, t string")
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        got = sorted((r["id"], r["label"]) for r in classify_words(df, "t", words).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == sorted((i, c) for i, _ in rows[::7] for c in "abcdefg")
+    assert searched and searched[0] < 20
