@@ -119,3 +119,15 @@ def test_words_beyond_the_broadcast_limit_send_runs_not_places(spark, monkeypatc
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert got == sorted((i, c) for i, _ in rows[::7] for c in "abcdefg")
     assert searched and searched[0] < 20
+
+
+def test_units_of_broadcast_sides_fill_all_tasks(spark):
+    """The few days of a calendar are one partition; the courts are dealt."""
+    days = spark.range(50).coalesce(1).select(F.lit("cal").alias("calendar_url"), F.col("id").cast("string").alias("day_arg"), F.lit("f").alias("fecha"))
+    courts = spark.range(1600).coalesce(1).select(F.lit("cal").alias("calendar_url"), F.concat(F.lit("u"), "id").alias("court_url"), F.col("id").cast("string").alias("juz_id"),
+                                                  F.lit("e").alias("entidad_code"), F.concat(F.lit("juzgado civil "), F.col("id") + 1000).alias("juzgado"))
+    units = plan_units(days, courts)
+    assert "BroadcastHashJoin" in units._jdf.queryExecution().executedPlan().toString()
+    shares = [r["count"] for r in units.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(shares) == 80000 and len(shares) == 8 and max(shares) < 0.2 * 80000
+    assert units.select("day_arg", "juz_id").distinct().count() == 80000
