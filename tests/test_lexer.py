@@ -132,3 +132,19 @@ def test_page_files(spark, tmp_path):
         (tmp_path / name).write_bytes(data)
     rows = read_captures(spark, str(tmp_path), "bytes").collect()
     assert sorted((r.url[-1], r.html, r.status) for r in rows) == [("a", "é", 200), ("b", "é", 200), ("c", "x", 200)]
+
+
+def test_attribute_scans_the_page_once(spark):
+    """However often the found tag is looked at, the plan names the page once."""
+    df = spark.createDataFrame([('<p><input id="a" value="x &amp; y"><input id=\'a\' value=z>',), ("<p>",), (None,)], "html string")
+    out = df.select(H.html_attr("html", "input", "value", id_="a").alias("v"))
+    assert [r.v for r in out.collect()] == ["x & y", None, None]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") == 1
+
+
+def test_text_nodes_split_the_fragment_once(spark):
+    cases = [("a<b>&#65;&#x42;&amp;&nope;&#xD800;&;c</b><i></i> ", ["a", "AB&&nope;&#xD800;&;c", " "]), ("<b></b>", []), ("", []), (None, None)]
+    df = spark.createDataFrame([(t,) for t, _ in cases], "t string")
+    out = df.select(H.text_nodes("t").alias("v"))
+    assert [r.v for r in out.collect()] == [v for _, v in cases]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("split(t#") == 1
