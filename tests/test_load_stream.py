@@ -97,6 +97,7 @@ def test_rerun_after_lost_progress_appends_nothing(spark):
     # existence test keeps the sink free of repeats.
     from edicto.plans.render import day_pages
     from edicto.sources.io import write_captures
+    from edicto.sources.io import write_captures
     from edicto.streaming.ingest import ingest_captures
 
     base = shared_path(spark, "t_rerun", uuid.uuid4().hex)
@@ -139,3 +140,24 @@ def test_content_keyed_keeps_the_first_capture(spark):
 
     df = spark.createDataFrame([("u", "a", 3), ("u", "a", 1), ("u", "b", 2)], "url string, html string, captured_at int")
     assert sorted(r.captured_at for r in content_keyed(df).collect()) == [1, 2]
+
+
+def test_a_batch_of_few_files_is_parsed_by_all_tasks(spark, monkeypatch):
+    """Pages are dealt before they are parsed, and a month gets few files."""
+    from edicto.operators import html as HO
+    from edicto.plans.render import day_pages
+    from edicto.sources.io import write_captures
+    from edicto.streaming import ingest as IN
+
+    base, shares, parse = shared_path(spark, "few", uuid.uuid4().hex), [], HO.day_page_rows
+
+    def spied(pages, *args, **kw):
+        shares.append([r["count"] for r in pages.groupBy(F.spark_partition_id().alias("p")).count().collect()])
+        return parse(pages, *args, **kw)
+
+    monkeypatch.setattr(HO, "day_page_rows", spied)
+    write_captures(day_pages(spark, SF).coalesce(1), f"{base}/caps")
+    IN.ingest_captures(spark, f"{base}/caps", f"{base}/recs", f"{base}/rej", f"{base}/ck", fixture_courts(spark))
+    assert len(shares) == 1 and len(shares[0]) == 8 and max(shares[0]) < 0.2 * sum(shares[0])
+    files = read_records(spark, f"{base}/recs").groupBy("anio_mes").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()
+    assert files and max(r["n"] for r in files) == 1
