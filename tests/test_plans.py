@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from edicto.constants import DEDUP_KEYS
+from edicto.functions.text import clean, clean_staged
 from edicto.operators import joins as J
 from edicto.plans.queries import NULL_KEYS
 
@@ -64,3 +65,30 @@ def test_every_null_key_decides(spark, drop):
     right = J.absent_from(new, old, NULL_KEYS, is_written=True).count()
     assert 0 < right < new.count()
     assert J.absent_from(new, old, [k for k in NULL_KEYS if k != drop], is_written=True).count() < right
+
+
+@pytest.mark.parametrize("name", ["record_shape", "bulletin_records"])
+def test_generated_methods_are_compiled(spark, name):
+    """The JVM only interprets methods beyond 8,000 bytes (HugeMethodLimit)."""
+    df = E.queries()[name](spark, SF)
+    df.collect()  # the final plan
+    stages = df._jdf.queryExecution().debug().codegenToSeq().iterator()
+    sizes = []
+    while stages.hasNext():
+        sizes.append(stages.next()._3().maxMethodCodeSize())
+    assert sizes and max(sizes) < 8000
+
+
+def test_node_lists_are_joined_once(spark):
+    """Three cells and two of them together; no branch joins its list anew."""
+    p = E.queries()["record_shape"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < p.count("array_join(n2") + p.count("array_join(numero_nodes") <= 4
+
+
+def test_clean_staged_order_of_steps(spark):
+    """T1 sees the first sign only, before stars and white space go."""
+    cases = [".", "..A", ".  A", "  .A", " . A", "*.A", ".*A", "..", ". ", ".\n\nA,", ".*a@b.com,x", "áÉñÑü°€“日本”½",
+             "ÁRBOL Ñandú, º,", "é", ".é", None, ""]
+    df = spark.createDataFrame([(c,) for c in cases], "s string")
+    for r in df.select("s", clean("s").alias("plain"), clean_staged("s").alias("staged")).collect():
+        assert r.plain == r.staged, r.s
