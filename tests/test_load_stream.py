@@ -161,3 +161,36 @@ def test_a_batch_of_few_files_is_parsed_by_all_tasks(spark, monkeypatch):
     assert len(shares) == 1 and len(shares[0]) == 8 and max(shares[0]) < 0.2 * sum(shares[0])
     files = read_records(spark, f"{base}/recs").groupBy("anio_mes").agg(F.count_distinct("_metadata.file_path").alias("n")).collect()
     assert files and max(r["n"] for r in files) == 1
+
+
+def test_pages_are_not_joined_with_their_own_keys(spark, monkeypatch):
+    """Whatever the broadcast limit, html is shuffled once, when it is dealt; pages
+    held already are skipped."""
+    from edicto.operators import html as HO
+    from edicto.plans.render import day_pages
+    from edicto.sources.io import write_captures
+    from edicto.streaming import ingest as IN
+
+    base, parsed, parse = shared_path(spark, "once", uuid.uuid4().hex), [], HO.day_page_rows
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+
+    def spied(pages, *args, **kw):
+        parsed.append((pages.count(), pages._jdf.queryExecution().executedPlan().toString().count("SortMergeJoin")))
+        return parse(pages, *args, **kw)
+
+    monkeypatch.setattr(HO, "day_page_rows", spied)
+    pages = day_pages(spark, SF)
+    n, early = pages.count(), pages.filter("fecha < '1996'").count()
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 4000)  # the keys of a batch are more
+        write_captures(pages.filter("fecha < '1996'"), f"{base}/caps")
+        for ckpt, seen in (("a", f"{base}/seen"), ("b", None)):
+            IN.ingest_captures(spark, f"{base}/caps", f"{base}/recs", f"{base}/rej", f"{base}/{ckpt}", fixture_courts(spark), page_ledger_path=seen)
+        assert parsed == [(early, 0)] * 2
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+        write_captures(pages, f"{base}/caps")
+        IN.ingest_captures(spark, f"{base}/caps", f"{base}/recs", f"{base}/rej", f"{base}/a", fixture_courts(spark), page_ledger_path=f"{base}/seen")
+        assert parsed[2][0] == n - early
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert read_records(spark, f"{base}/recs").count() == bulletin_records_df(spark, SF).count()
